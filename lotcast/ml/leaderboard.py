@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from lotcast.ml.models import CLASSIFICATION, REGRESSION, fit_all, prediction_col
 from lotcast.ml.score import score
+from lotcast.operators.partitioning import spread
 from lotcast.operators.metrics import (
     classification_metrics,
     leaderboard_classification,
@@ -20,7 +21,7 @@ from lotcast.operators.metrics import (
 def evaluate(models: Mapping[str, PipelineModel], test: DataFrame, label: str, family: str) -> DataFrame:
     """Leaderboard of fitted models on ``test``: one scoring scan, one
     metrics aggregation for all models (ids follow the models' order)."""
-    scored = score(test.where(test[label].isNotNull()), models)
+    scored = score(spread(test.where(test[label].isNotNull())), models)
     preds = {name: prediction_col(name) for name in models}
     if family == REGRESSION:
         return leaderboard_regression(regression_metrics(scored, label, preds))

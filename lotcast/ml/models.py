@@ -17,6 +17,8 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lotcast.operators.partitioning import spread
+
 # FIXED VALUES: model settings that must equal the reference's.
 # Forests: 10 trees, seed 10. Decision tree: seed 10. Everything else is
 # Spark's default. GBT was unseeded in the reference; we seed it too.
@@ -71,7 +73,9 @@ def fit_all(df: DataFrame, features: Sequence[str], label: str, family: str,
 
     The feature vector is assembled once and persisted (memory and disk,
     so a lost executor's blocks are recomputed from the Parquet lineage)
-    for all three fits, then released. Rows with a NULL label or a
+    for all three fits, then released; a training set that scans as
+    fewer partitions than the cluster has cores is spread out first, or the
+    iterative fits would run on one core. Rows with a NULL label or a
     NULL/NaN feature cannot be fitted and are skipped here -- use
     ``split_rejects`` beforehand to keep them visible. Each returned
     pipeline is [assembler, model], so it scores raw rows by itself.
@@ -79,8 +83,8 @@ def fit_all(df: DataFrame, features: Sequence[str], label: str, family: str,
     prefix = prefix or family
     features_col = f"{prefix}_features"
     asm = assembler(features, features_col, "skip")
-    training = (asm.transform(df.where(F.col(label).isNotNull() & ~F.isnan(F.col(label).cast("double"))))
-                .select(features_col, F.col(label).cast("double").alias(label))
+    usable = df.where(F.col(label).isNotNull() & ~F.isnan(F.col(label).cast("double")))
+    training = (spread(asm.transform(usable).select(features_col, F.col(label).cast("double").alias(label)))
                 .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         fitted = {}

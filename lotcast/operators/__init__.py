@@ -9,11 +9,12 @@ from lotcast.operators.metrics import (
     per_class_recall,
     regression_metrics,
 )
+from lotcast.operators.partitioning import spread
 from lotcast.operators.reports import band_counts, category_counts, sold_reports, split_report, top_k
 
 __all__ = [
     "REASON_COL", "clean", "reject_reason", "split_rejects", "tag_rejects",
     "classification_metrics", "confusion", "leaderboard_classification",
     "leaderboard_regression", "per_class_recall", "regression_metrics",
-    "band_counts", "category_counts", "sold_reports", "split_report", "top_k",
+    "spread", "band_counts", "category_counts", "sold_reports", "split_report", "top_k",
 ]

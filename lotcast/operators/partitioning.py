@@ -1,0 +1,22 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over at least ``min_partitions`` tasks (default: the
+    cluster's cores) before CPU-heavy per-row work such as model fitting
+    or whole-text functions.
+
+    A table stored as one unsplittable file or row group scans as a single
+    task; everything after it would run on one core. Large tables already
+    scan as many partitions and pass through untouched, so this never adds
+    a shuffle to a big input. The round-robin repartition is sorted
+    before it is dealt out, so a retried task gets the same rows.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n)

@@ -26,6 +26,7 @@ from lotcast.ml.leaderboard import evaluate
 from lotcast.ml.models import CLASSIFICATION, REGRESSION, fit_all, load_all, prediction_col, save_all
 from lotcast.ml.score import score
 from lotcast.operators.clean import clean, tag_rejects
+from lotcast.operators.partitioning import spread
 from lotcast.operators.metrics import classification_metrics, regression_metrics
 from lotcast.operators.reports import band_counts, category_counts, sold_reports, top_k
 from lotcast.session import scratch_path
@@ -204,18 +205,32 @@ def price_leaderboard(spark: SparkSession, d: str) -> DataFrame:
     return evaluate(models, test, PRICE_LABEL, REGRESSION)
 
 
+def _count_chars(text: Column, chars: str) -> Column:
+    """Occurrences of any of ``chars`` in the whole text (a character
+    translate, no regex)."""
+    return (F.length(text) - F.length(F.translate(text, chars, ""))).cast("double")
+
+
+# FIXED VALUES: character classes of the text features.
+DIGITS = "0123456789"
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+PUNCT = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
 def document_features(spark: SparkSession, d: str) -> DataFrame:
-    """Whole-text length features of every document (JVM string functions)."""
-    docs = read_table(spark, d, "documents")
+    """Whole-text length features of every document (JVM string
+    functions). Documents are spread over all cores first when the scan
+    gives fewer partitions than that: the work is per row and CPU-bound."""
+    docs = spread(read_table(spark, d, "documents").select("doc_id", "text"))
     text = F.col("text")
     return docs.select(
         "doc_id",
         F.length(text).cast("double").alias("n_chars"),
         F.size(F.split(F.trim(text), r"\s+")).cast("double").alias("n_words"),
-        F.size(F.split(text, "\n")).cast("double").alias("n_lines"),
-        F.length(F.regexp_replace(text, r"[^0-9]", "")).cast("double").alias("n_digits"),
-        F.length(F.regexp_replace(text, r"[^A-Z]", "")).cast("double").alias("n_upper"),
-        F.length(F.regexp_replace(text, r"[^\p{Punct}]", "")).cast("double").alias("n_punct"),
+        (_count_chars(text, "\n") + 1).alias("n_lines"),
+        _count_chars(text, DIGITS).alias("n_digits"),
+        _count_chars(text, UPPER).alias("n_upper"),
+        _count_chars(text, PUNCT).alias("n_punct"),
     )
 
 
@@ -243,7 +258,7 @@ def score_all(spark: SparkSession, d: str) -> DataFrame:
     lineitem = read_table(spark, d, "lineitem")
     models = fit_all(lineitem, PRICE_INPUTS, PRICE_LABEL, REGRESSION, prefix="price")
     loaded = load_all(save_all(models, scratch_path(spark, "models")))
-    return score(lineitem.select("l_orderkey", "l_linenumber", *PRICE_INPUTS, PRICE_LABEL), loaded)
+    return score(spread(lineitem.select("l_orderkey", "l_linenumber", *PRICE_INPUTS, PRICE_LABEL)), loaded)
 
 
 # --- streaming (SRC5-6, STR1-3, SNK2) -----------------------------------------
