@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -87,19 +87,22 @@ def classification_metrics(df: DataFrame, label: str | Column,
     carries it.
     """
     cells = confusion(df, label, predictions)
-    by_label = Window.partitionBy("model_id", "label")
-    by_pred = Window.partitionBy("model_id", "prediction")
-    by_model = Window.partitionBy("model_id")
-    stats = (cells
-             .withColumn("n_label", F.sum("n").over(by_label))
-             .withColumn("n_pred", F.sum("n").over(by_pred))
-             .withColumn("n_all", F.sum("n").over(by_model)))
+    keys = ["model_id", "algorithm_name"]
     diag = F.col("label") == F.col("prediction")
-    tp = F.when(diag, F.col("n")).otherwise(F.lit(0))
-    f1_term = F.when(diag, 2.0 * F.col("n") / (F.col("n_label") + F.col("n_pred")) * F.col("n_label"))
-    return (stats.groupBy("model_id", "algorithm_name")
-            .agg(F.max("n_all").alias("_n"),
-                 F.sum(tp).alias("_tp"),
+    per_label = cells.groupBy(*keys, "label").agg(
+        F.sum("n").alias("n_label"),
+        F.sum(F.when(diag, F.col("n")).otherwise(F.lit(0))).alias("tp"))
+    per_pred = (cells.groupBy(*keys, "prediction").agg(F.sum("n").alias("n_pred"))
+                .withColumnRenamed("prediction", "label"))
+    # Per true class: tp, its row count and how often it was predicted.
+    # Aggregates and an equi-join on (model, class) -- no group ever holds
+    # more than one class's totals.
+    stats = per_label.join(per_pred, [*keys, "label"], "left")
+    f1_term = F.when(F.col("tp") > 0,
+                     2.0 * F.col("tp") / (F.col("n_label") + F.col("n_pred")) * F.col("n_label"))
+    return (stats.groupBy(*keys)
+            .agg(F.sum("n_label").alias("_n"),
+                 F.sum("tp").alias("_tp"),
                  F.sum(f1_term).alias("_f1"))
             .select(F.col("model_id").alias("id"), "algorithm_name",
                     (F.col("_tp") / F.col("_n")).alias("accuracy"),
