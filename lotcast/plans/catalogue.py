@@ -27,7 +27,7 @@ from lotcast.ml.models import CLASSIFICATION, REGRESSION, fit_all, load_all, pre
 from lotcast.ml.score import score
 from lotcast.operators.clean import clean, tag_rejects
 from lotcast.operators.partitioning import spread
-from lotcast.operators.metrics import classification_metrics, regression_metrics
+from lotcast.operators.metrics import classification_metrics, per_class_recall, regression_metrics
 from lotcast.operators.reports import band_counts, category_counts, sold_reports, top_k
 from lotcast.session import scratch_path
 from lotcast.sinks.writers import write_table
@@ -183,6 +183,26 @@ def clf_metrics(spark: SparkSession, d: str) -> DataFrame:
                     *[F.round(c, 9).alias(c) for c in ("accuracy", "weighted_recall", "f1")])
 
 
+def reg_metrics_multi(spark: SparkSession, d: str) -> DataFrame:
+    """Two predictors ranked in the same single aggregation."""
+    ev = _events(spark, d).select(
+        "value",
+        (F.floor(F.col("value") / 10) * 10 + 5).alias("midpoint"),
+        (F.floor(F.col("value") / 10) * 10).alias("floor10"))
+    m = regression_metrics(ev, "value", {"band_midpoint": "midpoint", "band_floor": "floor10"})
+    return m.select("id", "algorithm_name",
+                    *[F.round(c, 6).alias(c) for c in ("rmse", "mse", "r2", "mae")])
+
+
+def class_recall(spark: SparkSession, d: str) -> DataFrame:
+    """Recall of each true class (what weighted recall hides)."""
+    ev = _with_k(_events(spark, d)).select(
+        SOLD().cast("double").alias("sold"), (F.col("k") % 2).cast("double").alias("parity"))
+    r = per_class_recall(ev, "sold", {"k_parity": "parity"})
+    return r.select("model_id", "algorithm_name", "label", "n_label", "tp",
+                    F.round("recall", 9).alias("recall"))
+
+
 # --- models (REG1-3, CLS1-3, FEA1-2, PIP1-4, LDR1-2) ---------------------------
 
 def _linear_k(spark: SparkSession, d: str) -> PipelineModel:
@@ -304,6 +324,8 @@ QUERIES: dict[str, Query] = {
     "csv_round_trip": csv_round_trip,
     "reg_metrics": reg_metrics,
     "clf_metrics": clf_metrics,
+    "reg_metrics_multi": reg_metrics_multi,
+    "class_recall": class_recall,
     "linear_fit": linear_fit,
     "price_leaderboard": price_leaderboard,
     "sold_leaderboard": sold_leaderboard,

@@ -72,6 +72,19 @@ ORACLE: dict[str, str] = {
         "AS weighted_recall, "
         "round(coalesce(sum(CASE WHEN label = prediction THEN 2.0::DOUBLE * n / (n_label + n_pred) * n_label END), "
         "0) / max(n_all), 9) AS f1 FROM stats"),
+    "reg_metrics_multi": " UNION ALL ".join(
+        f"SELECT {i} AS id, '{name}' AS algorithm_name, round(sqrt(avg(e * e)), 6) AS rmse, "
+        "round(avg(e * e), 6) AS mse, round(1 - avg(e * e) / var_pop(value), 6) AS r2, "
+        f"round(avg(abs(e)), 6) AS mae FROM (SELECT value, {pred} - value AS e FROM events "
+        "WHERE value IS NOT NULL) AS t"
+        for i, name, pred in ((1, "band_midpoint", "floor(value / 10) * 10 + 5"),
+                              (2, "band_floor", "floor(value / 10) * 10"))),
+    "class_recall": (
+        "SELECT 1 AS model_id, 'k_parity' AS algorithm_name, label, count(1) AS n_label, "
+        "sum(CASE WHEN label = prediction THEN 1 ELSE 0 END) AS tp, "
+        "round(sum(CASE WHEN label = prediction THEN 1 ELSE 0 END) / count(1), 9) AS recall FROM ("
+        f"SELECT CAST({_SOLD} AS DOUBLE) AS label, CAST({_K} % 2 AS DOUBLE) AS prediction FROM events) AS t "
+        "WHERE label IS NOT NULL AND prediction IS NOT NULL GROUP BY label"),
     "linear_fit": ("SELECT round(regr_slope(value, k), 6) AS slope, round(regr_intercept(value, k), 6) AS intercept "
                    f"FROM (SELECT value, {_K} AS k FROM events) AS t"),
     "stream_ingest": f"SELECT event_id, user_id, event_type, value, {_K} AS k FROM events",
