@@ -71,9 +71,9 @@ def fit_all(df: DataFrame, features: Sequence[str], label: str, family: str,
             only: Sequence[str] | None = None) -> dict[str, PipelineModel]:
     """Fit the family's three models; return name -> PipelineModel.
 
-    The feature vector is assembled once and persisted (memory and disk,
-    so a lost executor's blocks are recomputed from the Parquet lineage)
-    for all three fits, then released; a training set that scans as
+    The feature columns are computed once and persisted (memory and disk,
+    so a lost executor's blocks are recomputed from the lineage) for all
+    three fits, then released; a training set that scans as
     fewer partitions than the cluster has cores is spread out first, or the
     iterative fits would run on one core. Rows with a NULL label or a
     NULL/NaN feature cannot be fitted and are skipped here -- use
@@ -83,10 +83,18 @@ def fit_all(df: DataFrame, features: Sequence[str], label: str, family: str,
     prefix = prefix or family
     features_col = f"{prefix}_features"
     asm = assembler(features, features_col, "skip")
-    usable = df.where(F.col(label).isNotNull() & ~F.isnan(F.col(label).cast("double")))
-    training = (spread(asm.transform(usable).select(features_col, F.col(label).cast("double").alias(label)))
-                .persist(StorageLevel.MEMORY_AND_DISK))
+    y = F.col(label).cast("double")
+    # Persist the narrow (features, label) table first. It is the optimizer
+    # barrier that keeps the assembler's NULL filter from being pushed below
+    # the projection that computes the features (which would evaluate every
+    # feature expression twice). The vectors are then cached once for all
+    # three fits and the narrow copy is released.
+    inputs = (spread(df.select(*features, y.alias(label)).where(y.isNotNull() & ~F.isnan(y)))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    training = asm.transform(inputs).select(features_col, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        training.count()
+        inputs.unpersist()
         fitted = {}
         for name, est in _estimators(family, prefix, features_col, label, seed):
             if only is not None and name not in only:
@@ -94,6 +102,7 @@ def fit_all(df: DataFrame, features: Sequence[str], label: str, family: str,
             fitted[name] = PipelineModel(stages=[asm, est.fit(training)])
         return fitted
     finally:
+        inputs.unpersist()
         training.unpersist()
 
 

@@ -266,8 +266,15 @@ def _labelled_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sold_leaderboard(spark: SparkSession, d: str) -> DataFrame:
-    """Three classifiers (quality 0/1 from text features), 80/20 split."""
-    train, test = _labelled_documents(spark, d).randomSplit(SPLIT, seed=10)
+    """Three classifiers (quality 0/1 from text features), 80/20 split.
+
+    The labelled feature table is written once to the shared scratch
+    folder: the texts are scanned once (not once per split), and a lost
+    executor recomputes from six numbers per document, not from the text.
+    """
+    path = scratch_path(spark, "labelled_documents")
+    _labelled_documents(spark, d).write.mode("overwrite").parquet(path)
+    train, test = spark.read.parquet(path).randomSplit(SPLIT, seed=10)
     models = fit_all(train, DOC_FEATURES, "quality", CLASSIFICATION, prefix="sold")
     return evaluate(models, test, "quality", CLASSIFICATION)
 
