@@ -164,6 +164,18 @@ def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return read_listings(spark, path, S.struct(MESSAGE_FIELDS), fmt="csv", header=True)
 
 
+def landed_csv(spark: SparkSession, d: str) -> DataFrame:
+    """Rows landed as headerless all-text CSV in ``batch_id=N`` folders
+    (as the stream ingest writes them), read back by glob with a
+    positional schema and cast leniently."""
+    names = [n for n, _ in MESSAGE_FIELDS]
+    root = scratch_path(spark, "landed_csv")
+    text = _events(spark, d).select(*[F.col(n).cast("string").alias(n) for n in names])
+    write_table(text, f"{root}/batch_id=0", fmt="csv", options={"header": "false"})
+    raw = read_listings(spark, f"{root}/batch_id=*", S.all_strings(names), fmt="csv", header=False)
+    return cast_lenient(raw, S.struct(MESSAGE_FIELDS))
+
+
 # --- metrics (EVA1-2, AGG6-7) ---------------------------------------------------
 
 def reg_metrics(spark: SparkSession, d: str) -> DataFrame:
@@ -288,6 +300,19 @@ def score_all(spark: SparkSession, d: str) -> DataFrame:
     return score(spread(lineitem.select("l_orderkey", "l_linenumber", *PRICE_INPUTS, PRICE_LABEL)), loaded)
 
 
+def price_linear_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Saved and reloaded least-squares price model applied to all of
+    lineitem in the reference's output shape: the prediction replaces the
+    true price as the last column."""
+    lineitem = read_table(spark, d, "lineitem")
+    model = fit_all(lineitem, ["l_quantity"], PRICE_LABEL, REGRESSION, prefix="qty",
+                    only=["qty_linear"])
+    loaded = load_all(save_all(model, scratch_path(spark, "models")))
+    scored = score(lineitem.select("l_orderkey", "l_linenumber", "l_quantity", PRICE_LABEL), loaded,
+                   replace_label=PRICE_LABEL)
+    return scored.withColumn(PRICE_LABEL, F.round(PRICE_LABEL, 4))
+
+
 # --- streaming (SRC5-6, STR1-3, SNK2) -----------------------------------------
 
 def _event_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -329,6 +354,7 @@ QUERIES: dict[str, Query] = {
     "decode_json": decode_json,
     "encode_decode": encode_decode,
     "csv_round_trip": csv_round_trip,
+    "landed_csv": landed_csv,
     "reg_metrics": reg_metrics,
     "clf_metrics": clf_metrics,
     "reg_metrics_multi": reg_metrics_multi,
@@ -337,6 +363,7 @@ QUERIES: dict[str, Query] = {
     "price_leaderboard": price_leaderboard,
     "sold_leaderboard": sold_leaderboard,
     "score_all": score_all,
+    "price_linear_scores": price_linear_scores,
     "stream_ingest": stream_ingest,
     "stream_score": stream_score,
 }

@@ -55,6 +55,11 @@ ORACLE: dict[str, str] = {
     "decode_json": f"SELECT event_id, {_K} AS k FROM events",
     "encode_decode": "SELECT event_id, user_id, event_type, value, props FROM events",
     "csv_round_trip": "SELECT event_id, user_id, event_type, value, props FROM events",
+    "landed_csv": "SELECT event_id, user_id, event_type, value, props FROM events",
+    "price_linear_scores": (
+        "SELECT l_orderkey, l_linenumber, l_quantity, round((SELECT regr_intercept(l_extendedprice, l_quantity) "
+        "FROM lineitem) + (SELECT regr_slope(l_extendedprice, l_quantity) FROM lineitem) * l_quantity, 4) "
+        "AS l_extendedprice FROM lineitem"),
     "reg_metrics": ("SELECT 1 AS id, 'band_midpoint' AS algorithm_name, "
                     "round(sqrt(avg(e * e)), 6) AS rmse, round(avg(e * e), 6) AS mse, "
                     "round(1 - avg(e * e) / var_pop(value), 6) AS r2, round(avg(abs(e)), 6) AS mae "

@@ -12,7 +12,7 @@ from conftest import SF_SMALL
 TABLES = ["lineitem", "events", "documents", "labels"]
 FAST = ["bucket_activity", "bucket_price", "bucket_ratio", "weekday_counts", "top_sellers",
         "all_reports", "clean_distinct", "lenient_cast", "reject_split", "decode_json",
-        "encode_decode", "csv_round_trip", "reg_metrics", "clf_metrics", "reg_metrics_multi",
+        "encode_decode", "csv_round_trip", "landed_csv", "price_linear_scores", "reg_metrics", "clf_metrics", "reg_metrics_multi",
         "class_recall", "linear_fit", "stream_ingest", "stream_score"]
 
 
