@@ -10,11 +10,12 @@ from lotcast.operators.metrics import (
     regression_metrics,
 )
 from lotcast.operators.partitioning import spread
+from lotcast.operators.split import hash_split
 from lotcast.operators.reports import band_counts, category_counts, sold_reports, split_report, top_k
 
 __all__ = [
     "REASON_COL", "clean", "reject_reason", "split_rejects", "tag_rejects",
     "classification_metrics", "confusion", "leaderboard_classification",
     "leaderboard_regression", "per_class_recall", "regression_metrics",
-    "spread", "band_counts", "category_counts", "sold_reports", "split_report", "top_k",
+    "spread", "hash_split", "band_counts", "category_counts", "sold_reports", "split_report", "top_k",
 ]

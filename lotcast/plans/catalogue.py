@@ -27,6 +27,7 @@ from lotcast.ml.models import CLASSIFICATION, REGRESSION, fit_all, load_all, pre
 from lotcast.ml.score import score
 from lotcast.operators.clean import clean, tag_rejects
 from lotcast.operators.partitioning import spread
+from lotcast.operators.split import hash_split
 from lotcast.operators.metrics import classification_metrics, per_class_recall, regression_metrics
 from lotcast.operators.reports import band_counts, category_counts, sold_reports, top_k
 from lotcast.session import scratch_path
@@ -232,7 +233,7 @@ def linear_fit(spark: SparkSession, d: str) -> DataFrame:
 
 def price_leaderboard(spark: SparkSession, d: str) -> DataFrame:
     """Three price regressors, trained on 80% of lineitem, ranked on 20%."""
-    train, test = read_table(spark, d, "lineitem").randomSplit(SPLIT, seed=10)
+    train, test = hash_split(read_table(spark, d, "lineitem"), SPLIT, seed=10)
     models = fit_all(train, PRICE_INPUTS, PRICE_LABEL, REGRESSION, prefix="price")
     return evaluate(models, test, PRICE_LABEL, REGRESSION)
 
@@ -286,7 +287,7 @@ def sold_leaderboard(spark: SparkSession, d: str) -> DataFrame:
     """
     path = scratch_path(spark, "labelled_documents")
     _labelled_documents(spark, d).write.mode("overwrite").parquet(path)
-    train, test = spark.read.parquet(path).randomSplit(SPLIT, seed=10)
+    train, test = hash_split(spark.read.parquet(path), SPLIT, seed=10)
     models = fit_all(train, DOC_FEATURES, "quality", CLASSIFICATION, prefix="sold")
     return evaluate(models, test, "quality", CLASSIFICATION)
 

@@ -149,3 +149,18 @@ def test_metrics_nan_free_when_variance_zero(spark):
     df = spark.createDataFrame([(1.0, 1.0), (1.0, 2.0)], "y double, p double")
     m = regression_metrics(df, "y", "p").first()
     assert m["r2"] is None or math.isinf(m["r2"]) or math.isnan(m["r2"])
+
+
+def test_hash_split_partitions_rows_deterministically(spark):
+    from lotcast.operators import hash_split
+    df = spark.range(5000).select((F.col("id") % 1000).alias("a"), (F.col("id") * 3).alias("b"))
+    train, test = hash_split(df, [0.8, 0.2], seed=10)
+    n_train, n_test = train.count(), test.count()
+    assert n_train + n_test == 5000
+    assert 0.75 < n_train / 5000 < 0.85
+    assert train.intersect(test).count() == 0
+    again, _ = hash_split(df.repartition(7), [0.8, 0.2], seed=10)
+    assert sorted(again.collect()) == sorted(train.collect())
+    dup = spark.createDataFrame([(1, 2)] * 50, "a long, b long")
+    sides = [p.count() for p in hash_split(dup, [0.5, 0.5], seed=1)]
+    assert sorted(sides) == [0, 50]
