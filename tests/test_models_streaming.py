@@ -87,3 +87,33 @@ def test_stream_restart_no_duplicates_equals_batch(spark):
     batch = events.select("event_id", F.from_json("props", K_SCHEMA)["k"].alias("k"))
     assert landed.select("event_id", "k").exceptAll(batch).count() == 0
     assert batch.exceptAll(landed.select("event_id", "k")).count() == 0
+
+
+def test_interval_trigger_stream(spark):
+    schema = read_table(spark, SF_SMALL, "events").schema
+    stream = open_stream(spark, f"{SF_SMALL}/event[s].parquet", schema)
+    out, ckpt = scratch_path(spark, "t_interval"), scratch_path(spark, "t_interval_ckpt")
+    q = stream_to_files(stream.select("event_id"), out, ckpt, trigger="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(out).count() == read_table(spark, SF_SMALL, "events").count()
+
+
+def test_score_stream_each_batch_tags_batches(spark):
+    from lotcast.streaming import score_stream_each_batch
+    models = {"value_linear": _linear_k(spark, SF_SMALL)}
+    schema = read_table(spark, SF_SMALL, "events").schema
+    stream = open_stream(spark, f"{SF_SMALL}/event[s].parquet", schema).withColumn(
+        "k", F.from_json("props", K_SCHEMA)["k"]).select("event_id", "k")
+    out, ckpt = scratch_path(spark, "t_each"), scratch_path(spark, "t_each_ckpt")
+
+    def write_batch(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    score_stream_each_batch(stream, models, write_batch, ckpt).awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == read_table(spark, SF_SMALL, "events").count()
+    assert {r[0] for r in got.select("batch_id").distinct().collect()} == {0}
+    assert prediction_col("value_linear") in got.columns
