@@ -233,7 +233,8 @@ def linear_fit(spark: SparkSession, d: str) -> DataFrame:
 
 def price_leaderboard(spark: SparkSession, d: str) -> DataFrame:
     """Three price regressors, trained on 80% of lineitem, ranked on 20%."""
-    train, test = hash_split(read_table(spark, d, "lineitem"), SPLIT, seed=10)
+    lineitem = read_table(spark, d, "lineitem").select(*PRICE_INPUTS, PRICE_LABEL)
+    train, test = hash_split(lineitem, SPLIT, seed=10)
     models = fit_all(train, PRICE_INPUTS, PRICE_LABEL, REGRESSION, prefix="price")
     return evaluate(models, test, PRICE_LABEL, REGRESSION)
 
