@@ -1,5 +1,5 @@
 """Sinks: files, JDBC, Kafka."""
 
-from lotcast.sinks.writers import jdbc_options, write_kafka, write_table
+from lotcast.sinks.writers import jdbc_batch_writer, jdbc_options, write_kafka, write_table
 
-__all__ = ["jdbc_options", "write_kafka", "write_table"]
+__all__ = ["jdbc_batch_writer", "jdbc_options", "write_kafka", "write_table"]

@@ -56,3 +56,45 @@ def write_kafka(df: DataFrame, options: dict[str, str], columns: Sequence[str] |
     (``options`` needs ``kafka.bootstrap.servers`` and ``topic``).
     Needs the Kafka connector on the classpath."""
     encode_messages(df, columns, key).write.format("kafka").options(**options).save()
+
+
+def _jdbc_execute(spark, options: dict[str, str], sql: str, params: Sequence) -> None:
+    """Run one statement on the driver through the JDBC driver the options
+    name (used only for small bookkeeping statements, never for data)."""
+    jvm = spark.sparkContext._jvm
+    if "driver" in options:
+        jvm.java.lang.Class.forName(options["driver"])
+    props = jvm.java.util.Properties()
+    for key in ("user", "password"):
+        if key in options:
+            props.setProperty(key, options[key])
+    conn = jvm.java.sql.DriverManager.getConnection(options["url"], props)
+    try:
+        stmt = conn.prepareStatement(sql)
+        for i, p in enumerate(params, start=1):
+            stmt.setLong(i, int(p))
+        stmt.executeUpdate()
+        stmt.close()
+    finally:
+        conn.close()
+
+
+def jdbc_batch_writer(table: str, options: dict[str, str], batch_col: str = "batch_id"):
+    """A ``foreachBatch`` writer that makes JDBC appends idempotent.
+
+    Before appending micro-batch ``N`` it deletes the table's rows tagged
+    ``batch_col = N``, so a batch replayed after a failure replaces its
+    earlier, possibly partial, rows instead of duplicating them. (The
+    delete is skipped when the table does not exist yet.) Use with
+    :func:`lotcast.streaming.score_stream_each_batch`, which adds the tag.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        try:
+            _jdbc_execute(spark, options, f"DELETE FROM {table} WHERE {batch_col} = ?", [batch_id])
+        except Exception as exc:  # first batch: the table is created by the append below
+            if "exist" not in str(exc).lower() and "not found" not in str(exc).lower():
+                raise
+        write_table(batch, table, "jdbc", "append", options)
+
+    return write
