@@ -58,9 +58,9 @@ def write_kafka(df: DataFrame, options: dict[str, str], columns: Sequence[str] |
     encode_messages(df, columns, key).write.format("kafka").options(**options).save()
 
 
-def _jdbc_execute(spark, options: dict[str, str], sql: str, params: Sequence) -> None:
-    """Run one statement on the driver through the JDBC driver the options
-    name (used only for small bookkeeping statements, never for data)."""
+def _jdbc_delete_batch(spark, options: dict[str, str], table: str, batch_col: str, batch_id: int) -> None:
+    """Delete one micro-batch's rows, if the table exists, through the JDBC
+    driver the options name. Runs on the driver; moves no data."""
     jvm = spark.sparkContext._jvm
     if "driver" in options:
         jvm.java.lang.Class.forName(options["driver"])
@@ -70,9 +70,16 @@ def _jdbc_execute(spark, options: dict[str, str], sql: str, params: Sequence) ->
             props.setProperty(key, options[key])
     conn = jvm.java.sql.DriverManager.getConnection(options["url"], props)
     try:
-        stmt = conn.prepareStatement(sql)
-        for i, p in enumerate(params, start=1):
-            stmt.setLong(i, int(p))
+        meta = conn.getMetaData()
+        exists = False
+        for name in {table, table.upper(), table.lower()}:
+            rs = meta.getTables(None, None, name, None)
+            exists = exists or rs.next()
+            rs.close()
+        if not exists:
+            return
+        stmt = conn.prepareStatement(f"DELETE FROM {table} WHERE {batch_col} = ?")
+        stmt.setLong(1, int(batch_id))
         stmt.executeUpdate()
         stmt.close()
     finally:
@@ -84,17 +91,11 @@ def jdbc_batch_writer(table: str, options: dict[str, str], batch_col: str = "bat
 
     Before appending micro-batch ``N`` it deletes the table's rows tagged
     ``batch_col = N``, so a batch replayed after a failure replaces its
-    earlier, possibly partial, rows instead of duplicating them. (The
-    delete is skipped when the table does not exist yet.) Use with
+    earlier, possibly partial, rows instead of duplicating them. Use with
     :func:`lotcast.streaming.score_stream_each_batch`, which adds the tag.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        try:
-            _jdbc_execute(spark, options, f"DELETE FROM {table} WHERE {batch_col} = ?", [batch_id])
-        except Exception as exc:  # first batch: the table is created by the append below
-            if "exist" not in str(exc).lower() and "not found" not in str(exc).lower():
-                raise
+        _jdbc_delete_batch(batch.sparkSession, options, table, batch_col, batch_id)
         write_table(batch, table, "jdbc", "append", options)
 
     return write
