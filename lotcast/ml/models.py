@@ -87,12 +87,17 @@ def fit_all(df: DataFrame, features: Sequence[str], label: str, family: str,
     # Persist the narrow (features, label) table first. It is the optimizer
     # barrier that keeps the assembler's NULL filter from being pushed below
     # the projection that computes the features (which would evaluate every
-    # feature expression twice). The vectors are then cached once for all
-    # three fits and the narrow copy is released.
-    inputs = (spread(df.select(*features, y.alias(label)).where(y.isNotNull() & ~F.isnan(y)))
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    training = asm.transform(inputs).select(features_col, label).persist(StorageLevel.MEMORY_AND_DISK)
+    # feature expression twice). Once it is materialized its partition count
+    # is known without running anything; if it is below the cluster's cores
+    # (a one-file input) the small numeric table is dealt out before the
+    # vectors are cached once for all three fits.
+    inputs = df.select(*features, y.alias(label)).where(y.isNotNull() & ~F.isnan(y))
+    inputs = inputs.persist(StorageLevel.MEMORY_AND_DISK)
+    training = None
     try:
+        inputs.count()
+        training = (asm.transform(spread(inputs)).select(features_col, label)
+                    .persist(StorageLevel.MEMORY_AND_DISK))
         training.count()
         inputs.unpersist()
         fitted = {}
@@ -103,7 +108,8 @@ def fit_all(df: DataFrame, features: Sequence[str], label: str, family: str,
         return fitted
     finally:
         inputs.unpersist()
-        training.unpersist()
+        if training is not None:
+            training.unpersist()
 
 
 def save_all(models: dict[str, PipelineModel], root: str) -> dict[str, str]:

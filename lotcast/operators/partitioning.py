@@ -15,6 +15,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     scan as many partitions and pass through untouched, so this never adds
     a shuffle to a big input. The round-robin repartition is sorted
     before it is dealt out, so a retried task gets the same rows.
+
+    Meant for scan pipelines (scan, filter, project) and cached tables,
+    whose partition count is known from planning alone. A plan with a
+    shuffle already has as many partitions as the shuffle makes, and
+    asking for its count would run the shuffle; don't pass one.
     """
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= n:

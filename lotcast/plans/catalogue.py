@@ -236,7 +236,7 @@ def price_leaderboard(spark: SparkSession, d: str) -> DataFrame:
     lineitem = read_table(spark, d, "lineitem").select(*PRICE_INPUTS, PRICE_LABEL)
     train, test = hash_split(lineitem, SPLIT, seed=10)
     models = fit_all(train, PRICE_INPUTS, PRICE_LABEL, REGRESSION, prefix="price")
-    return evaluate(models, test, PRICE_LABEL, REGRESSION)
+    return evaluate(models, spread(test), PRICE_LABEL, REGRESSION)
 
 
 def _count_chars(text: Column, chars: str) -> Column:
