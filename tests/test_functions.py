@@ -105,3 +105,16 @@ def test_band_rejects_bad_spec():
     import pytest
     with pytest.raises(ValueError):
         band(F.lit(1), [2, 1], ["a", "b"], "c")
+
+
+def test_decode_kafka_shaped_binary_value(spark):
+    rows = [(bytearray(b'"key"'), bytearray(b'{"EbayID": "7", "Price": "1.5", "Authenticated": "1"}'), 0, 41),
+            (None, bytearray(b"{broken"), 1, 42)]
+    df = spark.createDataFrame(rows, "key binary, value binary, partition int, offset long")
+    out = decode_messages(df, S.LISTING_MESSAGE, keep=["partition", "offset"]).orderBy("offset").collect()
+    assert (out[0]["EbayID"], out[0]["Price"], out[0]["Authenticated"]) == ("7", "1.5", "1")
+    assert out[0]["_corrupt_record"] is None and out[0]["SellerName"] is None
+    assert out[1]["EbayID"] is None and out[1]["_corrupt_record"] == "{broken"
+    typed = cast_lenient(decode_messages(df, S.LISTING_MESSAGE, corrupt_col=None), S.LISTING_STREAM)
+    assert typed.orderBy("EbayID").first()["EbayID"] in (None, 7)
+    assert dict(typed.dtypes)["EbayID"] == "bigint" and dict(typed.dtypes)["Price"] == "double"
