@@ -86,7 +86,7 @@ ORACLE: dict[str, str] = {
                               (2, "band_floor", "floor(value / 10) * 10"))),
     "class_recall": (
         "SELECT 1 AS model_id, 'k_parity' AS algorithm_name, label, count(1) AS n_label, "
-        "sum(CASE WHEN label = prediction THEN 1 ELSE 0 END) AS tp, "
+        "CAST(sum(CASE WHEN label = prediction THEN 1 ELSE 0 END) AS BIGINT) AS tp, "
         "round(sum(CASE WHEN label = prediction THEN 1 ELSE 0 END) / count(1), 9) AS recall FROM ("
         f"SELECT CAST({_SOLD} AS DOUBLE) AS label, CAST({_K} % 2 AS DOUBLE) AS prediction FROM events) AS t "
         "WHERE label IS NOT NULL AND prediction IS NOT NULL GROUP BY label"),
