@@ -3,7 +3,6 @@ top-k, and all of them in one scan."""
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
