@@ -8,9 +8,9 @@ from lotcast.sources import kafka_options, read_listings
 
 
 def test_kafka_options():
-    o = kafka_options("b1:9092,b2:9092", "ebay", max_offsets_per_trigger=1000)
+    o = kafka_options("b1:9092,b2:9092", "listings", max_offsets_per_trigger=1000)
     assert o["kafka.bootstrap.servers"] == "b1:9092,b2:9092"
-    assert o["subscribe"] == "ebay"
+    assert o["subscribe"] == "listings"
     assert o["startingOffsets"] == "earliest"
     assert o["maxOffsetsPerTrigger"] == "1000"
     assert o["kafka.max.partition.fetch.bytes"] == "15728640"
