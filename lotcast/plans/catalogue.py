@@ -38,20 +38,19 @@ from lotcast.streaming.scoring import score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+K_SCHEMA = StructType([StructField("k", IntegerType(), True)])
+PRICE_INPUTS = ["l_quantity", "l_discount", "l_tax"]
+PRICE_LABEL = "l_extendedprice"
+SPLIT = [0.8, 0.2]
 
 
-def SOLD() -> Column:
+def _sold() -> Column:
     return F.col("event_type") == F.lit("purchase")
 
 
-def RETURNED() -> Column:
+def _returned() -> Column:
     return F.col("l_returnflag") == F.lit("R")
 
-K_SCHEMA = StructType([StructField("k", IntegerType(), True)])
-PRICE_INPUTS = ["l_quantity", "l_discount", "l_tax"]
-PRICE_LABEL = "l_extendedprice"
-SPLIT = [0.8, 0.2]
-
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "events")
@@ -69,24 +68,24 @@ def _weekday(ts: str = "ts") -> Column:
 # --- reports (AGG1-5, EXP1-3, FLT3, SRT1) -----------------------------------
 
 def bucket_activity(spark: SparkSession, d: str) -> DataFrame:
-    return band_counts(_events(spark, d), "value", S.ACTIVITY_BANDS, where=SOLD())
+    return band_counts(_events(spark, d), "value", S.ACTIVITY_BANDS, where=_sold())
 
 
 def bucket_price(spark: SparkSession, d: str) -> DataFrame:
-    return band_counts(_events(spark, d), "value", S.PRICE_BANDS, where=SOLD())
+    return band_counts(_events(spark, d), "value", S.PRICE_BANDS, where=_sold())
 
 
 def bucket_ratio(spark: SparkSession, d: str) -> DataFrame:
     lineitem = read_table(spark, d, "lineitem")
-    return band_counts(lineitem, F.col("l_discount") * 10, S.RATIO_BANDS, where=RETURNED())
+    return band_counts(lineitem, F.col("l_discount") * 10, S.RATIO_BANDS, where=_returned())
 
 
 def weekday_counts(spark: SparkSession, d: str) -> DataFrame:
-    return category_counts(_events(spark, d), _weekday(), S.WEEKDAY_COL, where=SOLD())
+    return category_counts(_events(spark, d), _weekday(), S.WEEKDAY_COL, where=_sold())
 
 
 def top_sellers(spark: SparkSession, d: str) -> DataFrame:
-    return top_k(_events(spark, d), "user_id", S.TOP_SELLERS, S.SELLER_COL, where=SOLD())
+    return top_k(_events(spark, d), "user_id", S.TOP_SELLERS, S.SELLER_COL, where=_sold())
 
 
 def all_reports(spark: SparkSession, d: str) -> DataFrame:
@@ -99,7 +98,7 @@ def all_reports(spark: SparkSession, d: str) -> DataFrame:
         "weekday": _weekday(),
         "seller": F.col("user_id"),
     }
-    return sold_reports(_events(spark, d), dims, where=SOLD())
+    return sold_reports(_events(spark, d), dims, where=_sold())
 
 
 # --- cleaning and casts (FLT1-2, FLT4, PRJ2, EXP4, EXP7) --------------------
@@ -190,7 +189,7 @@ def reg_metrics(spark: SparkSession, d: str) -> DataFrame:
 def clf_metrics(spark: SparkSession, d: str) -> DataFrame:
     """Sold metrics of a parity predictor (``k % 2``), in one pass."""
     ev = _with_k(_events(spark, d)).select(
-        SOLD().cast("double").alias("sold"), (F.col("k") % 2).cast("double").alias("parity"))
+        _sold().cast("double").alias("sold"), (F.col("k") % 2).cast("double").alias("parity"))
     m = classification_metrics(ev, "sold", {"k_parity": "parity"})
     return m.select("id", "algorithm_name",
                     *[F.round(c, 9).alias(c) for c in ("accuracy", "weighted_recall", "f1")])
@@ -210,7 +209,7 @@ def reg_metrics_multi(spark: SparkSession, d: str) -> DataFrame:
 def class_recall(spark: SparkSession, d: str) -> DataFrame:
     """Recall of each true class (what weighted recall hides)."""
     ev = _with_k(_events(spark, d)).select(
-        SOLD().cast("double").alias("sold"), (F.col("k") % 2).cast("double").alias("parity"))
+        _sold().cast("double").alias("sold"), (F.col("k") % 2).cast("double").alias("parity"))
     r = per_class_recall(ev, "sold", {"k_parity": "parity"})
     return r.select("model_id", "algorithm_name", "label", "n_label", "tp",
                     F.round("recall", 9).alias("recall"))
