@@ -165,14 +165,13 @@ def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def landed_csv(spark: SparkSession, d: str) -> DataFrame:
-    """Rows landed as headerless all-text CSV in ``batch_id=N`` folders
-    (as the stream ingest writes them), read back by glob with a
-    positional schema and cast leniently."""
+    """Rows landed as headerless all-text CSV (as the stream ingest writes
+    them), read back with a positional schema and cast leniently."""
     names = [n for n, _ in MESSAGE_FIELDS]
     root = scratch_path(spark, "landed_csv")
     text = _events(spark, d).select(*[F.col(n).cast("string").alias(n) for n in names])
-    write_table(text, f"{root}/batch_id=0", fmt="csv", options={"header": "false"})
-    raw = read_listings(spark, f"{root}/batch_id=*", S.all_strings(names), fmt="csv", header=False)
+    write_table(text, root, fmt="csv", options={"header": "false"})
+    raw = read_listings(spark, root, S.all_strings(names), fmt="csv", header=False)
     return cast_lenient(raw, S.struct(MESSAGE_FIELDS))
 
 

@@ -4,7 +4,7 @@
   and rank the three price and three sold models, save them, and write
   the leaderboards, the cleaned training table and the five sold reports.
 * :func:`ingest_messages` -- decode a stream of JSON listing messages and
-  land them (32 columns), with malformed messages kept aside.
+  land them (32 columns), with malformed messages kept aside, exactly once.
 * :func:`score_landed` / :func:`score_landed_stream` -- score landed
   listings with all six saved models in one pass (batch, or incrementally
   as files arrive).
@@ -36,7 +36,7 @@ from lotcast.operators.reports import sold_reports, split_report
 from lotcast.session import scratch_path
 from lotcast.sinks.writers import write_table
 from lotcast.sources.readers import read_listings
-from lotcast.streaming.ingest import open_stream
+from lotcast.streaming.ingest import open_stream, stream_to_files
 from lotcast.streaming.scoring import score_stream
 
 # FIXED VALUES: output table names (the misspelt "decision_treer" of the
@@ -164,41 +164,31 @@ def landed_columns() -> list[str]:
 
 def ingest_messages(messages: DataFrame, landed_root: str, rejects_root: str, checkpoint: str,
                     value_col: str = "value", fmt: str = "csv",
-                    trigger: str | None = "availableNow") -> StreamingQuery:
+                    trigger: str | None = "availableNow") -> tuple[StreamingQuery, StreamingQuery]:
     """Land a stream of JSON listing messages (Kafka ``value`` or text).
 
-    Each micro-batch is decoded once and split: well-formed messages go to
-    ``landed_root/batch_id=N`` as the 32 landed columns (headerless CSV by
-    default, as the scorer expects), malformed ones with their text to
-    ``rejects_root/batch_id=N``. Both writes overwrite their batch folder,
-    so a batch replayed after a failure replaces itself instead of adding
-    duplicates; with the checkpoint the result is exactly-once.
+    Two checkpointed queries over the same decoded stream: well-formed
+    messages go to ``landed_root`` as the 32 landed columns (headerless CSV
+    by default, as the scorer reads them), malformed ones with their text
+    to ``rejects_root``. Both are file sinks, so each is exactly-once:
+    their metadata logs let batch and streaming readers of the folders see
+    only committed files, and a replayed micro-batch never shows twice
+    downstream. (Each query reads the source once; the decode is cheap.)
     """
     decoded = decode_messages(messages, S.LISTING_MESSAGE, value_col=value_col, corrupt_col=CORRUPT_COL)
-    cols = landed_columns()
-
-    def land(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            good = batch.where(F.col(CORRUPT_COL).isNull()).select(*cols)
-            bad = batch.where(F.col(CORRUPT_COL).isNotNull()).select(CORRUPT_COL)
-            opts = {"header": "false"} if fmt == "csv" else {}
-            write_table(good, f"{landed_root}/batch_id={batch_id}", fmt, "overwrite", opts)
-            write_table(bad, f"{rejects_root}/batch_id={batch_id}", "parquet", "overwrite")
-        finally:
-            batch.unpersist()
-
-    writer = decoded.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
-    if trigger in (None, "availableNow"):
-        writer = writer.trigger(availableNow=True)
-    else:
-        writer = writer.trigger(processingTime=trigger)
-    return writer.start()
+    good = decoded.where(F.col(CORRUPT_COL).isNull()).select(*landed_columns())
+    bad = decoded.where(F.col(CORRUPT_COL).isNotNull()).select(CORRUPT_COL)
+    root = checkpoint.rstrip("/")
+    landed = stream_to_files(good, landed_root, f"{root}/landed", fmt=fmt, trigger=trigger)
+    rejects = stream_to_files(bad, rejects_root, f"{root}/rejects", fmt="parquet", trigger=trigger)
+    return landed, rejects
 
 
 def read_landed(spark: SparkSession, landed_root: str, fmt: str = "csv") -> DataFrame:
-    """Landed listings, typed leniently (bad numbers become NULL)."""
-    raw = read_listings(spark, f"{landed_root}/batch_id=*", S.LISTING_LANDED, fmt=fmt, header=False)
+    """Landed listings, typed leniently (bad numbers become NULL). Reading
+    the sink folder itself (no glob) goes through its metadata log, so only
+    committed files are read."""
+    raw = read_listings(spark, landed_root, S.LISTING_LANDED, fmt=fmt, header=False)
     return cast_lenient(raw, S.LISTING_STREAM)
 
 
@@ -230,7 +220,7 @@ def score_landed_stream(spark: SparkSession, landed_root: str, models: Mapping[s
                         out: str, checkpoint: str, fmt: str = "csv",
                         trigger: str | None = "availableNow") -> StreamingQuery:
     """Incremental version: only newly landed files are scored, each once."""
-    stream = open_stream(spark, f"{landed_root}/batch_id=*", S.LISTING_LANDED, fmt=fmt,
+    stream = open_stream(spark, landed_root, S.LISTING_LANDED, fmt=fmt,
                          options={"header": "false"} if fmt == "csv" else None)
     return score_stream(cast_lenient(stream, S.LISTING_STREAM), models, out, checkpoint,
                         trigger=trigger)

@@ -113,14 +113,14 @@ def test_ingest_then_score_batch_and_stream(spark, batch_result):
     msgs = msgs.unionByName(spark.createDataFrame([("this is not json",)], "value string"))
     src = scratch_path(spark, "t_msgs")
     msgs.write.mode("overwrite").text(src)
-    stream = spark.readStream.schema("value string").text(src)
     landed, rejects = scratch_path(spark, "t_landed"), scratch_path(spark, "t_rejects")
     ckpt = scratch_path(spark, "t_ingest_ckpt")
-    ingest_messages(stream, landed, rejects, ckpt).awaitTermination()
-    ingest_messages(spark.readStream.schema("value string").text(src), landed, rejects, ckpt).awaitTermination()
+    for _ in range(2):  # the second run on the same checkpoints must add nothing
+        for q in ingest_messages(spark.readStream.schema("value string").text(src), landed, rejects, ckpt):
+            q.awaitTermination()
     typed = read_landed(spark, landed)
     assert typed.count() == listings.count()
-    assert spark.read.parquet(f"{rejects}/batch_id=*").count() == 1
+    assert spark.read.parquet(rejects).count() == 1
     assert typed.where("EbayID IS NULL").count() == 0
 
     sink = Sink("parquet", scratch_path(spark, "t_scores"))
