@@ -198,21 +198,24 @@ def score_landed(spark: SparkSession, landed_root: str, model_paths: Mapping[str
 
     Default output: one table ``listing_scores`` with a prediction column
     per model. ``reference_shape=True`` additionally writes one table per
-    model in which the prediction replaces the true label (cut from the
-    scored table, not by rescoring).
+    model in which the prediction replaces the true label. The scores are
+    computed once: with extra tables they are first written to the shared
+    scratch folder and every output is cut from that copy (column reads of
+    Parquet), whatever the sink.
     """
     models = load_all(dict(model_paths))
     scored = score(read_landed(spark, landed_root, fmt), models)
-    written = {"listing_scores": sink.write(scored, "listing_scores")}
-    if reference_shape:
-        scored_path = written["listing_scores"] if sink.fmt == "parquet" else None
-        base = spark.read.parquet(scored_path) if scored_path else scored
-        for name in models:
-            label = "Price" if name.startswith("price") else "QuantitySold"
-            others = [prediction_col(m) for m in models if m != name]
-            table = (base.drop(label, *others)
-                     .withColumnRenamed(prediction_col(name), label))
-            written[name] = sink.write(table, SCORE_TABLES.get(name, name))
+    if not reference_shape:
+        return {"listing_scores": sink.write(scored, "listing_scores")}
+    scored_path = scratch_path(spark, "listing_scores")
+    scored.write.mode("overwrite").parquet(scored_path)
+    base = spark.read.parquet(scored_path)
+    written = {"listing_scores": sink.write(base, "listing_scores")}
+    for name in models:
+        label = "Price" if name.startswith("price") else "QuantitySold"
+        others = [prediction_col(m) for m in models if m != name]
+        table = base.drop(label, *others).withColumnRenamed(prediction_col(name), label)
+        written[name] = sink.write(table, SCORE_TABLES.get(name, name))
     return written
 
 
