@@ -39,14 +39,15 @@ def category_counts(df: DataFrame, col: str | Column, out_col: str,
 
 def top_k(df: DataFrame, col: str | Column, k: int, out_col: str,
           where: Column | str | None = None, count_col: str = COUNT_COL) -> DataFrame:
-    """The ``k`` most frequent values, ties broken by the value itself.
+    """The ``k`` most frequent values, ties broken by the value itself
+    (NULL last).
 
     ``orderBy(...).limit(k)`` plans as TakeOrderedAndProject: every task
     keeps its own top k and only k rows per task reach the final merge.
     A hot key costs nothing extra: the count is combined map-side.
     """
     counts = category_counts(df, col, out_col, where, count_col)
-    return counts.orderBy(F.col(count_col).desc(), F.col(out_col).asc()).limit(k)
+    return counts.orderBy(F.col(count_col).desc(), F.col(out_col).asc_nulls_last()).limit(k)
 
 
 def sold_reports(df: DataFrame, dimensions: dict[str, Column], where: Column | str | None = None,
@@ -85,5 +86,5 @@ def split_report(long_df: DataFrame, name: str, out_col: str, top: int | None =
     out = long_df.where(F.col(report_col) == name).select(
         F.col(key_col).alias(out_col), F.col(count_col))
     if top is not None:
-        out = out.orderBy(F.col(count_col).desc(), F.col(out_col).asc()).limit(top)
+        out = out.orderBy(F.col(count_col).desc(), F.col(out_col).asc_nulls_last()).limit(top)
     return out

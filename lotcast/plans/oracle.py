@@ -34,7 +34,7 @@ ORACLE: dict[str, str] = {
     "weekday_counts": (f"SELECT dayname(ts) AS weeks, count(1) AS counts FROM events "
                        f"WHERE {_SOLD} GROUP BY dayname(ts)"),
     "top_sellers": (f"SELECT user_id AS seller_name, count(1) AS counts FROM events "
-                    f"WHERE {_SOLD} GROUP BY user_id ORDER BY counts DESC, user_id LIMIT 10"),
+                    f"WHERE {_SOLD} GROUP BY user_id ORDER BY counts DESC, user_id ASC NULLS LAST LIMIT 10"),
     "all_reports": " UNION ALL ".join([
         _long_report("activity", band_sql("value", *S.ACTIVITY_BANDS)),
         _long_report("price", band_sql("value", *S.PRICE_BANDS)),

@@ -164,3 +164,9 @@ def test_hash_split_partitions_rows_deterministically(spark):
     dup = spark.createDataFrame([(1, 2)] * 50, "a long, b long")
     sides = [p.count() for p in hash_split(dup, [0.5, 0.5], seed=1)]
     assert sorted(sides) == [0, 50]
+
+
+def test_top_k_null_key_sorts_last_on_ties(spark):
+    df = spark.createDataFrame([(None,), (None,), ("b",), ("b",), ("a",)], "seller string")
+    out = top_k(df, "seller", 2, "seller_name").collect()
+    assert [(r[0], r[1]) for r in out] == [("b", 2), (None, 2)]
