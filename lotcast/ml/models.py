@@ -3,6 +3,7 @@ cached assembly, saved and loaded as self-contained PipelineModels."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -17,7 +18,6 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotcast.operators.partitioning import spread
 
 # FIXED VALUES: model settings that must equal the reference's.
 # Forests: 10 trees, seed 10. Decision tree: seed 10. Everything else is
@@ -25,6 +25,11 @@ from lotcast.operators.partitioning import spread
 FOREST_TREES = 10
 SEED = 10
 
+# Fewest rows worth a task of its own in an iterative fit: below this, the
+# per-iteration cost of more tasks (and of the extra tree-aggregation stage
+# they bring) outweighs the parallel work.
+MIN_ROWS_PER_FIT_TASK = 50_000
+
 REGRESSION = "regression"
 CLASSIFICATION = "classification"
 
@@ -61,6 +66,20 @@ def _estimators(family: str, prefix: str, features_col: str, label: str, seed: i
     raise ValueError(f"unknown family {family!r}")
 
 
+def fit_layout(inputs: DataFrame, rows: int) -> DataFrame:
+    """Partition a materialized training table for iterative fitting: one
+    task per ``MIN_ROWS_PER_FIT_TASK`` rows, at most one per core. A table
+    that is large for the cluster keeps its partitioning untouched."""
+    cores = inputs.sparkSession.sparkContext.defaultParallelism
+    want = max(1, min(cores, math.ceil(rows / MIN_ROWS_PER_FIT_TASK)))
+    parts = inputs.rdd.getNumPartitions()  # a cached relation: planning only, no job
+    if parts < want:
+        return inputs.repartition(want)
+    if parts > want and want < cores:
+        return inputs.coalesce(want)
+    return inputs
+
+
 def assembler(features: Sequence[str], features_col: str, handle_invalid: str = "skip") -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=features_col,
                            handleInvalid=handle_invalid)
@@ -73,9 +92,9 @@ def fit_all(df: DataFrame, features: Sequence[str], label: str, family: str,
 
     The feature columns are computed once and persisted (memory and disk,
     so a lost executor's blocks are recomputed from the lineage) for all
-    three fits, then released; a training set that scans as
-    fewer partitions than the cluster has cores is spread out first, or the
-    iterative fits would run on one core. Rows with a NULL label or a
+    three fits, then released. The fitting partitions are sized from the
+    row count: a one-file input is dealt out over the cores, a tiny one is
+    kept to few tasks, a large one is left as it is. Rows with a NULL label or a
     NULL/NaN feature cannot be fitted and are skipped here -- use
     ``split_rejects`` beforehand to keep them visible. Each returned
     pipeline is [assembler, model], so it scores raw rows by itself.
@@ -87,16 +106,15 @@ def fit_all(df: DataFrame, features: Sequence[str], label: str, family: str,
     # Persist the narrow (features, label) table first. It is the optimizer
     # barrier that keeps the assembler's NULL filter from being pushed below
     # the projection that computes the features (which would evaluate every
-    # feature expression twice). Once it is materialized its partition count
-    # is known without running anything; if it is below the cluster's cores
-    # (a one-file input) the small numeric table is dealt out before the
-    # vectors are cached once for all three fits.
+    # feature expression twice). Once it is materialized, its row count sizes
+    # the fitting partitions (see fit_layout) before the vectors are cached
+    # once for all three fits.
     inputs = df.select(*features, y.alias(label)).where(y.isNotNull() & ~F.isnan(y))
     inputs = inputs.persist(StorageLevel.MEMORY_AND_DISK)
     training = None
     try:
-        inputs.count()
-        training = (asm.transform(spread(inputs)).select(features_col, label)
+        rows = inputs.count()
+        training = (asm.transform(fit_layout(inputs, rows)).select(features_col, label)
                     .persist(StorageLevel.MEMORY_AND_DISK))
         training.count()
         inputs.unpersist()

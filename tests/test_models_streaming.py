@@ -117,3 +117,17 @@ def test_score_stream_each_batch_tags_batches(spark):
     assert got.count() == read_table(spark, SF_SMALL, "events").count()
     assert {r[0] for r in got.select("batch_id").distinct().collect()} == {0}
     assert prediction_col("value_linear") in got.columns
+
+
+def test_fit_layout_sizes_partitions_from_rows(spark):
+    from lotcast.ml.models import MIN_ROWS_PER_FIT_TASK, fit_layout
+    cores = spark.sparkContext.defaultParallelism
+    tiny = spark.range(1000).repartition(8).persist()
+    assert fit_layout(tiny, tiny.count()).rdd.getNumPartitions() == 1
+    one = spark.range(4 * MIN_ROWS_PER_FIT_TASK).coalesce(1).persist()
+    assert fit_layout(one, one.count()).rdd.getNumPartitions() == min(cores, 4)
+    big_rows = 10 * cores * MIN_ROWS_PER_FIT_TASK  # large for this cluster: left alone
+    many = spark.range(100).repartition(3 * cores).persist()
+    assert fit_layout(many, big_rows).rdd.getNumPartitions() == 3 * cores
+    for df in (tiny, one, many):
+        df.unpersist()
