@@ -2,6 +2,7 @@
 
 from lotcast.operators.clean import REASON_COL, clean, reject_reason, split_rejects, tag_rejects
 from lotcast.operators.metrics import (
+    class_totals,
     classification_metrics,
     confusion,
     leaderboard_classification,
@@ -15,7 +16,7 @@ from lotcast.operators.reports import band_counts, category_counts, sold_reports
 
 __all__ = [
     "REASON_COL", "clean", "reject_reason", "split_rejects", "tag_rejects",
-    "classification_metrics", "confusion", "leaderboard_classification",
+    "class_totals", "classification_metrics", "confusion", "leaderboard_classification",
     "leaderboard_regression", "per_class_recall", "regression_metrics",
     "spread", "hash_split", "band_counts", "category_counts", "sold_reports", "split_report", "top_k",
 ]

@@ -76,6 +76,37 @@ def confusion(df: DataFrame, label: str | Column,
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def class_totals(df: DataFrame, label: str | Column,
+                 predictions: str | Column | Mapping[str, str | Column]) -> DataFrame:
+    """Per model and class: rows truly in the class (``n_label``), rows
+    predicted as it (``n_pred``) and rows both (``tp``), in one
+    aggregation.
+
+    Each scored row is emitted twice per model -- once under its true
+    class, once under its predicted class -- and summed with a map-side
+    partial step, so the shuffle carries one row per class per task
+    whatever the data size, and no join is needed.
+    """
+    y = _col(label).cast("double")
+    models = _models(predictions)
+    sides = []
+    for i, (name, p) in enumerate(models):
+        p = p.cast("double")
+        ok = y.isNotNull() & p.isNotNull()
+        hit = F.when(y == p, F.lit(1)).otherwise(F.lit(0))
+        for cls, is_true, is_pred, tp in ((y, 1, 0, hit), (p, 0, 1, F.lit(0))):
+            sides.append(F.when(ok, F.struct(
+                F.lit(i + 1).alias("model_id"), F.lit(name).alias("algorithm_name"),
+                cls.alias("label"), F.lit(is_true).alias("t"), F.lit(is_pred).alias("q"),
+                tp.alias("tp"))))
+    exploded = df.select(F.explode(F.array(*sides)).alias("_s")).where(F.col("_s").isNotNull())
+    return (exploded.select("_s.*")
+            .groupBy("model_id", "algorithm_name", "label")
+            .agg(F.sum("t").cast("long").alias("n_label"),
+                 F.sum("q").cast("long").alias("n_pred"),
+                 F.sum("tp").cast("long").alias("tp")))
+
+
 def classification_metrics(df: DataFrame, label: str | Column,
                            predictions: str | Column | Mapping[str, str | Column]) -> DataFrame:
     """accuracy, weighted recall and weighted F1 per model.
@@ -84,23 +115,12 @@ def classification_metrics(df: DataFrame, label: str | Column,
     ``F1 = 2 tp / (n_true + n_predicted)`` (0 for a class never
     predicted), weighted by the class's share of rows. Weighted recall
     always equals accuracy; it is reported because the leaderboard
-    carries it.
+    carries it. Two aggregations over one scan, no join, no window.
     """
-    cells = confusion(df, label, predictions)
-    keys = ["model_id", "algorithm_name"]
-    diag = F.col("label") == F.col("prediction")
-    per_label = cells.groupBy(*keys, "label").agg(
-        F.sum("n").alias("n_label"),
-        F.sum(F.when(diag, F.col("n")).otherwise(F.lit(0))).alias("tp"))
-    per_pred = (cells.groupBy(*keys, "prediction").agg(F.sum("n").alias("n_pred"))
-                .withColumnRenamed("prediction", "label"))
-    # Per true class: tp, its row count and how often it was predicted.
-    # Aggregates and an equi-join on (model, class) -- no group ever holds
-    # more than one class's totals.
-    stats = per_label.join(per_pred, [*keys, "label"], "left")
     f1_term = F.when(F.col("tp") > 0,
                      2.0 * F.col("tp") / (F.col("n_label") + F.col("n_pred")) * F.col("n_label"))
-    return (stats.groupBy(*keys)
+    return (class_totals(df, label, predictions)
+            .groupBy("model_id", "algorithm_name")
             .agg(F.sum("n_label").alias("_n"),
                  F.sum("tp").alias("_tp"),
                  F.sum(f1_term).alias("_f1"))
@@ -114,12 +134,10 @@ def per_class_recall(df: DataFrame, label: str | Column,
                      predictions: str | Column | Mapping[str, str | Column]) -> DataFrame:
     """Recall of each true class per model (the evaluator's weighted
     recall hides it)."""
-    cells = confusion(df, label, predictions)
-    diag = F.col("label") == F.col("prediction")
-    return (cells.groupBy("model_id", "algorithm_name", "label")
-            .agg(F.sum("n").alias("n_label"),
-                 F.sum(F.when(diag, F.col("n")).otherwise(F.lit(0))).alias("tp"))
-            .withColumn("recall", F.col("tp") / F.col("n_label")))
+    return (class_totals(df, label, predictions)
+            .where(F.col("n_label") > 0)
+            .select("model_id", "algorithm_name", "label", "n_label", "tp",
+                    (F.col("tp") / F.col("n_label")).alias("recall")))
 
 
 def leaderboard_regression(metrics: DataFrame) -> DataFrame:
