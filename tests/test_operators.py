@@ -170,3 +170,11 @@ def test_top_k_null_key_sorts_last_on_ties(spark):
     df = spark.createDataFrame([(None,), (None,), ("b",), ("b",), ("a",)], "seller string")
     out = top_k(df, "seller", 2, "seller_name").collect()
     assert [(r[0], r[1]) for r in out] == [("b", 2), (None, 2)]
+
+
+def test_confusion_cells(spark):
+    from lotcast.operators import confusion
+    pairs = [(1, 1), (0, 1), (1, 0), (1, 1), (0, 0), (1, 1)]
+    df = spark.createDataFrame([(float(p), float(lab)) for p, lab in pairs], "prediction double, label double")
+    cells = {(r["label"], r["prediction"]): r["n"] for r in confusion(df, "label", "prediction").collect()}
+    assert cells == {(1.0, 1.0): 3, (1.0, 0.0): 1, (0.0, 1.0): 1, (0.0, 0.0): 1}

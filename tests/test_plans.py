@@ -54,3 +54,10 @@ def test_no_python_udfs_anywhere(spark):
     for name in ["all_reports", "clean_distinct", "clf_metrics", "class_recall", "landed_csv"]:
         plan = _plan(E.queries()[name](spark, SF_SMALL))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_classification_metrics_two_shuffles_no_join(spark):
+    plan = _plan(E.queries()["clf_metrics"](spark, SF_SMALL))
+    assert plan.count("FileScan parquet") == 1
+    assert _shuffles(plan) == 2
+    assert "Join" not in plan
