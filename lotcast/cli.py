@@ -22,6 +22,7 @@ if __package__ in (None, ""):
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from lotcast import schemas as S  # noqa: E402
 from lotcast.ml import load_all  # noqa: E402
 from lotcast.plans.listing_jobs import (  # noqa: E402
     SCORE_TABLES,
@@ -80,7 +81,7 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--max-offsets", type=int)
     i.add_argument("--landed", required=True)
     i.add_argument("--rejects", required=True)
-    i.add_argument("--trigger", default="10 seconds", help='interval, or "availableNow"')
+    i.add_argument("--trigger", default=S.INGEST_INTERVAL, help='interval, or "availableNow"')
     i.add_argument("--checkpoint", help="default: <spark.checkpoint.dir>/lotcast/ingest")
 
     s = sub.add_parser("score", help="score everything landed, once")
@@ -92,7 +93,7 @@ def parser() -> argparse.ArgumentParser:
     t = sub.add_parser("score-stream", help="score new landed files as they arrive")
     t.add_argument("--landed", required=True)
     t.add_argument("--models", required=True)
-    t.add_argument("--trigger", default="30 seconds", help='interval, or "availableNow"')
+    t.add_argument("--trigger", default=S.SCORE_INTERVAL, help='interval, or "availableNow"')
     t.add_argument("--checkpoint", help="default: <spark.checkpoint.dir>/lotcast/score")
     _add_sink_args(t)
     return ap

@@ -18,12 +18,11 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lotcast import schemas as S
 
-# FIXED VALUES: model settings that must equal the reference's.
-# Forests: 10 trees, seed 10. Decision tree: seed 10. Everything else is
-# Spark's default. GBT was unseeded in the reference; we seed it too.
-FOREST_TREES = 10
-SEED = 10
+
+FOREST_TREES = S.FOREST_TREES
+SEED = S.SEED
 
 # Fewest rows worth a task of its own in an iterative fit: below this, the
 # per-iteration cost of more tasks (and of the extra tree-aggregation stage

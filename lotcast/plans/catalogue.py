@@ -243,7 +243,7 @@ def _count_chars(text: Column, chars: str) -> Column:
     return (F.length(text) - F.length(F.translate(text, chars, ""))).cast("double")
 
 
-# FIXED VALUES: character classes of the text features.
+# Character classes counted by the text features.
 DIGITS = "0123456789"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 PUNCT = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"

@@ -39,18 +39,11 @@ from lotcast.sources.readers import read_listings
 from lotcast.streaming.ingest import open_stream, stream_to_files
 from lotcast.streaming.scoring import score_stream, score_stream_each_batch
 
-# FIXED VALUES: output table names (the misspelt "decision_treer" of the
-# reference is written "decision_tree").
-TABLE_PRICE_BOARD = "indicators_price"
-TABLE_SOLD_BOARD = "indicators_quantity_sold"
-TABLE_TRAINING = "training"
-REPORT_TABLES = {
-    "activity": "task_hit_count",
-    "weekday": "task_week",
-    "seller": "task_seller_name",
-    "ratio": "task_ratio",
-    "price": "task_price",
-}
+TABLE_PRICE_BOARD = S.TABLE_PRICE_BOARD
+TABLE_SOLD_BOARD = S.TABLE_SOLD_BOARD
+TABLE_TRAINING = S.TABLE_TRAINING
+REPORT_TABLES = S.REPORT_TABLES
+SCORE_TABLES = S.SCORE_TABLES
 REPORT_COLUMNS = {
     "activity": S.RANGE_COL,
     "weekday": S.WEEKDAY_COL,
@@ -58,14 +51,6 @@ REPORT_COLUMNS = {
     "ratio": S.RANGE_COL,
     "price": S.RANGE_COL,
 }
-SCORE_TABLES = {
-    "price_linear": "price_regression_linear",
-    "price_random_forest": "price_regression_random_forest",
-    "price_gbt": "price_regression_gbt",
-    "sold_logistic": "quantity_sold_regression_logistic",
-    "sold_random_forest": "quantity_sold_regression_random_forest",
-    "sold_decision_tree": "quantity_sold_regression_decision_tree",
-}
 
 
 @dataclass

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from lotcast.schemas import KAFKA_MAX_FETCH_BYTES
+
 
 def read_listings(spark: SparkSession, path: str, schema: StructType, fmt: str = "csv",
                   header: bool = True, options: dict | None = None) -> DataFrame:
@@ -42,7 +44,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def kafka_options(bootstrap_servers: str, topic: str, starting_offsets: str = "earliest",
                   max_offsets_per_trigger: int | None = None,
-                  max_fetch_bytes: int | None = 15728640, **extra: str) -> dict[str, str]:
+                  max_fetch_bytes: int | None = KAFKA_MAX_FETCH_BYTES, **extra: str) -> dict[str, str]:
     """Options for ``readStream.format("kafka")``.
 
     Resuming is the checkpoint's job (``startingOffsets`` only applies to a

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from lotcast import schemas as S
 from lotcast.functions.codec import CORRUPT_COL, decode_messages
 
-# FIXED VALUE: the reference's micro-batch interval.
-DEFAULT_INTERVAL = "10 seconds"
+DEFAULT_INTERVAL = S.INGEST_INTERVAL
 
 
 def open_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
