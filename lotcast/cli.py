@@ -72,6 +72,7 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--input-format", default="csv")
     b.add_argument("--models", help="model folder (default: under the checkpoint dir)")
     b.add_argument("--reject-nan", action="store_true")
+    b.add_argument("--malformed-table", help="also write input lines that do not parse to this output")
     _add_sink_args(b)
 
     i = sub.add_parser("ingest", help="land JSON listing messages")
@@ -105,7 +106,8 @@ def main(argv: list[str] | None = None) -> dict:
     ckpt = scratch_root(spark)
     if args.command == "batch":
         result = run_batch(spark, args.train, args.test, _sink(args), fmt=args.input_format,
-                           model_root=args.models, reject_nan=args.reject_nan)
+                           model_root=args.models, reject_nan=args.reject_nan,
+                           malformed_table=args.malformed_table)
     elif args.command == "ingest":
         if args.kafka:
             messages = open_kafka(spark, kafka_options(args.kafka, args.topic,

@@ -110,7 +110,8 @@ def listing_reports(spark: SparkSession, listings: DataFrame, sink: Sink) -> dic
 
 def run_batch(spark: SparkSession, training_path: str, test_path: str, sink: Sink,
               fmt: str = "csv", schema: StructType = S.LISTING_BATCH, header: bool = True,
-              model_root: str | None = None, reject_nan: bool = False) -> dict:
+              model_root: str | None = None, reject_nan: bool = False,
+              malformed_table: str | None = None) -> dict:
     """Clean -> train -> evaluate -> report, as the reference's batch job.
 
     The cleaned tables are written once to the shared scratch folder and
@@ -118,12 +119,27 @@ def run_batch(spark: SparkSession, training_path: str, test_path: str, sink: Sin
     cleaned Parquet, not from the raw CSV and the shuffle of ``distinct``)
     and gives every later step a columnar input, so each report reads 2
     columns instead of 28.
+
+    With ``malformed_table``, input lines with a value that does not parse
+    are also written, raw text included, to that output (``<name>_train``
+    and ``<name>_test``); the rows themselves go on as before, with NULL in
+    the bad field.
     """
-    cleaned = {}
+    cleaned, tables = {}, {}
     for name, path in (("train", training_path), ("test", test_path)):
-        raw = read_listings(spark, path, schema, fmt=fmt, header=header)
+        corrupt = CORRUPT_COL if malformed_table else None
+        raw = read_listings(spark, path, schema, fmt=fmt, header=header, corrupt_col=corrupt)
+        if corrupt:
+            raw = raw.persist()
+            tables[f"malformed_{name}"] = sink.write(
+                raw.where(F.col(corrupt).isNotNull()), f"{malformed_table}_{name}")
+            rows = raw.drop(corrupt)
+        else:
+            rows = raw
         out = scratch_path(spark, f"clean_{name}")
-        clean(raw, reject_nan=reject_nan).write.mode("overwrite").parquet(out)
+        clean(rows, reject_nan=reject_nan).write.mode("overwrite").parquet(out)
+        if corrupt:
+            raw.unpersist()
         cleaned[name] = spark.read.parquet(out)
     train, test = cleaned["train"], cleaned["test"]
 
@@ -134,11 +150,11 @@ def run_batch(spark: SparkSession, training_path: str, test_path: str, sink: Sin
     model_root = model_root or scratch_path(spark, "models")
     paths = save_all({**price_models, **sold_models}, model_root)
 
-    tables = {
+    tables.update({
         "price_board": sink.write(price_board, TABLE_PRICE_BOARD),
         "sold_board": sink.write(sold_board, TABLE_SOLD_BOARD),
         "training": sink.write(train, TABLE_TRAINING),
-    }
+    })
     tables.update(listing_reports(spark, train, sink))
     return {"models": paths, "tables": tables}
 

@@ -3,23 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lotcast.schemas import KAFKA_MAX_FETCH_BYTES
 
 
 def read_listings(spark: SparkSession, path: str, schema: StructType, fmt: str = "csv",
-                  header: bool = True, options: dict | None = None) -> DataFrame:
+                  header: bool = True, options: dict | None = None,
+                  corrupt_col: str | None = None) -> DataFrame:
     """Typed read with a declared schema -- never inferred.
 
     For CSV with a header, Spark maps the schema onto the columns by
     position (the header names are skipped), which is how the listing
     files are laid out. For headerless landed files pass ``header=False``:
     the schema names the positional columns directly, no rename chain.
+
+    A value that does not parse as its type becomes NULL. With
+    ``corrupt_col`` (CSV/JSON) such a line also keeps its raw text in that
+    column, so malformed input can be set aside instead of passing
+    silently as NULLs.
     """
+    if corrupt_col:
+        schema = StructType(schema.fields + [StructField(corrupt_col, StringType(), True)])
     reader = spark.read.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", header)
+    if corrupt_col:
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
     return reader.options(**(options or {})).load(path)
 
 

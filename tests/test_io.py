@@ -54,3 +54,13 @@ def test_landed_csv_without_header(spark):
     spark.createDataFrame([row], S.LISTING_LANDED).write.option("header", False).csv(path)
     back = read_listings(spark, path, S.LISTING_LANDED, header=False).first()
     assert back["EbayID"] == "0" and back["IsInMedianRatio25Percent"] == "31"
+
+
+def test_csv_malformed_lines_keep_their_text(spark):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+    path = scratch_path(spark, "t_csv_bad")
+    spark.createDataFrame([("a", "1"), ("b", "oops")], "s string, n string").write.option("header", True).csv(path)
+    schema = StructType([StructField("s", StringType()), StructField("n", IntegerType())])
+    rows = read_listings(spark, path, schema, corrupt_col="_corrupt_record").cache()
+    got = sorted((r["s"], r["n"], r["_corrupt_record"]) for r in rows.collect())
+    assert got == [("a", 1, None), ("b", None, "b,oops")]

@@ -65,8 +65,13 @@ def batch_result(spark):
     train, test = listings.randomSplit([0.7, 0.3], seed=3)
     train.write.mode("overwrite").option("header", True).csv(f"{root}/train")
     test.write.mode("overwrite").option("header", True).csv(f"{root}/test")
+    # One malformed line (text in the bigint id) in an extra training file.
+    bad = train.limit(1).select(*[F.lit("not-a-number").alias(c) if c == "EbayID" else F.col(c)
+                                  for c in train.columns])
+    bad.write.mode("append").option("header", True).csv(f"{root}/train")
     sink = Sink("parquet", scratch_path(spark, "t_listing_out"))
-    return listings, sink, run_batch(spark, f"{root}/train", f"{root}/test", sink)
+    return listings, sink, run_batch(spark, f"{root}/train", f"{root}/test", sink,
+                                     malformed_table="malformed")
 
 
 def test_batch_job_reports_match_sql(spark, batch_result):
@@ -89,6 +94,13 @@ def test_batch_job_reports_match_sql(spark, batch_result):
     assert weeks.agg(F.sum("counts")).first()[0] == train.where("QuantitySold = 1.0").count()
 
 
+def test_batch_job_keeps_malformed_lines_aside(spark, batch_result):
+    _, sink, result = batch_result
+    bad = spark.read.parquet(result["tables"]["malformed_train"]).collect()
+    assert len(bad) == 1 and bad[0]["EbayID"] is None and "not-a-number" in bad[0]["_corrupt_record"]
+    assert spark.read.parquet(result["tables"]["malformed_test"]).count() == 0
+
+
 def test_batch_job_cleaned_and_leaderboards(spark, batch_result):
     listings, sink, result = batch_result
     train = spark.read.parquet(sink.target("training"))
