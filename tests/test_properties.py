@@ -99,3 +99,25 @@ def test_leaderboard_metrics_equal_numpy(spark):
         assert ours[name]["rmse"] == pytest.approx(math.sqrt(mse), rel=1e-9)
         assert ours[name]["mae"] == pytest.approx(float(np.mean(np.abs(e))), rel=1e-9)
         assert ours[name]["r2"] == pytest.approx(1 - mse / float(np.var(y)), rel=1e-9, abs=1e-12)
+
+
+row = st.tuples(
+    st.one_of(st.none(), st.sampled_from([0.0, -0.0, 1.5, float("nan")])),
+    st.one_of(st.none(), st.sampled_from(["s1", "s2"])),
+    st.one_of(st.none(), st.sampled_from(["Monday", "Friday"])),
+    st.one_of(st.none(), st.integers(-1, 2)),
+)
+
+
+@SETTINGS
+@given(st.lists(row, min_size=1, max_size=30))
+def test_clean_matches_python(spark, rows):
+    from lotcast.operators import clean
+    df = spark.createDataFrame(rows, "Price double, SellerName string, EndDay string, HitCount int")
+    expected = set()
+    for price, seller, day, hits in rows:
+        if price is None or seller is None or day is None or hits is None or hits <= 0:
+            continue
+        # distinct treats NaN = NaN and -0.0 = 0.0
+        expected.add(("nan" if math.isnan(price) else price + 0.0, seller, day, hits))
+    assert clean(df).count() == len(expected)
