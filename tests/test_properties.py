@@ -121,3 +121,22 @@ def test_clean_matches_python(spark, rows):
         # distinct treats NaN = NaN and -0.0 = 0.0
         expected.add(("nan" if math.isnan(price) else price + 0.0, seller, day, hits))
     assert clean(df).count() == len(expected)
+
+
+wire_row = st.tuples(
+    st.one_of(st.none(), st.integers(-(2 ** 63), 2 ** 63 - 1)),
+    st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=True, width=64)),
+    st.one_of(st.none(), st.text(max_size=20)),
+)
+
+
+@SETTINGS
+@given(st.lists(wire_row, min_size=1, max_size=25))
+def test_message_codec_round_trip(spark, rows):
+    from lotcast.functions import cast_lenient, decode_messages, encode_messages
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, id long, x double, s string")
+    wire = encode_messages(df, df.columns)
+    back = cast_lenient(decode_messages(wire, S.all_strings(df.columns), corrupt_col=None), df.schema)
+    got = sorted(back.collect(), key=lambda r: r["i"])
+    want = sorted(df.collect(), key=lambda r: r["i"])
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
