@@ -140,3 +140,15 @@ def test_message_codec_round_trip(spark, rows):
     got = sorted(back.collect(), key=lambda r: r["i"])
     want = sorted(df.collect(), key=lambda r: r["i"])
     assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 4)), min_size=1, max_size=60))
+def test_classification_metrics_match_evaluator(spark, pairs):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from lotcast.operators import classification_metrics
+    df = spark.createDataFrame([(float(y), float(p)) for y, p in pairs], "label double, prediction double")
+    ours = classification_metrics(df, "label", "prediction").first()
+    for metric, col in (("accuracy", "accuracy"), ("f1", "f1"), ("weightedRecall", "weighted_recall")):
+        ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName=metric)
+        assert ours[col] == pytest.approx(ev.evaluate(df), rel=1e-9, abs=1e-12), metric
