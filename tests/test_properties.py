@@ -152,3 +152,33 @@ def test_classification_metrics_match_evaluator(spark, pairs):
     for metric, col in (("accuracy", "accuracy"), ("f1", "f1"), ("weightedRecall", "weighted_recall")):
         ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName=metric)
         assert ours[col] == pytest.approx(ev.evaluate(df), rel=1e-9, abs=1e-12), metric
+
+
+finite = st.floats(min_value=-1e6, max_value=1e6, allow_nan=False, allow_infinity=False)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(finite, finite), min_size=2, max_size=60))
+def test_regression_metrics_match_evaluator(spark, pairs):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    df = spark.createDataFrame(pairs, "label double, prediction double")
+    ours = regression_metrics(df, "label", "prediction").first()
+    for metric in ("rmse", "mse", "mae", "r2"):
+        ev = RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName=metric).evaluate(df)
+        if metric == "r2" and (ours["r2"] is None or not math.isfinite(ev)):
+            continue  # constant labels: r2 undefined
+        assert ours[metric] == pytest.approx(ev, rel=1e-7, abs=1e-6), metric
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(floats, st.sampled_from(["a", "b", "c", None]), st.booleans()), min_size=1, max_size=60))
+def test_sold_reports_equal_separate_counts(spark, rows):
+    from lotcast.operators import band_counts, category_counts, sold_reports, split_report
+    df = spark.createDataFrame(rows, "v double, seller string, sold boolean")
+    long_df = sold_reports(df, {"price": band("v", *S.PRICE_BANDS), "seller": F.col("seller")},
+                           where=F.col("sold"))
+    sep_price = band_counts(df, "v", S.PRICE_BANDS, where=F.col("sold"))
+    sep_seller = category_counts(df, "seller", "seller_name", where=F.col("sold"))
+    assert sorted(split_report(long_df, "price", "range_name").collect()) == sorted(sep_price.collect())
+    got = sorted(split_report(long_df, "seller", "seller_name").collect(), key=repr)
+    assert got == sorted(sep_seller.collect(), key=repr)
