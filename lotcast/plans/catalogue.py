@@ -258,7 +258,7 @@ def document_features(spark: SparkSession, d: str) -> DataFrame:
     return docs.select(
         "doc_id",
         F.length(text).cast("double").alias("n_chars"),
-        F.size(F.split(F.trim(text), r"\s+")).cast("double").alias("n_words"),
+        F.when(text.isNotNull(), F.size(F.split(F.trim(text), r"\s+"))).cast("double").alias("n_words"),
         (_count_chars(text, "\n") + 1).alias("n_lines"),
         _count_chars(text, DIGITS).alias("n_digits"),
         _count_chars(text, UPPER).alias("n_upper"),
