@@ -63,3 +63,15 @@ def test_leaderboards_have_three_rows(spark):
     assert all(r["rmse"] >= 0 for r in price)
     sold = E.queries()["sold_leaderboard"](spark, SF_SMALL).collect()
     assert len(sold) == 3 and all(0 <= r["accurate_rate"] <= 1 for r in sold)
+
+
+@pytest.mark.parametrize("name", ["weekday_counts", "all_reports", "lenient_cast", "encode_decode", "clf_metrics"])
+def test_results_do_not_depend_on_session_settings(spark, con, name):
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.ansi.enabled", "spark.sql.session.timeZone")}
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        test_query_matches_oracle(spark, con, name)
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
