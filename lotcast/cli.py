@@ -96,6 +96,7 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--models", required=True)
     t.add_argument("--trigger", default=S.SCORE_INTERVAL, help='interval, or "availableNow"')
     t.add_argument("--checkpoint", help="default: <spark.checkpoint.dir>/lotcast/score")
+    t.add_argument("--max-files", type=int, help="most landed files per micro-batch")
     _add_sink_args(t)
     return ap
 
@@ -127,7 +128,8 @@ def main(argv: list[str] | None = None) -> dict:
         out = "listing_scores" if sink.fmt == "jdbc" else args.out
         q = score_landed_stream(spark, args.landed, load_all(_model_paths(args.models)), out,
                                 args.checkpoint or f"{ckpt}/lotcast/score", trigger=args.trigger,
-                                jdbc=sink if sink.fmt == "jdbc" else None)
+                                jdbc=sink if sink.fmt == "jdbc" else None,
+                                max_files_per_trigger=args.max_files)
         q.awaitTermination()
         result = {"scores": out}
     print(json.dumps(result, default=str))

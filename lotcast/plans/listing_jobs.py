@@ -223,16 +223,19 @@ def score_landed(spark: SparkSession, landed_root: str, model_paths: Mapping[str
 def score_landed_stream(spark: SparkSession, landed_root: str, models: Mapping[str, PipelineModel],
                         out: str, checkpoint: str, fmt: str = "csv",
                         trigger: str | None = "availableNow",
-                        jdbc: Sink | None = None) -> StreamingQuery:
+                        jdbc: Sink | None = None,
+                        max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Incremental version: only newly landed files are scored, each once.
 
     By default the scores go to the exactly-once file sink at ``out``. With
     a JDBC ``Sink`` they are appended to the table named ``out`` through
     :func:`lotcast.sinks.jdbc_batch_writer`, which deletes a replayed
-    micro-batch's rows before writing them again.
+    micro-batch's rows before writing them again. ``max_files_per_trigger``
+    bounds each micro-batch, so a backlog is worked off in steps.
     """
     stream = open_stream(spark, landed_root, S.LISTING_LANDED, fmt=fmt,
-                         options={"header": "false"} if fmt == "csv" else None)
+                         options={"header": "false"} if fmt == "csv" else None,
+                         max_files_per_trigger=max_files_per_trigger)
     typed = cast_lenient(stream, S.LISTING_STREAM)
     if jdbc is not None:
         if jdbc.fmt != "jdbc":

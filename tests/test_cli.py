@@ -33,5 +33,6 @@ def test_cli_batch_ingest_score(spark):
     assert spark.read.parquet(f"{root}/scores/price_regression_gbt").columns[-1] == "Price"
 
     main(["score-stream", "--landed", f"{root}/landed", "--models", f"{root}/models",
-          "--out", f"{root}/stream_scores", "--trigger", "availableNow", "--checkpoint", f"{root}/ckpt_score"])
+          "--out", f"{root}/stream_scores", "--trigger", "availableNow", "--checkpoint", f"{root}/ckpt_score",
+          "--max-files", "1"])
     assert spark.read.parquet(f"{root}/stream_scores").count() == listings.count()
