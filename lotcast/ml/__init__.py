@@ -6,6 +6,7 @@ from lotcast.ml.models import (
     assembler,
     fit_all,
     load_all,
+    model_prediction_col,
     prediction_col,
     save_all,
 )
@@ -13,6 +14,6 @@ from lotcast.ml.score import score
 from lotcast.ml.leaderboard import evaluate, train_and_evaluate
 
 __all__ = [
-    "CLASSIFICATION", "REGRESSION", "assembler", "fit_all", "load_all", "prediction_col",
+    "CLASSIFICATION", "REGRESSION", "assembler", "fit_all", "load_all", "model_prediction_col", "prediction_col",
     "save_all", "score", "evaluate", "train_and_evaluate",
 ]

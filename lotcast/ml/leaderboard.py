@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from lotcast.ml.models import CLASSIFICATION, REGRESSION, fit_all, prediction_col
+from lotcast.ml.models import CLASSIFICATION, REGRESSION, fit_all, model_prediction_col
 from lotcast.ml.score import score
 from lotcast.operators.metrics import (
     classification_metrics,
@@ -21,7 +21,7 @@ def evaluate(models: Mapping[str, PipelineModel], test: DataFrame, label: str, f
     """Leaderboard of fitted models on ``test``: one scoring scan, one
     metrics aggregation for all models (ids follow the models' order)."""
     scored = score(test.where(test[label].isNotNull()), models)
-    preds = {name: prediction_col(name) for name in models}
+    preds = {name: model_prediction_col(model) for name, model in models.items()}
     if family == REGRESSION:
         return leaderboard_regression(regression_metrics(scored, label, preds))
     if family == CLASSIFICATION:

@@ -34,9 +34,15 @@ CLASSIFICATION = "classification"
 
 
 def prediction_col(name: str) -> str:
+    """Prediction column of the model ``fit_all`` returns under ``name``."""
     return f"{name}_prediction"
 
 
+def model_prediction_col(model: PipelineModel) -> str:
+    """Prediction column a fitted pipeline writes (read from the model)."""
+    return model.stages[-1].getPredictionCol()
+
+
 def _estimators(family: str, prefix: str, features_col: str, label: str, seed: int):
     """(name, estimator) pairs; every model writes its own output columns,
     so any number of them can be chained over one DataFrame."""

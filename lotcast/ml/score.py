@@ -9,13 +9,14 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotcast.ml.models import prediction_col
+from lotcast.ml.models import model_prediction_col
 from lotcast.operators.clean import reject_reason
 
 
 def score(df: DataFrame, models: Mapping[str, PipelineModel], replace_label: str | None = None,
           keep_vectors: bool = False) -> DataFrame:
-    """Add ``<name>_prediction`` for every model; the row count is unchanged.
+    """Add every model's prediction column (``<name>_prediction`` for the
+    models ``fit_all`` returns); the row count is unchanged.
 
     The reference loaded and applied one model per scan of the input.
     Here all transforms are chained into one plan, so the input is read
@@ -33,15 +34,22 @@ def score(df: DataFrame, models: Mapping[str, PipelineModel], replace_label: str
     out = df
     added: list[str] = []
     valid: dict[str, object] = {}
+    assembled: dict[str, tuple] = {}
     for name, model in models.items():
         asm, rest = model.stages[0], model.stages[1:]
         if not isinstance(asm, VectorAssembler):
             raise ValueError(f"{name}: first stage must be the feature assembler")
         fcol = asm.getOutputCol()
+        inputs = tuple(asm.getInputCols())
+        if fcol in assembled and assembled[fcol] != inputs:
+            raise ValueError(f"{name}: vector column {fcol!r} is built from other features by another model")
         if fcol not in out.columns:
             keep = asm.copy().setHandleInvalid("keep")
             out = keep.transform(out)
             added.append(fcol)
+            assembled[fcol] = inputs
+        elif fcol not in assembled:
+            raise ValueError(f"{name}: input already has a column named {fcol!r}")
         valid[fcol] = reject_reason(df, asm.getInputCols()).isNull()
         for stage in rest:
             out = stage.transform(out)
@@ -49,13 +57,13 @@ def score(df: DataFrame, models: Mapping[str, PipelineModel], replace_label: str
             if col not in base_cols and col not in added:
                 added.append(col)
     preds = []
-    for name, model in models.items():
+    for model in models.values():
         fcol = model.stages[0].getOutputCol()
-        p = prediction_col(name)
+        p = model_prediction_col(model)
         preds.append(F.when(valid[fcol], F.col(p)).alias(p))
     extra = [F.col(c) for c in added if keep_vectors and not c.endswith("_prediction")]
     result = out.select(*[F.col(c) for c in base_cols], *extra, *preds)
     if replace_label is not None:
-        (name,) = list(models)
-        result = result.drop(replace_label).withColumnRenamed(prediction_col(name), replace_label)
+        (model,) = list(models.values())
+        result = result.drop(replace_label).withColumnRenamed(model_prediction_col(model), replace_label)
     return result

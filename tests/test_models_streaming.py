@@ -131,3 +131,18 @@ def test_fit_layout_sizes_partitions_from_rows(spark):
     assert fit_layout(many, big_rows).rdd.getNumPartitions() == 3 * cores
     for df in (tiny, one, many):
         df.unpersist()
+
+
+def test_score_rejects_conflicting_vector_columns(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3.0), (2.0, 4.0, 5.0), (3.0, 6.1, 7.2)], "x double, z double, y double")
+    a = fit_all(df, ["x"], "y", REGRESSION, prefix="t", only=["t_linear"])
+    b = fit_all(df, ["z"], "y", REGRESSION, prefix="t", only=["t_linear"])
+    with pytest.raises(ValueError):
+        score(df, {"one": a["t_linear"], "two": b["t_linear"]})
+
+
+def test_score_uses_the_models_own_prediction_column(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 6.0)], "x double, y double")
+    m = fit_all(df, ["x"], "y", REGRESSION, prefix="t", only=["t_linear"])["t_linear"]
+    out = score(df, {"any name": m})
+    assert "t_linear_prediction" in out.columns and out.count() == 3
