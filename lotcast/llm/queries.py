@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotcast.llm import mixing, reshard
+from lotcast.llm import ann, mixing, pieces, quality, reshard
 from lotcast.llm.common import table
 from lotcast.llm.sql import MIXING_SQL
 
@@ -19,6 +19,20 @@ OLD_SHARDS = 16
 NEW_SHARDS = 24
 
 
+#: The public vocabulary that op9 encodes with.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                         (~F.col("base_failed") & F.col("good")).alias("kept"), "posterior")
+
+
 def op4_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     old = F.crc32(F.coalesce(F.col("source"), F.lit("")).cast("binary")) % OLD_SHARDS
@@ -33,9 +47,20 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.read_model(PIECE_MODEL)
+    encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    decoded = pieces.decode(encoded, model)
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
+                          F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ann": op1_ann,
+    "op3_quality": op3_quality,
     "op4_reshard": op4_reshard,
     "op6_mixing": op6_mixing,
+    "op9_pieces": op9_pieces,
 }
 
 ORACLE: dict[str, str] = {
