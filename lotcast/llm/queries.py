@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotcast.llm import ann, mixing, pieces, quality, reshard
+from lotcast.llm import ann, mixing, pieces, quality, repeats, reshard
 from lotcast.llm.common import table
 from lotcast.llm.sql import MIXING_SQL
 
@@ -55,12 +55,17 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
     "op3_quality": op3_quality,
     "op4_reshard": op4_reshard,
     "op6_mixing": op6_mixing,
     "op9_pieces": op9_pieces,
+    "op10_repeats": op10_repeats,
 }
 
 ORACLE: dict[str, str] = {
