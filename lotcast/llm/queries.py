@@ -10,9 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotcast.llm import ann, mixing, pieces, quality, repeats, reshard
+from lotcast.llm import ann, minhash, mixing, pieces, quality, repeats, reshard
 from lotcast.llm.common import table
-from lotcast.llm.sql import MIXING_SQL
+from lotcast.llm.sql import MIXING_SQL, NEAR_DUPLICATES_SQL
 
 #: The old layout that op4 reshards: documents sharded by source.
 OLD_SHARDS = 16
@@ -42,6 +42,11 @@ def op4_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("old_shard").cast("int").alias("old_shard"))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -63,11 +68,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
     "op3_quality": op3_quality,
     "op4_reshard": op4_reshard,
+    "op5_minhash": op5_minhash,
     "op6_mixing": op6_mixing,
     "op9_pieces": op9_pieces,
     "op10_repeats": op10_repeats,
 }
 
 ORACLE: dict[str, str] = {
+    "op5_minhash": NEAR_DUPLICATES_SQL,
     "op6_mixing": MIXING_SQL,
 }

@@ -48,3 +48,36 @@ WITH d AS (
 SELECT q.doc_id, q.size, q.source_size, q.target, CAST(coalesce(t.taken, 0) AS BIGINT) AS taken
 FROM queued q LEFT JOIN taken t USING (rid)
 """
+
+NEAR_DUPLICATES_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+'), []) AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) > 1
+           THEN list_transform(range(1, len(ws)), i -> ws[i] || ' ' || ws[i + 1]) ELSE ws END) AS gram
+  FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), links AS (
+  SELECT c.a, c.b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+    FROM s x JOIN s y ON x.gram = y.gram AND x.doc_id < y.doc_id GROUP BY 1, 2) c
+  JOIN n na ON na.doc_id = c.a JOIN n nb ON nb.doc_id = c.b
+  WHERE 100 * common >= 80 * (na.n + nb.n - common)
+), sides AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach AS (
+  SELECT a AS doc_id, b AS other FROM sides
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN sides l ON r.other = l.a
+), least AS (
+  SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
+       least(w.doc_id, coalesce(l.other, w.doc_id)) AS component_id,
+       w.doc_id = least(w.doc_id, coalesce(l.other, w.doc_id)) AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least l USING (doc_id)
+"""
