@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotcast.llm import ann, minhash, mixing, pieces, quality, repeats, reshard
+from lotcast.llm import ann, html, minhash, mixing, pieces, quality, repeats, reshard
 from lotcast.llm.common import table
 from lotcast.llm.sql import MIXING_SQL, NEAR_DUPLICATES_SQL
 
@@ -52,6 +52,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.read_model(PIECE_MODEL)
     encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_reshard": op4_reshard,
     "op5_minhash": op5_minhash,
     "op6_mixing": op6_mixing,
+    "op8_html": op8_html,
     "op9_pieces": op9_pieces,
     "op10_repeats": op10_repeats,
 }

@@ -41,9 +41,8 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def gram_length(min_len: int) -> int:
-    """Grams of a power of two, a twelfth of the window or more, and at
-    least 4 units where the window has them."""
-    return 1 << max(0, min(5, (min_len // 4).bit_length() - 1))
+    """The largest power of two up to half the window, 32 at most."""
+    return 1 << min(5, max(0, (min_len // 2).bit_length() - 1))
 
 
 def gram_hashes(units: np.ndarray, size: int) -> np.ndarray:

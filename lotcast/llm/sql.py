@@ -57,7 +57,7 @@ WITH RECURSIVE w AS (
   FROM documents
 ), s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) > 1
-           THEN list_transform(range(1, len(ws)), i -> ws[i] || ' ' || ws[i + 1]) ELSE ws END) AS gram
+           THEN list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) ELSE ws END) AS gram
   FROM w
 ), n AS (
   SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
