@@ -10,9 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotcast.llm import ann, html, minhash, mixing, pieces, quality, repeats, reshard
+from lotcast.llm import ann, html, licenses, minhash, mixing, pieces, quality, repeats, reshard
 from lotcast.llm.common import table
-from lotcast.llm.sql import MIXING_SQL, NEAR_DUPLICATES_SQL
+from lotcast.llm.sql import MIXING_SQL, NEAR_DUPLICATES_SQL, license_sql
 
 #: The old layout that op4 reshards: documents sharded by source.
 OLD_SHARDS = 16
@@ -27,6 +27,10 @@ def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -70,6 +74,7 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
+    "op2_licenses": op2_licenses,
     "op3_quality": op3_quality,
     "op4_reshard": op4_reshard,
     "op5_minhash": op5_minhash,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_licenses": license_sql(),
     "op5_minhash": NEAR_DUPLICATES_SQL,
     "op6_mixing": MIXING_SQL,
 }

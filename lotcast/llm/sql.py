@@ -81,3 +81,43 @@ SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
        w.doc_id = least(w.doc_id, coalesce(l.other, w.doc_id)) AS kept
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least l USING (doc_id)
 """
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical_sql(column: str) -> str:
+    from lotcast.llm.licenses import LOWER, RULES, UPPER
+    out = f"translate({column}, '{UPPER}', '{LOWER}')"
+    for pattern, replacement in RULES:
+        new = "chr(10)" if replacement == r"\n" else _quoted(replacement)
+        out = f"regexp_replace({out}, {_quoted(pattern)}, {new}, 'g')"
+    return out
+
+
+def license_sql() -> str:
+    from lotcast.llm.license_texts import KNOWN
+    values = ",\n  ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in KNOWN)
+    return f"""
+WITH known AS (
+  SELECT DISTINCT license, sha256(trim(regexp_replace({_canonical_sql('text')}, '[ \\n]+', ' ', 'g'))) AS digest
+  FROM (VALUES {values}) k(license, text)
+), d AS (
+  SELECT doc_id, row_number() OVER () AS rid, {_canonical_sql('text')} AS form FROM documents
+), forms AS (
+  SELECT doc_id, rid, sha256(trim(regexp_replace(form, '[ \\n]+', ' ', 'g'))) AS digest FROM d
+), lines AS (
+  SELECT rid, nr, line FROM (
+    SELECT rid, unnest(string_split(form, chr(10))) AS line, unnest(range(len(string_split(form, chr(10))))) AS nr FROM d)
+), hits AS (
+  SELECT l.rid, l.nr, k.license FROM lines l JOIN known k ON sha256(trim(l.line)) = k.digest
+), names AS (
+  SELECT rid, license FROM hits
+  UNION SELECT f.rid, k.license FROM forms f JOIN known k ON f.digest = k.digest
+)
+SELECT f.doc_id, f.digest, k.license,
+       (SELECT count(*) FROM hits h WHERE h.rid = f.rid) AS n_notices,
+       (SELECT string_agg(license, ',' ORDER BY license) FROM names n WHERE n.rid = f.rid) AS licenses
+FROM forms f LEFT JOIN known k ON f.digest = k.digest
+"""
