@@ -10,9 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotcast.llm import ann, html, licenses, minhash, mixing, pieces, quality, repeats, reshard
+from lotcast.llm import ann, html, licenses, minhash, mixing, pieces, quality, quotes, repeats, reshard
 from lotcast.llm.common import table
-from lotcast.llm.sql import MIXING_SQL, NEAR_DUPLICATES_SQL, license_sql
+from lotcast.llm.sql import MIXING_SQL, NEAR_DUPLICATES_SQL, QUOTES_SQL, license_sql
 
 #: The old layout that op4 reshards: documents sharded by source.
 OLD_SHARDS = 16
@@ -56,6 +56,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotes(table(spark, sf_dir, "conversations"))
+
+
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_reshard": op4_reshard,
     "op5_minhash": op5_minhash,
     "op6_mixing": op6_mixing,
+    "op7_quotes": op7_quotes,
     "op8_html": op8_html,
     "op9_pieces": op9_pieces,
     "op10_repeats": op10_repeats,
@@ -88,4 +93,5 @@ ORACLE: dict[str, str] = {
     "op2_licenses": license_sql(),
     "op5_minhash": NEAR_DUPLICATES_SQL,
     "op6_mixing": MIXING_SQL,
+    "op7_quotes": QUOTES_SQL,
 }

@@ -121,3 +121,66 @@ SELECT f.doc_id, f.digest, k.license,
        (SELECT string_agg(license, ',' ORDER BY license) FROM names n WHERE n.rid = f.rid) AS licenses
 FROM forms f LEFT JOIN known k ON f.digest = k.digest
 """
+
+
+QUOTES_SQL = r"""
+WITH RECURSIVE said AS (
+  SELECT conv_id, turn, role, text,
+         md5(concat_ws(chr(0), '=' || coalesce('c' || conv_id, 'n'), coalesce('=' || turn, '-'),
+                       coalesce('=' || role, '-'), coalesce('=' || text, '-'))) AS message,
+         coalesce('c' || conv_id, 'n') AS conv
+  FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)
+), raw AS (
+  SELECT message, conv, turn, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS nr
+  FROM said
+), lines AS (
+  SELECT *, len(regexp_replace(regexp_extract(line, '^([ \t]*>)+', 0), '[^>]', '', 'g')) AS level,
+         regexp_replace(line, '^([ \t]*>)+', '') AS body
+  FROM raw
+), clean AS (
+  SELECT message, regexp_replace(coalesce(string_agg(body, chr(10) ORDER BY nr) FILTER (level = 0), ''),
+                                 '^[ \t\r\n]+|[ \t\r\n]+$', '', 'g') AS text
+  FROM lines GROUP BY message
+), normal AS (
+  SELECT *, nr - row_number() OVER (PARTITION BY message, level ORDER BY nr) AS island,
+         trim(regexp_replace(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[ \t\r]+', ' ', 'g')) AS said
+  FROM lines
+), passages AS (
+  SELECT message, conv, turn, level, island, 0 AS kind, string_agg(said, ' ' ORDER BY nr) AS said
+  FROM normal WHERE said <> '' GROUP BY ALL
+  UNION ALL
+  SELECT message, conv, turn, level, island, 1, said FROM normal WHERE said <> ''
+), originals AS (
+  SELECT conv, said, min(turn) AS original FROM passages WHERE level = 0 AND turn IS NOT NULL GROUP BY ALL
+), found AS (
+  SELECT p.*, o.original FROM passages p JOIN originals o USING (conv, said)
+  WHERE p.level > 0 AND o.original < coalesce(p.turn, 9223372036854775807)
+), counted AS (
+  SELECT message, count(*) AS n_quotes FROM passages WHERE level > 0 AND kind = 0 GROUP BY message
+), linked AS (
+  SELECT message, conv, turn, count(DISTINCT (level, island)) AS n_linked,
+         arg_min(original, (level, kind, -original)) AS reply_to
+  FROM found GROUP BY ALL
+), parents AS (
+  SELECT conv, turn, min(reply_to) AS parent FROM linked WHERE turn IS NOT NULL GROUP BY ALL
+), climb AS (
+  SELECT conv, turn, parent AS root FROM parents
+  UNION
+  SELECT c.conv, c.turn, p.parent FROM climb c JOIN parents p ON c.conv = p.conv AND c.root = p.turn
+), roots AS (
+  SELECT conv, turn, min(root) AS root FROM climb GROUP BY ALL
+), placed AS (
+  SELECT s.*, c.text AS clean, q.n_quotes, l.n_linked, l.reply_to,
+         CASE WHEN l.reply_to IS NOT NULL THEN coalesce(r.root, l.reply_to) ELSE s.turn END AS thread
+  FROM said s JOIN clean c USING (message) LEFT JOIN counted q USING (message)
+  LEFT JOIN linked l USING (message) LEFT JOIN roots r ON r.conv = s.conv AND r.turn = s.turn
+)
+SELECT conv_id, turn, role, clean AS text,
+       CAST(row_number() OVER (PARTITION BY conv ORDER BY coalesce(thread, 9223372036854775807),
+            coalesce(turn, 9223372036854775807), role NULLS FIRST, message) - 1 AS BIGINT) AS position,
+       thread, reply_to, CAST(coalesce(n_quotes, 0) AS BIGINT) AS n_quotes,
+       CAST(coalesce(n_linked, 0) AS BIGINT) AS n_linked
+FROM placed
+"""
