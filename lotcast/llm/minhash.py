@@ -138,11 +138,11 @@ def _measure(docs: DataFrame, size: int) -> DataFrame:
             lists = [pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)), w)
                      .cast(pa.list_(pa.int64())) for x, w in ((bits, HASHES // _FIELDS), (bands, HASHES // ROWS_A_BAND))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(count, pa.int64()), pa.array(digest, pa.binary()), *lists],
-                ["doc_id", "n_shingles", "digest", "bits", "bands"])
+                [batch.column("doc_id"), batch.column("text_md5"), pa.array(count, pa.int64()),
+                 pa.array(digest, pa.binary()), *lists], ["doc_id", "text_md5", "n_shingles", "digest", "bits", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, digest binary, bits array<long>, bands array<long>")
+    return docs.select("doc_id", "text", F.unhex(F.md5(F.col("text").cast("binary"))).alias("text_md5")).mapInArrow(
+        run, "doc_id long, text_md5 binary, n_shingles long, digest binary, bits array<long>, bands array<long>")
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
@@ -229,8 +229,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     percent: int = 80) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id``
     (smallest id reachable over links of similarity ``percent`` / 100 or
-    more), ``kept`` (the id is the component's) and ``digest`` (of the
-    shingle set, which with the id names the row)."""
+    more), ``kept`` (the id is the component's) and ``text_md5``, which with
+    the id names the row."""
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     measured = materialize(_measure(slim, shingle_words), "minhash-signatures")
     units = materialize(
@@ -275,8 +275,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         labels = components(links.unionByName(more))
     of_unit = units.select("digest", "node").join(labels, "node", "left") \
         .select("digest", F.coalesce("label", "node").alias("component"))
-    return (measured.select("doc_id", "n_shingles", "digest").join(of_unit, "digest", "left")
+    return (measured.select("doc_id", "text_md5", "n_shingles", "digest").join(of_unit, "digest", "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component")))
-                    .otherwise(F.col("doc_id")).alias("component_id"), "digest")
+                    .otherwise(F.col("doc_id")).alias("component_id"), "text_md5")
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
+             percent: int = 80) -> DataFrame:
+    """The documents without near-duplicates of a smaller id, with their own
+    columns only; of rows equal in id and text one stays."""
+    found = materialize(near_duplicates(docs, id_col, text_col, shingle_words, percent), "near-duplicates")
+    md5 = F.unhex(F.md5(F.col(f"row.`{text_col}`").cast("string").cast("binary")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.withColumns({"id": F.col(f"row.`{id_col}`").cast("long"), "md5": md5})
+    gone = found.filter("not kept").select(F.col("doc_id").alias("id"), F.col("text_md5").alias("md5")).distinct()
+    rows = rows.join(gone, ["id", "md5"], "left_anti")
+    again = found.filter("kept and doc_id is not null").groupBy("doc_id", "text_md5").count().filter("count > 1")
+    if again.take(1):  # only then is a pass over all texts needed
+        rows = rows.filter("id is null").unionByName(rows.filter("id is not null").dropDuplicates(["id", "md5"]))
+    return rows.select("row.*")

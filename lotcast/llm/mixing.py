@@ -100,3 +100,22 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                     F.coalesce("t.copies", F.lit(0)).alias("copies"),
                     (F.coalesce("t.copies", F.lit(0)) * F.col("q.size")).alias("taken"),
                     "t.first_finish", "q.text_crc32"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """The mix itself: rows of ``docs``, own columns only, each as often as
+    the mix takes it."""
+    taken = mix(docs, id_col, text_col, source_col, weights, max_repeats)
+    key = ["id", "crc", "origin"]
+    # Equal rows are numbered on both sides; a group is the copies of one row.
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1)))
+    mark = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), mark(F.col(id_col)).alias("id"),
+                       mark(F.crc32(F.col(text_col).cast("binary"))).alias("crc"),
+                       mark(F.col(source_col)).alias("origin")).withColumn("nth", nth)
+    copies = taken.select(mark(F.col("doc_id")).alias("id"), mark(F.col("text_crc32")).alias("crc"),
+                          mark(F.col("source")).alias("origin"), F.col("copies").cast("int").alias("copies")) \
+        .withColumn("nth", F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("copies"))))
+    joined = rows.join(copies.filter("copies > 0"), [*key, "nth"])
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -73,7 +73,8 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+    removed = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

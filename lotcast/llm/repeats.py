@@ -29,6 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lotcast.llm.common import materialize
 
@@ -302,9 +303,8 @@ def _by_bucket(texts: DataFrame, work: Callable[[dict], Iterator[tuple]], schema
     contexts, so they stream through a sorted partition instead of being
     grouped one call each; one bucket at a time is in memory."""
     names = [f.split()[0] for f in schema.split(", ")]
-    from pyspark.sql.types import StructType
     types = pa.schema([(f.name, {"long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
-                        [f.dataType.simpleString()]) for f in StructType.fromDDL(schema).fields])
+                        [f.dataType.simpleString()]) for f in T.StructType.fromDDL(schema).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
@@ -415,10 +415,14 @@ def cut_spans(raw: bytes, spans: list[tuple[int, int]]) -> tuple[list[bytes], in
     return pieces, runs
 
 
+REMOVED = {"kept_text": "string", "n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string"}
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    min_bytes: int = MIN_BYTES) -> DataFrame:
-    """``doc_id``, ``kept_text``, ``n_bytes``, ``n_removed``, ``n_spans`` and
-    ``kept_sha256`` (of the remaining bytes) of every row.
+    """The rows of ``docs`` with their own columns and ``kept_text``,
+    ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256`` (of the
+    remaining bytes); own columns of these names are replaced.
 
     Texts are compared as UTF-8 bytes; every byte inside a string of
     ``min_bytes`` that starts anywhere else too is removed, first occurrences
@@ -426,27 +430,29 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     characters that a cut went through. NULL text counts as empty; an empty
     table gives an empty result; repeated rows are copies of each other.
     """
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    keyed = slim.withColumn("rkey", row_key(F.col("doc_id"), F.col("text")))
-    spans = find_repeats(keyed.select("rkey", F.lit(0).cast("long").alias("scope"),
-                                      F.col("text").cast("binary").alias("units")), min_bytes)
+    key = row_key(F.col(id_col), F.col(text_col).cast("string"))
+    spans = find_repeats(docs.select(key.alias("rkey"), F.lit(0).cast("long").alias("scope"),
+                                     F.col(text_col).cast("string").cast("binary").alias("units")), min_bytes)
+    whole = docs.select(key.alias("rkey"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    joined = whole.join(spans, "rkey", "left").select("row", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
         for batch in batches:
             out = []
-            for text, spans in zip(batch.column("text"), batch.column("spans")):
-                raw = (text.as_py() or "").encode()
+            for text, spans in zip(batch.column("row").field(text_col), batch.column("spans")):
+                text = text.as_py()
+                raw = ("" if text is None else str(text)).encode()
                 pieces, runs = cut_spans(raw, [(s["start"], s["end"]) for s in spans.as_py() or []])
                 kept = sum(map(len, pieces))
                 out.append(("".join(p.decode("utf-8", "ignore") for p in pieces), len(raw), len(raw) - kept, runs,
                             hashlib.sha256(b"".join(pieces)).hexdigest()))
             texts, *numbers, digests = zip(*out) if out else [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(texts, pa.string()), *[pa.array(x, pa.int64()) for x in numbers],
-                 pa.array(digests, pa.string())],
-                ["doc_id", "kept_text", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                [batch.column("row"), pa.array(texts, pa.string()), *[pa.array(x, pa.int64()) for x in numbers],
+                 pa.array(digests, pa.string())], ["row", *REMOVED])
 
-    kind = dict(slim.dtypes)["doc_id"]
-    return (keyed.join(spans, "rkey", "left").select("doc_id", "text", "spans").mapInArrow(
-        run, f"doc_id {kind}, kept_text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
+    schema = T.StructType([joined.schema["row"], *[T.StructField(n, T.StringType() if t == "string" else T.LongType())
+                                                   for n, t in REMOVED.items()]])
+    own = [c for c in docs.columns if c not in REMOVED]
+    return joined.mapInArrow(run, schema).select(*[F.col(f"row.`{c}`").alias(c) for c in own], *REMOVED)
