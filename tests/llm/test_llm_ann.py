@@ -1,0 +1,63 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from lotcast.llm import ann
+
+SCHEMA = "vec_id long, embedding array<float>, score double, rank string"
+
+
+def _recall(x, ids, got, k=20):
+    hit = total = 0
+    for q in ids[ids % 20 == 0]:
+        scores = x.astype(float) @ x[ids == q][0].astype(float)
+        scores[ids == q] = -np.inf
+        kth = np.sort(scores)[-k]
+        hit += sum(s >= kth - 1e-12 for _, s in got[q])
+        total += k
+    return hit / total
+
+
+def _found(df):
+    out = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        out.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    return out
+
+
+def test_recall_on_vectors_of_any_length(spark):
+    rng = np.random.default_rng(1)
+    x = (rng.standard_normal((6000, 24)) * rng.gamma(4, 1, (6000, 1))).astype(np.float32)
+    ids = np.arange(len(x))
+    df = spark.createDataFrame([(int(i), [float(a) for a in v], 0.0, "x") for i, v in zip(ids, x)], SCHEMA)
+    got = _found(ann.nearest(df, F.col("vec_id") % 20 == 0))
+    assert all(len(v) == 20 for v in got.values()) and len(got) == 300
+    assert _recall(x, ids, got) >= 0.9
+    for q, near in list(got.items())[:20]:
+        assert near == sorted(near, key=lambda r: (-r[1], r[0]))
+        for i, s in near:
+            exact = 0.0
+            for a, b in zip(x[q].astype(float), x[i].astype(float)):
+                exact += a * b
+            assert s == exact
+
+
+def test_query_reaches_the_asked_recall(spark):
+    from lotcast.llm.queries import op1_ann
+    sf = "/root/testdata/sf0.01"
+    table = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas().sort_values("vec_id")
+    assert _recall(np.stack(table.embedding), table.vec_id.values, _found(op1_ann(spark, sf))) >= 0.9
+
+
+def test_ties_copies_and_unusable_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (40, None), (60, [0.0, 0.0]), (80, [nan, 1.0]), (100, [inf, 1.0]),
+            (120, [None, 1.0]), (140, []), (160, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (3, [0.5, 0.5]), (3, [0.5, 0.5])]
+    rows += [(i, [1.0, 0.0]) for i in range(1000, 1060)]
+    df = spark.createDataFrame([(i, v, None, None) for i, v in rows], SCHEMA)
+    got = _found(ann.nearest(df, F.col("vec_id") % 20 == 0, k=5))
+    assert set(got) == {0, 20, 1000, 1020, 1040}
+    assert [i for i, _ in got[0]] == [20, 1000, 1001, 1002, 1003]
+    assert [i for i, _ in got[1020]] == [0, 20, 1000, 1001, 1002]
+    few = _found(ann.nearest(df.filter("vec_id in (0, 3)"), F.col("vec_id") % 20 == 0))
+    assert few == {0: [(3, 0.5)]}
+    assert ann.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0

@@ -1,0 +1,65 @@
+import random
+from array import array
+
+import pytest
+
+from lotcast.llm import pieces
+from lotcast.llm.queries import PIECE_MODEL
+
+
+@pytest.fixture(scope="module")
+def model():
+    return pieces.read_model(PIECE_MODEL)
+
+
+def _best(m, text):
+    """Dynamic programme over the whole text, every piece tried everywhere."""
+    def solve(u):
+        best, last = [0.0] + [float("-inf")] * len(u), [None] * (len(u) + 1)
+        for e in range(1, len(u) + 1):
+            for n in range(min(e, 16), 0, -1):
+                found = m.score.get(u[e - n:e])
+                if found and best[e - n] + found[0] > best[e]:
+                    best[e], last[e] = best[e - n] + found[0], (n, [found[1]])
+            if u[e - 1] not in m.score and best[e - 1] + m.unknown_score > best[e]:
+                best[e], last[e] = best[e - 1] + m.unknown_score, (1, m._unknown(u[e - 1]))
+        ids, e = [], len(u)
+        while e:
+            ids.append(last[e][1])
+            e -= last[e][0]
+        return [i for part in reversed(ids) for i in part]
+
+    out = []
+    for k, part in enumerate(text.split(pieces.SPACE) if text else []):
+        out += (m._unknown(pieces.SPACE) if k else []) + solve((part if k else " " + part).replace(" ", pieces.SPACE))
+    return out
+
+
+def test_encoding_is_the_best_segmentation_and_decodes_exactly(model, monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 50)
+    m = pieces.PieceModel(model)
+    rng = random.Random(3)
+    texts = ["", " ", "  ", "\n", " \n ", "a\n b", "▁", "▁▁ a▁b", "  Hello  world\n\ttab é 你好 \U0001F600 a ", "the quick brown fox"]
+    texts += ["".join(rng.choice(" aehnrst\n▁é你\U0001F600") for _ in range(rng.randrange(40))) for _ in range(1500)]
+    for text in texts:
+        ids = array("i")
+        m.encode(text, ids)
+        assert ids.tolist() == _best(m, text)
+        assert m.decode(ids) == text
+
+
+def test_frames_round_trip_with_edges(spark, model):
+    texts = [None, "", "a", "a", "word " * 200_000, "é\u0000\U0001F600"]
+    docs = spark.createDataFrame([(i, t, "old", 1) for i, t in enumerate(texts)], "doc_id long, text string, ids string, decoded int")
+    encoded = pieces.encode(docs, model)
+    assert encoded.columns == ["doc_id", "text", "decoded", "ids"]
+    got = pieces.decode(encoded, model).orderBy("doc_id").collect()
+    assert [r["decoded"] for r in got] == texts
+    assert got[0]["ids"] is None and got[1]["ids"] == [] and got[2]["ids"] == got[3]["ids"]
+    assert pieces.encode(docs.limit(0), model).count() == 0
+
+
+def test_query_round_trips_every_document(spark):
+    from lotcast.llm.queries import op9_pieces
+    got = op9_pieces(spark, "/root/testdata/sf0.001")
+    assert got.filter("round_trip").count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
