@@ -81,7 +81,7 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--source")
     i.add_argument("--max-offsets", type=int)
     i.add_argument("--landed", required=True)
-    i.add_argument("--rejects", required=True)
+    i.add_argument("--landed-format", default="parquet", choices=["parquet", "csv"])
     i.add_argument("--trigger", default=S.INGEST_INTERVAL, help='interval, or "availableNow"')
     i.add_argument("--checkpoint", help="default: <spark.checkpoint.dir>/lotcast/ingest")
 
@@ -115,11 +115,10 @@ def main(argv: list[str] | None = None) -> dict:
                                                        max_offsets_per_trigger=args.max_offsets))
         else:
             messages = open_stream(spark, args.source, "value string", fmt="text")
-        queries = ingest_messages(messages, args.landed, args.rejects,
-                                  args.checkpoint or f"{ckpt}/lotcast/ingest", trigger=args.trigger)
-        for q in queries:
-            q.awaitTermination()
-        result = {"landed": args.landed, "rejects": args.rejects}
+        keep = ["partition", "offset"] if args.kafka else []
+        ingest_messages(messages, args.landed, args.checkpoint or f"{ckpt}/lotcast/ingest", fmt=args.landed_format,
+                        trigger=args.trigger, keep=keep).awaitTermination()
+        result = {"landed": args.landed}
     elif args.command == "score":
         result = score_landed(spark, args.landed, _model_paths(args.models), _sink(args),
                               reference_shape=args.reference_shape)

@@ -11,27 +11,36 @@ from pyspark.sql.types import StringType, StructField, StructType
 CORRUPT_COL = "_corrupt_record"
 
 
+def _one_object(value: Column) -> Column:
+    """True for text that is one JSON object: not blank, and neither more
+    objects nor other text behind it. (Parsed as the only element of an
+    array, so a second one or trailing text shows.)"""
+    element = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>")
+    return F.coalesce((F.size(element) == 1) & F.ltrim(value).startswith("{"), F.lit(False))
+
+
 def decode_messages(df: DataFrame, schema: StructType, value_col: str = "value",
                     keep: Sequence[str] = (), corrupt_col: str | None = CORRUPT_COL) -> DataFrame:
     """Decode a JSON text (or Kafka binary) column into typed columns.
 
     Missing keys give NULL, extra keys are ignored. A message that is not
-    JSON at all yields NULL fields and its text in ``corrupt_col`` (the
-    reference dropped the whole micro-batch instead). ``keep`` lists input
+    exactly one JSON object -- malformed, blank, NULL, several objects, or an
+    object with text behind it -- yields NULL fields and its text in
+    ``corrupt_col`` (empty for a NULL message), so one message is always one
+    row and never passes as a listing without fields. ``keep`` lists input
     columns carried through (e.g. Kafka ``partition``/``offset``).
     Works unchanged on a streaming DataFrame.
     """
     value = F.col(value_col)
     if dict(df.dtypes).get(value_col) == "binary":
         value = value.cast(StringType())
-    options = {"mode": "PERMISSIVE"}
-    parse_schema = schema
-    if corrupt_col:
-        options["columnNameOfCorruptRecord"] = corrupt_col
-        parse_schema = StructType(schema.fields + [StructField(corrupt_col, StringType(), True)])
-    parsed = F.from_json(value, parse_schema, options).alias("_msg")
-    out = df.select(*[F.col(c) for c in keep], parsed)
-    return out.select(*keep, "_msg.*")
+    marker = corrupt_col or CORRUPT_COL
+    parse_schema = StructType(schema.fields + [StructField(marker, StringType(), True)])
+    parsed = F.from_json(value, parse_schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": marker})
+    out = df.select(*[F.col(c) for c in keep], value.alias("_value"), _one_object(value).alias("_one"), parsed.alias("_msg"))
+    fields = [F.when(F.col("_one"), F.col("_msg").getField(f.name)).alias(f.name) for f in schema.fields]
+    bad = F.when(~F.col("_one") | F.col("_msg").getField(marker).isNotNull(), F.coalesce("_value", F.lit("")))
+    return out.select(*keep, *fields, *([bad.alias(corrupt_col)] if corrupt_col else []))
 
 
 def encode_messages(df: DataFrame, columns: Sequence[str] | None = None,

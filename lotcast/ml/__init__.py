@@ -9,11 +9,12 @@ from lotcast.ml.models import (
     model_prediction_col,
     prediction_col,
     save_all,
+    usable,
 )
 from lotcast.ml.score import score
-from lotcast.ml.leaderboard import evaluate, train_and_evaluate
+from lotcast.ml.leaderboard import evaluate, evaluated_rows, train_and_evaluate
 
 __all__ = [
     "CLASSIFICATION", "REGRESSION", "assembler", "fit_all", "load_all", "model_prediction_col", "prediction_col",
-    "save_all", "score", "evaluate", "train_and_evaluate",
+    "save_all", "usable", "score", "evaluate", "evaluated_rows", "train_and_evaluate",
 ]

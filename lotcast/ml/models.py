@@ -3,7 +3,6 @@ cached assembly, saved and loaded as self-contained PipelineModels."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -15,20 +14,16 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotcast import schemas as S
+from lotcast.operators.clean import reject_free
 
 
 FOREST_TREES = S.FOREST_TREES
 SEED = S.SEED
 
-# Fewest rows worth a task of its own in an iterative fit: below this, the
-# per-iteration cost of more tasks (and of the extra tree-aggregation stage
-# they bring) outweighs the parallel work.
-MIN_ROWS_PER_FIT_TASK = 50_000
-
 REGRESSION = "regression"
 CLASSIFICATION = "classification"
 
@@ -71,67 +66,50 @@ def _estimators(family: str, prefix: str, features_col: str, label: str, seed: i
     raise ValueError(f"unknown family {family!r}")
 
 
-def fit_layout(inputs: DataFrame, rows: int) -> DataFrame:
-    """Partition a materialized training table for iterative fitting: one
-    task per ``MIN_ROWS_PER_FIT_TASK`` rows, at most one per core. A table
-    that is large for the cluster keeps its partitioning untouched."""
-    cores = inputs.sparkSession.sparkContext.defaultParallelism
-    want = max(1, min(cores, math.ceil(rows / MIN_ROWS_PER_FIT_TASK)))
-    parts = inputs.rdd.getNumPartitions()  # a cached relation: planning only, no job
-    if parts < want:
-        return inputs.repartition(want)
-    if parts > want and want < cores:
-        return inputs.coalesce(want)
-    return inputs
-
-
-def assembler(features: Sequence[str], features_col: str, handle_invalid: str = "skip") -> VectorAssembler:
+def assembler(features: Sequence[str], features_col: str, handle_invalid: str = "error") -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=features_col,
                            handleInvalid=handle_invalid)
 
 
+def usable(df: DataFrame, features: Sequence[str], label: str) -> Column:
+    """Rows a fit or an evaluation can use: no NULL or NaN in the features or
+    the label. Fitting and evaluation share this rule; ``split_rejects``
+    shows the rest with the reason."""
+    return reject_free(df, [*features, label])
+
+
 def fit_all(df: DataFrame, features: Sequence[str], label: str, family: str,
             prefix: str | None = None, seed: int = SEED,
-            only: Sequence[str] | None = None) -> dict[str, PipelineModel]:
+            only: Sequence[str] | None = None, fit_partitions: int | None = None) -> dict[str, PipelineModel]:
     """Fit the family's three models; return name -> PipelineModel.
 
-    The feature columns are computed once and persisted (memory and disk,
-    so a lost executor's blocks are recomputed from the lineage) for all
-    three fits, then released. The fitting partitions are sized from the
-    row count: a one-file input is dealt out over the cores, a tiny one is
-    kept to few tasks, a large one is left as it is. Rows with a NULL label or a
-    NULL/NaN feature cannot be fitted and are skipped here -- use
-    ``split_rejects`` beforehand to keep them visible. Each returned
-    pipeline is [assembler, model], so it scores raw rows by itself.
+    Rows that are not :func:`usable` are left out by an explicit filter; call
+    ``split_rejects`` on the same columns to keep them visible. The feature
+    vectors are persisted once (memory and disk) for all fits -- a single
+    fit reads them as they come -- and released afterwards.
+
+    Spark seeds bootstrap and split sampling by partition, so a forest
+    depends on the input's partitioning. ``fit_partitions`` fixes it: the rows
+    are dealt by a hash of their values into so many partitions and sorted
+    within, so equal inputs give equal models on any cluster. By default the
+    input's own partitioning stays. Each returned pipeline is [assembler,
+    model], so it scores raw rows by itself.
     """
     prefix = prefix or family
     features_col = f"{prefix}_features"
-    asm = assembler(features, features_col, "skip")
-    y = F.col(label).cast("double")
-    # Persist the narrow (features, label) table first. It is the optimizer
-    # barrier that keeps the assembler's NULL filter from being pushed below
-    # the projection that computes the features (which would evaluate every
-    # feature expression twice). Once it is materialized, its row count sizes
-    # the fitting partitions (see fit_layout) before the vectors are cached
-    # once for all three fits.
-    inputs = df.select(*features, y.alias(label)).where(y.isNotNull() & ~F.isnan(y))
-    inputs = inputs.persist(StorageLevel.MEMORY_AND_DISK)
-    training = None
+    named = [(n, e) for n, e in _estimators(family, prefix, features_col, label, seed) if only is None or n in only]
+    asm = assembler(features, features_col, "error")
+    rows = df.select(*features, F.col(label).cast("double").alias(label))
+    rows = rows.where(usable(rows, features, label))
+    if fit_partitions is not None:
+        rows = rows.repartition(fit_partitions, *rows.columns).sortWithinPartitions(*rows.columns)
+    training = asm.transform(rows).select(features_col, label)
+    if len(named) > 1:
+        training = training.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = inputs.count()
-        training = (asm.transform(fit_layout(inputs, rows)).select(features_col, label)
-                    .persist(StorageLevel.MEMORY_AND_DISK))
-        training.count()
-        inputs.unpersist()
-        fitted = {}
-        for name, est in _estimators(family, prefix, features_col, label, seed):
-            if only is not None and name not in only:
-                continue
-            fitted[name] = PipelineModel(stages=[asm, est.fit(training)])
-        return fitted
+        return {name: PipelineModel(stages=[asm, est.fit(training)]) for name, est in named}
     finally:
-        inputs.unpersist()
-        if training is not None:
+        if len(named) > 1:
             training.unpersist()
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotcast.ml.models import model_prediction_col
-from lotcast.operators.clean import reject_reason
+from lotcast.operators.clean import reject_free
 
 
 def score(df: DataFrame, models: Mapping[str, PipelineModel], replace_label: str | None = None,
@@ -33,7 +33,7 @@ def score(df: DataFrame, models: Mapping[str, PipelineModel], replace_label: str
     base_cols = list(df.columns)
     out = df
     added: list[str] = []
-    valid: dict[str, object] = {}
+    valid: dict[str, str] = {}
     assembled: dict[str, tuple] = {}
     for name, model in models.items():
         asm, rest = model.stages[0], model.stages[1:]
@@ -50,17 +50,19 @@ def score(df: DataFrame, models: Mapping[str, PipelineModel], replace_label: str
             assembled[fcol] = inputs
         elif fcol not in assembled:
             raise ValueError(f"{name}: input already has a column named {fcol!r}")
-        valid[fcol] = reject_reason(df, asm.getInputCols()).isNull()
+        if fcol not in valid:  # one boolean a vector, shared by its models
+            valid[fcol] = f"{fcol}_usable"
+            out = out.withColumn(valid[fcol], reject_free(df, asm.getInputCols()))
         for stage in rest:
             out = stage.transform(out)
         for col in out.columns:
-            if col not in base_cols and col not in added:
+            if col not in base_cols and col not in added and col not in valid.values():
                 added.append(col)
     preds = []
     for model in models.values():
         fcol = model.stages[0].getOutputCol()
         p = model_prediction_col(model)
-        preds.append(F.when(valid[fcol], F.col(p)).alias(p))
+        preds.append(F.when(F.col(valid[fcol]), F.col(p)).alias(p))
     extra = [F.col(c) for c in added if keep_vectors and not c.endswith("_prediction")]
     result = out.select(*[F.col(c) for c in base_cols], *extra, *preds)
     if replace_label is not None:

@@ -10,7 +10,6 @@ from lotcast.operators.metrics import (
     per_class_recall,
     regression_metrics,
 )
-from lotcast.operators.partitioning import spread
 from lotcast.operators.split import hash_split
 from lotcast.operators.reports import band_counts, category_counts, sold_reports, split_report, top_k
 
@@ -18,5 +17,5 @@ __all__ = [
     "REASON_COL", "clean", "reject_reason", "split_rejects", "tag_rejects",
     "class_totals", "classification_metrics", "confusion", "leaderboard_classification",
     "leaderboard_regression", "per_class_recall", "regression_metrics",
-    "spread", "hash_split", "band_counts", "category_counts", "sold_reports", "split_report", "top_k",
+    "hash_split", "band_counts", "category_counts", "sold_reports", "split_report", "top_k",
 ]

@@ -49,6 +49,17 @@ def reject_reason(df: DataFrame, features: Sequence[str]) -> Column:
     return F.coalesce(*checks) if checks else F.lit(None).cast("string")
 
 
+def reject_free(df: DataFrame, features: Sequence[str]) -> Column:
+    """True where no feature is NULL or NaN (the same rule as
+    :func:`reject_reason`, without building the reason)."""
+    ok = F.lit(True)
+    for name in features:
+        ok = ok & F.col(name).isNotNull()
+        if _is_float(df, name):
+            ok = ok & ~F.isnan(F.col(name))
+    return ok
+
+
 def tag_rejects(df: DataFrame, features: Sequence[str], reason_col: str = REASON_COL) -> DataFrame:
     """Add the reject reason column (NULL for rows every model can use)."""
     return df.withColumn(reason_col, reject_reason(df, features))

@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
@@ -22,14 +23,15 @@ from lotcast import schemas as S
 from lotcast.functions.bands import band
 from lotcast.functions.casts import cast_lenient, lenient_double, lenient_integral
 from lotcast.functions.codec import decode_messages, encode_messages
-from lotcast.ml.leaderboard import evaluate
-from lotcast.ml.models import CLASSIFICATION, REGRESSION, fit_all, load_all, prediction_col, save_all
+from lotcast.ml.leaderboard import evaluate, evaluated_rows
+from lotcast.ml.models import CLASSIFICATION, REGRESSION, assembler, fit_all, load_all, prediction_col, save_all, usable
 from lotcast.ml.score import score
-from lotcast.operators.clean import clean, tag_rejects
-from lotcast.operators.partitioning import spread
+from lotcast.operators.clean import clean, split_rejects, tag_rejects
 from lotcast.operators.split import hash_split
 from lotcast.operators.metrics import classification_metrics, per_class_recall, regression_metrics
 from lotcast.operators.reports import band_counts, category_counts, sold_reports, top_k
+from lotcast.plans.listing_jobs import ingest_messages, read_landed, read_rejects, report_dimensions
+from lotcast.plans.listing_tables import listings, messages
 from lotcast.session import scratch_path
 from lotcast.sinks.writers import write_table
 from lotcast.sources.readers import read_listings, read_table
@@ -226,7 +228,7 @@ def linear_fit(spark: SparkSession, d: str) -> DataFrame:
     lr = _linear_k(spark, d).stages[-1]
     row = [(float(lr.coefficients[0]), float(lr.intercept))]
     out = spark.createDataFrame(row, "slope double, intercept double")
-    return out.select(F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
+    return out.select(F.round("slope", 8).alias("slope"), F.round("intercept", 8).alias("intercept"))
 
 
 def price_leaderboard(spark: SparkSession, d: str) -> DataFrame:
@@ -234,7 +236,7 @@ def price_leaderboard(spark: SparkSession, d: str) -> DataFrame:
     lineitem = read_table(spark, d, "lineitem").select(*PRICE_INPUTS, PRICE_LABEL)
     train, test = hash_split(lineitem, SPLIT, seed=10)
     models = fit_all(train, PRICE_INPUTS, PRICE_LABEL, REGRESSION, prefix="price")
-    return evaluate(models, spread(test), PRICE_LABEL, REGRESSION)
+    return evaluate(models, test, PRICE_LABEL, REGRESSION)
 
 
 def _count_chars(text: Column, chars: str) -> Column:
@@ -249,11 +251,9 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 PUNCT = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-def document_features(spark: SparkSession, d: str) -> DataFrame:
-    """Whole-text length features of every document (JVM string
-    functions). Documents are spread over all cores first when the scan
-    gives fewer partitions than that: the work is per row and CPU-bound."""
-    docs = spread(read_table(spark, d, "documents").select("doc_id", "text"))
+def document_features(docs: DataFrame) -> DataFrame:
+    """Whole-text length features of documents (JVM string functions, no
+    shuffle)."""
     text = F.col("text")
     return docs.select(
         "doc_id",
@@ -269,12 +269,21 @@ def document_features(spark: SparkSession, d: str) -> DataFrame:
 DOC_FEATURES = ["n_chars", "n_words", "n_lines", "n_digits", "n_upper", "n_punct"]
 
 
+#: Most label ids that are broadcast to pick documents (8 bytes each).
+BROADCAST_IDS = 1_000_000
+
+
 def _labelled_documents(spark: SparkSession, d: str) -> DataFrame:
-    """Labels joined to per-document features: the text is reduced to six
-    numbers before the join, so the shuffle carries no text; AQE turns it
-    into a broadcast join only when the labels side measures small."""
+    """Labels joined to the features of the labelled documents. Every text
+    becomes six numbers where it is read, so no shuffle carries text. Up to
+    ``BROADCAST_IDS`` label ids (counted first) are broadcast, so unlabelled
+    documents go before their text is looked at; beyond that the six numbers
+    of all documents are joined."""
     labels = read_table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("quality"))
-    return labels.join(document_features(spark, d), "doc_id")
+    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    if labels.count() <= BROADCAST_IDS:
+        docs = docs.join(F.broadcast(labels.select("doc_id").distinct()), "doc_id", "left_semi")
+    return labels.join(document_features(docs), "doc_id")
 
 
 def sold_leaderboard(spark: SparkSession, d: str) -> DataFrame:
@@ -297,7 +306,7 @@ def score_all(spark: SparkSession, d: str) -> DataFrame:
     lineitem = read_table(spark, d, "lineitem")
     models = fit_all(lineitem, PRICE_INPUTS, PRICE_LABEL, REGRESSION, prefix="price")
     loaded = load_all(save_all(models, scratch_path(spark, "models")))
-    return score(spread(lineitem.select("l_orderkey", "l_linenumber", *PRICE_INPUTS, PRICE_LABEL)), loaded)
+    return score(lineitem.select("l_orderkey", "l_linenumber", *PRICE_INPUTS, PRICE_LABEL), loaded)
 
 
 def price_linear_scores(spark: SparkSession, d: str) -> DataFrame:
@@ -313,6 +322,143 @@ def price_linear_scores(spark: SparkSession, d: str) -> DataFrame:
     return scored.withColumn(PRICE_LABEL, F.round(PRICE_LABEL, 4))
 
 
+# --- models on saturated features: a fit equals a plain aggregate ------------------
+
+def _coded(spark: SparkSession, d: str) -> DataFrame:
+    """lineitem with the features and labels that models can learn exactly:
+    codes of the two flags, a label that is constant for each line number,
+    and a 0/1 label whose majority differs between returned lines and
+    others."""
+    returned = (F.col("l_returnflag") == "R").cast("double")
+    return read_table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", PRICE_LABEL,
+        F.when(F.col("l_returnflag") == "A", 0.0).when(F.col("l_returnflag") == "N", 1.0).otherwise(2.0).alias("flag_code"),
+        (F.col("l_linestatus") == "O").cast("double").alias("status_code"),
+        (F.col("l_linenumber") * F.col("l_linenumber") * 10.0).alias("square"),
+        returned.alias("returned"),
+        F.when(returned == 1, F.col("l_quantity") > 10).otherwise(F.col("l_quantity") > 40).cast("double").alias("wanted"))
+
+
+def _stored(spark: SparkSession, models: dict[str, PipelineModel]) -> dict[str, PipelineModel]:
+    return load_all(save_all(models, scratch_path(spark, "models")))
+
+
+def price_gbt_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Boosted trees on the two flag codes, saved, loaded and applied: the
+    mean price of each combination."""
+    lines = _coded(spark, d)
+    models = fit_all(lines, ["flag_code", "status_code"], PRICE_LABEL, REGRESSION, prefix="flags", only=["flags_gbt"])
+    scored = score(lines.select("l_orderkey", "l_linenumber", "flag_code", "status_code"), _stored(spark, models))
+    return scored.select("l_orderkey", "l_linenumber", F.round(prediction_col("flags_gbt"), 4).alias("prediction"))
+
+
+def price_forest_scores(spark: SparkSession, d: str) -> DataFrame:
+    """A regression forest on the line number, with a label that is constant
+    for each: exact whatever the bootstrap draws."""
+    lines = _coded(spark, d)
+    models = fit_all(lines, ["l_linenumber"], "square", REGRESSION, prefix="line", only=["line_random_forest"])
+    scored = score(lines.select("l_orderkey", "l_linenumber"), _stored(spark, models))
+    return scored.select("l_orderkey", "l_linenumber", F.round(prediction_col("line_random_forest"), 6).alias("prediction"))
+
+
+def sold_scores(spark: SparkSession, d: str) -> DataFrame:
+    """All three classifiers on one 0/1 feature: each group's majority, and
+    from the logistic model its share."""
+    lines = _coded(spark, d)
+    models = _stored(spark, fit_all(lines, ["returned"], "wanted", CLASSIFICATION, prefix="want"))
+    scored = score(lines.select("l_orderkey", "l_linenumber", "returned"), models, keep_vectors=True)
+    return scored.select("l_orderkey", "l_linenumber",
+                         F.round(vector_to_array("want_logistic_probability")[1], 5).alias("logistic_share"),
+                         *[F.col(prediction_col(m)).alias(m.removeprefix("want_")) for m in models])
+
+
+def _fifth() -> Column:
+    return F.col("l_orderkey") % 5 == 0
+
+
+def price_board(spark: SparkSession, d: str) -> DataFrame:
+    """Three regressors trained on four fifths of the orders and ranked on
+    the rest, on the line number."""
+    lines = _coded(spark, d)
+    models = fit_all(lines.where(~_fifth()), ["l_linenumber"], "square", REGRESSION, prefix="board")
+    board = evaluate(models, lines.where(_fifth()), "square", REGRESSION)
+    return board.select("id", "algorithm_name", *[F.round(c, 6).alias(c) for c in ("rmse", "mse", "r2", "mae")])
+
+
+def sold_board(spark: SparkSession, d: str) -> DataFrame:
+    """Three classifiers, trained and ranked in the same way."""
+    lines = _coded(spark, d)
+    models = fit_all(lines.where(~_fifth()), ["returned"], "wanted", CLASSIFICATION, prefix="board")
+    board = evaluate(models, lines.where(_fifth()), "wanted", CLASSIFICATION)
+    return board.select("id", "algorithm_name", *[F.round(c, 9).alias(c) for c in ("accurate_rate", "recall_rate", "f1_score")])
+
+
+def evaluation_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Which rows a leaderboard rests on: a tenth of the labels and features
+    is made NULL or NaN first."""
+    key = F.col("l_orderkey") % 10
+    lines = _coded(spark, d).withColumns({
+        "square": F.when(key == 0, F.lit(None)).when(key == 1, F.lit(float("nan"))).otherwise(F.col("square")),
+        "flag_code": F.when(key == 2, F.lit(None)).when(key == 3, F.lit(float("nan"))).otherwise(F.col("flag_code"))})
+    train, test = lines.where(~_fifth()), lines.where(_fifth())
+    models = {**fit_all(train, ["flag_code"], "square", REGRESSION, prefix="one", only=["one_linear"]),
+              **fit_all(train, ["l_linenumber"], "square", REGRESSION, prefix="two", only=["two_linear"])}
+    rows = evaluated_rows(models, lines, "square")
+    return rows.select("id", "algorithm_name", "n_rows", "n_scored", "n_skipped")
+
+
+# --- listing layouts (28, 33 and 32 columns; 23 and 22 features) --------------------
+
+def listing_clean(spark: SparkSession, d: str) -> DataFrame:
+    """Listings cleaned, landed as Parquet and read back (28 columns)."""
+    path = scratch_path(spark, "listing_clean")
+    clean(listings(spark, d)).write.parquet(path)
+    return spark.read.schema(S.LISTING_BATCH).parquet(path)
+
+
+def listing_reports(spark: SparkSession, d: str) -> DataFrame:
+    """The five sold reports of the cleaned listings, from one scan."""
+    return sold_reports(clean(listings(spark, d)), report_dimensions(), where=F.col("QuantitySold") == 1.0)
+
+
+def listing_features(spark: SparkSession, d: str) -> DataFrame:
+    """Both feature presets assembled: their widths and the sum of their
+    values, in order."""
+    rows = listings(spark, d)
+    rows = rows.where(usable(rows, S.PRICE_FEATURES, "Price"))
+    for name, features in (("price", S.PRICE_FEATURES), ("sold", S.SOLD_FEATURES)):
+        rows = assembler(features, f"{name}_vector").transform(rows) \
+            .withColumn(f"{name}_values", vector_to_array(f"{name}_vector"))
+    total = lambda c: F.round(F.aggregate(c, F.lit(0.0), lambda a, x: a + x), 6)
+    return rows.select("EbayID", F.size("price_values").alias("n_price"), total("price_values").alias("price_sum"),
+                       F.size("sold_values").alias("n_sold"), total("sold_values").alias("sold_sum"))
+
+
+def listing_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Listings that a price model can't use, with the reason (prices of
+    every seventh listing are made NULL first)."""
+    rows = listings(spark, d).withColumn("Price", F.when(F.col("EbayID") % 7 != 0, F.col("Price")))
+    return split_rejects(rows, [*S.PRICE_FEATURES, "Price"])[1].select("EbayID", "Price", "reject_reason")
+
+
+def stream_listings(spark: SparkSession, d: str) -> DataFrame:
+    """33-key wire messages, one in ten bad, through the stream: landed
+    listings (typed) and rejected messages together are every message once,
+    from one read of the source."""
+    source, landed = scratch_path(spark, "messages"), scratch_path(spark, "landed")
+    sent = messages(spark, d)
+    sent.write.parquet(source)
+    keep = sent.select("event_id").schema
+    stream = open_stream(spark, source, sent.schema)
+    ingest_messages(stream, landed, scratch_path(spark, "landed_ckpt"), keep=["event_id"]).awaitTermination()
+    nothing = [F.lit(None).cast(t).alias(n) for n, t in (
+        ("EbayID", "long"), ("SellerName", "string"), ("Price", "double"), ("HitCount", "int"), ("EndDay", "string"))]
+    good = read_landed(spark, landed, keep=keep).select(
+        F.col("EbayID").alias("event_id"), F.lit(None).cast("string").alias("rejected_text"),
+        "EbayID", "SellerName", "Price", "HitCount", "EndDay")
+    return good.unionByName(read_rejects(spark, landed, keep=keep).select("event_id", "rejected_text", *nothing))
+
+
 # --- streaming (SRC5-6, STR1-3, SNK2) -----------------------------------------
 
 def _event_stream(spark: SparkSession, d: str) -> DataFrame:
@@ -364,6 +510,17 @@ QUERIES: dict[str, Query] = {
     "sold_leaderboard": sold_leaderboard,
     "score_all": score_all,
     "price_linear_scores": price_linear_scores,
+    "price_gbt_scores": price_gbt_scores,
+    "price_forest_scores": price_forest_scores,
+    "sold_scores": sold_scores,
+    "price_board": price_board,
+    "sold_board": sold_board,
+    "evaluation_rows": evaluation_rows,
+    "listing_clean": listing_clean,
+    "listing_reports": listing_reports,
+    "listing_features": listing_features,
+    "listing_rejects": listing_rejects,
+    "stream_listings": stream_listings,
     "stream_ingest": stream_ingest,
     "stream_score": stream_score,
 }

@@ -4,7 +4,7 @@
   and rank the three price and three sold models, save them, and write
   the leaderboards, the cleaned training table and the five sold reports.
 * :func:`ingest_messages` -- decode a stream of JSON listing messages and
-  land them (32 columns), with malformed messages kept aside, exactly once.
+  land them (32 columns), with rejected messages kept aside, exactly once.
 * :func:`score_landed` / :func:`score_landed_stream` -- score landed
   listings with all six saved models in one pass (batch, or incrementally
   as files arrive).
@@ -15,35 +15,38 @@ or a JDBC database, chosen by the caller.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from lotcast import schemas as S
 from lotcast.functions.bands import band
 from lotcast.functions.casts import cast_lenient
 from lotcast.functions.codec import CORRUPT_COL, decode_messages
-from lotcast.ml.leaderboard import train_and_evaluate
+from lotcast.ml.leaderboard import evaluated_rows, train_and_evaluate
 from lotcast.ml.models import CLASSIFICATION, REGRESSION, load_all, prediction_col, save_all
 from lotcast.ml.score import score
-from lotcast.operators.clean import clean
+from lotcast.operators.clean import clean, split_rejects
 from lotcast.operators.reports import sold_reports, split_report
-from lotcast.session import scratch_path
+from lotcast.session import drop_scratch, scratch_path
 from lotcast.sinks.writers import jdbc_batch_writer, write_table
 from lotcast.sources.readers import read_listings
-from lotcast.streaming.ingest import open_stream, stream_to_files
-from lotcast.streaming.scoring import score_stream, score_stream_each_batch
+from lotcast.streaming.ingest import LANDED_CSV, open_stream, stream_to_files
+from lotcast.streaming.scoring import checkpoint_stream_id, score_stream, score_stream_each_batch
 
 TABLE_PRICE_BOARD = S.TABLE_PRICE_BOARD
 TABLE_SOLD_BOARD = S.TABLE_SOLD_BOARD
 TABLE_TRAINING = S.TABLE_TRAINING
 REPORT_TABLES = S.REPORT_TABLES
 SCORE_TABLES = S.SCORE_TABLES
+REJECTED_COL = "rejected"
+# Not the name that Spark's readers keep for lines they could not parse.
+REJECTED_TEXT_COL = "rejected_text"
 REPORT_COLUMNS = {
     "activity": S.RANGE_COL,
     "weekday": S.WEEKDAY_COL,
@@ -105,13 +108,15 @@ def listing_reports(spark: SparkSession, listings: DataFrame, sink: Sink) -> dic
     for name, table in REPORT_TABLES.items():
         top = S.TOP_SELLERS if name == "seller" else None
         written[name] = sink.write(split_report(counts, name, REPORT_COLUMNS[name], top=top), table)
+    drop_scratch(spark, counts_path)
     return written
 
 
 def run_batch(spark: SparkSession, training_path: str, test_path: str, sink: Sink,
               fmt: str = "csv", schema: StructType = S.LISTING_BATCH, header: bool = True,
               model_root: str | None = None, reject_nan: bool = False,
-              malformed_table: str | None = None) -> dict:
+              malformed_table: str | None = None, fit_partitions: int | None = None,
+              keep_scratch: bool = False) -> dict:
     """Clean -> train -> evaluate -> report, as the reference's batch job.
 
     The cleaned tables are written once to the shared scratch folder and
@@ -123,39 +128,46 @@ def run_batch(spark: SparkSession, training_path: str, test_path: str, sink: Sin
     With ``malformed_table``, input lines with a value that does not parse
     are also written, raw text included, to that output (``<name>_train``
     and ``<name>_test``); the rows themselves go on as before, with NULL in
-    the bad field.
+    the bad field. Rows that a family of models cannot use (a NULL or NaN
+    feature or label) are written with the reason to ``<family>_rejects_train``
+    and ``_test``, and ``<family>_evaluated_rows`` says how many test rows each
+    leaderboard line rests on. The run's scratch folder goes when the run is
+    done, unless ``keep_scratch``.
     """
+    run_root = scratch_path(spark, "listing-run")
     cleaned, tables = {}, {}
     for name, path in (("train", training_path), ("test", test_path)):
         corrupt = CORRUPT_COL if malformed_table else None
         raw = read_listings(spark, path, schema, fmt=fmt, header=header, corrupt_col=corrupt)
         if corrupt:
-            raw = raw.persist()
             tables[f"malformed_{name}"] = sink.write(
                 raw.where(F.col(corrupt).isNotNull()), f"{malformed_table}_{name}")
-            rows = raw.drop(corrupt)
-        else:
-            rows = raw
-        out = scratch_path(spark, f"clean_{name}")
-        clean(rows, reject_nan=reject_nan).write.mode("overwrite").parquet(out)
-        if corrupt:
-            raw.unpersist()
+            raw = raw.drop(corrupt)
+        out = f"{run_root}/clean_{name}"
+        clean(raw, reject_nan=reject_nan).write.mode("overwrite").parquet(out)
         cleaned[name] = spark.read.parquet(out)
     train, test = cleaned["train"], cleaned["test"]
-
-    price_models, price_board = train_and_evaluate(
-        train, test, S.PRICE_FEATURES, "Price", REGRESSION, prefix="price")
-    sold_models, sold_board = train_and_evaluate(
-        train, test, S.SOLD_FEATURES, "QuantitySold", CLASSIFICATION, prefix="sold")
+    models, boards = {}, {}
+    for family, features, label, kind in (("price", S.PRICE_FEATURES, "Price", REGRESSION),
+                                          ("sold", S.SOLD_FEATURES, "QuantitySold", CLASSIFICATION)):
+        fitted, board = train_and_evaluate(train, test, features, label, kind, prefix=family,
+                                           fit_partitions=fit_partitions)
+        models.update(fitted)
+        boards[family] = board
+        tables[f"{family}_rows"] = sink.write(evaluated_rows(fitted, test, label), f"{family}_evaluated_rows")
+        for name, rows in cleaned.items():
+            _, rejected = split_rejects(rows, [*features, label])
+            tables[f"{family}_rejects_{name}"] = sink.write(rejected, f"{family}_rejects_{name}")
     model_root = model_root or scratch_path(spark, "models")
-    paths = save_all({**price_models, **sold_models}, model_root)
-
+    paths = save_all(models, model_root)
     tables.update({
-        "price_board": sink.write(price_board, TABLE_PRICE_BOARD),
-        "sold_board": sink.write(sold_board, TABLE_SOLD_BOARD),
+        "price_board": sink.write(boards["price"], TABLE_PRICE_BOARD),
+        "sold_board": sink.write(boards["sold"], TABLE_SOLD_BOARD),
         "training": sink.write(train, TABLE_TRAINING),
     })
     tables.update(listing_reports(spark, train, sink))
+    if not keep_scratch:
+        drop_scratch(spark, run_root)
     return {"models": paths, "tables": tables}
 
 
@@ -163,38 +175,58 @@ def landed_columns() -> list[str]:
     return [f.name for f in S.LISTING_STREAM.fields]
 
 
-def ingest_messages(messages: DataFrame, landed_root: str, rejects_root: str, checkpoint: str,
-                    value_col: str = "value", fmt: str = "csv",
-                    trigger: str | None = "availableNow") -> tuple[StreamingQuery, StreamingQuery]:
+def ingest_messages(messages: DataFrame, landed_root: str, checkpoint: str, value_col: str = "value",
+                    fmt: str = "parquet", trigger: str | None = "availableNow",
+                    keep: Sequence[str] = ()) -> StreamingQuery:
     """Land a stream of JSON listing messages (Kafka ``value`` or text).
 
-    Two checkpointed queries over the same decoded stream: well-formed
-    messages go to ``landed_root`` as the 32 landed columns (headerless CSV
-    by default, as the scorer reads them), malformed ones with their text
-    to ``rejects_root``. Both are file sinks, so each is exactly-once:
-    their metadata logs let batch and streaming readers of the folders see
-    only committed files, and a replayed micro-batch never shows twice
-    downstream. (Each query reads the source once; the decode is cheap.)
+    One checkpointed query with one file sink, partitioned by ``rejected``:
+    well-formed messages as the 32 landed columns under ``rejected=false``,
+    all others with their text under ``rejected=true``. The source is read
+    once, every message lands in exactly one row, and the sink's metadata log
+    lets readers of the folder see only committed files, so a replayed
+    micro-batch never shows twice. ``keep`` carries source columns such as
+    Kafka ``partition`` and ``offset``, which name a message that has no text.
+
+    Land Parquet unless CSV is asked for: scoring then reads only the columns
+    it needs, and files split. Compact old micro-batch files as any small-file
+    folder, and bound the sink's log with its ``retention`` option.
     """
-    decoded = decode_messages(messages, S.LISTING_MESSAGE, value_col=value_col, corrupt_col=CORRUPT_COL)
-    good = decoded.where(F.col(CORRUPT_COL).isNull()).select(*landed_columns())
-    bad = decoded.where(F.col(CORRUPT_COL).isNotNull()).select(CORRUPT_COL)
-    root = checkpoint.rstrip("/")
-    landed = stream_to_files(good, landed_root, f"{root}/landed", fmt=fmt, trigger=trigger)
-    rejects = stream_to_files(bad, rejects_root, f"{root}/rejects", fmt="parquet", trigger=trigger)
-    return landed, rejects
+    decoded = decode_messages(messages, S.LISTING_MESSAGE, value_col=value_col, keep=keep, corrupt_col=CORRUPT_COL)
+    rows = decoded.select(*landed_columns(), F.col(CORRUPT_COL).alias(REJECTED_TEXT_COL), *keep,
+                          F.col(CORRUPT_COL).isNotNull().alias(REJECTED_COL))
+    return stream_to_files(rows, landed_root, checkpoint, fmt=fmt, trigger=trigger, partition_by=[REJECTED_COL])
+
+
+def landed_schema(keep: StructType | None = None) -> StructType:
+    extra = list(keep.fields) if keep else []
+    return StructType([*S.LISTING_LANDED.fields, StructField(REJECTED_TEXT_COL, StringType()), *extra,
+                       StructField(REJECTED_COL, BooleanType())])
 
 
-def read_landed(spark: SparkSession, landed_root: str, fmt: str = "csv") -> DataFrame:
+def _landed(spark: SparkSession, landed_root: str, fmt: str, keep: StructType | None = None) -> DataFrame:
+    options = LANDED_CSV if fmt == "csv" else {}
+    return spark.read.schema(landed_schema(keep)).format(fmt).options(**options).load(landed_root)
+
+
+def read_landed(spark: SparkSession, landed_root: str, fmt: str = "parquet",
+                keep: StructType | None = None) -> DataFrame:
     """Landed listings, typed leniently (bad numbers become NULL). Reading
     the sink folder itself (no glob) goes through its metadata log, so only
-    committed files are read."""
-    raw = read_listings(spark, landed_root, S.LISTING_LANDED, fmt=fmt, header=False)
+    committed files are read. ``keep``: the kept source columns."""
+    raw = _landed(spark, landed_root, fmt, keep).where(~F.col(REJECTED_COL)).select(*landed_columns())
     return cast_lenient(raw, S.LISTING_STREAM)
 
 
+def read_rejects(spark: SparkSession, landed_root: str, fmt: str = "parquet",
+                 keep: StructType | None = None) -> DataFrame:
+    """The rejected messages' texts and kept source columns."""
+    return (_landed(spark, landed_root, fmt, keep).where(F.col(REJECTED_COL))
+            .select(REJECTED_TEXT_COL, *(keep.names if keep else [])))
+
+
 def score_landed(spark: SparkSession, landed_root: str, model_paths: Mapping[str, str], sink: Sink,
-                 fmt: str = "csv", reference_shape: bool = False) -> dict[str, str]:
+                 fmt: str = "parquet", reference_shape: bool = False, keep_scratch: bool = False) -> dict[str, str]:
     """Score every landed listing with all saved models in one scan.
 
     Default output: one table ``listing_scores`` with a prediction column
@@ -217,11 +249,13 @@ def score_landed(spark: SparkSession, landed_root: str, model_paths: Mapping[str
         others = [prediction_col(m) for m in models if m != name]
         table = base.drop(label, *others).withColumnRenamed(prediction_col(name), label)
         written[name] = sink.write(table, SCORE_TABLES.get(name, name))
+    if not keep_scratch:
+        drop_scratch(spark, scored_path)
     return written
 
 
 def score_landed_stream(spark: SparkSession, landed_root: str, models: Mapping[str, PipelineModel],
-                        out: str, checkpoint: str, fmt: str = "csv",
+                        out: str, checkpoint: str, fmt: str = "parquet",
                         trigger: str | None = "availableNow",
                         jdbc: Sink | None = None,
                         max_files_per_trigger: int | None = None) -> StreamingQuery:
@@ -233,13 +267,12 @@ def score_landed_stream(spark: SparkSession, landed_root: str, models: Mapping[s
     micro-batch's rows before writing them again. ``max_files_per_trigger``
     bounds each micro-batch, so a backlog is worked off in steps.
     """
-    stream = open_stream(spark, landed_root, S.LISTING_LANDED, fmt=fmt,
-                         options={"header": "false"} if fmt == "csv" else None,
+    stream = open_stream(spark, landed_root, landed_schema(), fmt=fmt, options=LANDED_CSV if fmt == "csv" else None,
                          max_files_per_trigger=max_files_per_trigger)
-    typed = cast_lenient(stream, S.LISTING_STREAM)
+    typed = cast_lenient(stream.where(~F.col(REJECTED_COL)).select(*landed_columns()), S.LISTING_STREAM)
     if jdbc is not None:
         if jdbc.fmt != "jdbc":
             raise ValueError("jdbc= takes a Sink with fmt='jdbc'")
-        return score_stream_each_batch(typed, models, jdbc_batch_writer(out, jdbc.options), checkpoint,
-                                       trigger=trigger)
+        return score_stream_each_batch(typed, models, jdbc_batch_writer(
+            out, jdbc.options, checkpoint_stream_id(spark, checkpoint)), checkpoint, trigger=trigger)
     return score_stream(typed, models, out, checkpoint, trigger=trigger)

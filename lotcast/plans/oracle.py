@@ -2,24 +2,24 @@
 
 Each string runs on views named after the test tables and returns the
 same columns (names and meaning) as the Spark query of the same key.
-Model fits that SQL cannot express (trees, boosting, one-pass scoring)
-have no entry and get a row-count check only.
+The realistic leaderboards and ``score_all`` have no entry (the driver
+records them as without oracle); the same models have SQL on saturated
+features, where a fit equals a plain aggregate.
 """
 
 from __future__ import annotations
 
 from lotcast import schemas as S
 from lotcast.functions.bands import band_sql
+from lotcast.plans.listing_tables import BAD_MESSAGES, ODD_SELLERS
 
 _SOLD = "event_type = 'purchase'"
 _K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 
 
 def _band_report(table: str, col_sql: str, bands: tuple, where: str) -> str:
-    edges, labels, else_label = bands
-    return (f"SELECT range_name AS range_name, count(1) AS counts FROM ("
-            f"SELECT {band_sql(col_sql, edges, labels, else_label)} AS range_name "
-            f"FROM {table} WHERE {where}) AS temp1 GROUP BY range_name")
+    return (f"SELECT {band_sql(col_sql, *bands)} AS range_name, count(*) AS counts "
+            f"FROM {table} WHERE {where} GROUP BY 1")
 
 
 def _long_report(name: str, key_sql: str) -> str:
@@ -27,7 +27,119 @@ def _long_report(name: str, key_sql: str) -> str:
             f"FROM events WHERE {_SOLD} GROUP BY 1, 2")
 
 
+_CODED = """lines AS (
+  SELECT l_orderkey, l_linenumber, l_extendedprice, l_returnflag, l_linestatus,
+         CAST(l_linenumber * l_linenumber * 10 AS DOUBLE) AS square,
+         CAST(l_returnflag = 'R' AS DOUBLE) AS returned,
+         CAST(CASE WHEN l_returnflag = 'R' THEN l_quantity > 10 ELSE l_quantity > 40 END AS DOUBLE) AS wanted
+  FROM lineitem)"""
+
+#: The batch layout over events, in column order.
+_LISTING = {
+    "EbayID": "event_id", "QuantitySold": "CAST(event_type = 'purchase' AS DOUBLE)", "Price": "value",
+    "PricePercent": "value / 500", "StartingBidPercent": "k / 100",
+    "SellerName": "'seller' || user_id", "SellerClosePercent": "CAST(user_id % 10 AS DOUBLE) / 10",
+    "Category": "CAST(CAST(k AS INTEGER) % 7 AS INTEGER)", "PersonID": "CAST(user_id % 1000 AS INTEGER)",
+    "StartingBid": "value / 2", "AvgPrice": "value * 1.1::DOUBLE", "EndDay": "dayname(ts)",
+    "HitCount": "CAST(k * 4 AS INTEGER)", "AuctionAvgHitCount": "CAST(k * 2 AS INTEGER)",
+    "ItemAuctionSellPercent": "k / 50", "SellerSaleAvgPriceRatio": "value / 400", "SellerAvg": "value / 3",
+    "SellerItemAvg": "k", "AuctionHitCountAvgRatio": "k / 4", "BestOffer": "CAST(user_id % 2 AS DOUBLE)",
+    "ReturnsAccepted": "CAST(user_id % 3 AS INTEGER)", "IsHOF": "CAST(user_id % 5 = 0 AS INTEGER)", "ItemListedCount": "1",
+    "AuctionCount": "CAST(user_id % 50 AS INTEGER)", "AuctionSaleCount": "CAST(user_id % 20 AS INTEGER)",
+    "SellerAuctionCount": "CAST(user_id % 70 AS INTEGER)", "SellerAuctionSaleCount": "CAST(user_id % 30 AS INTEGER)",
+    "AuctionMedianPrice": "value * 0.9::DOUBLE",
+}
+
+
+def _listings() -> str:
+    """A CTE ``listings`` with every column in its declared type."""
+    duck = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+    cols = ", ".join(f"CAST({_LISTING[f.name]} AS {duck[f.dataType.simpleString()]}) AS {f.name}"
+                     for f in S.LISTING_BATCH.fields)
+    return (f"listings AS (SELECT {cols} FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k "
+            "FROM events) e)")
+
+
+_CLEAN = ("SELECT DISTINCT * FROM listings WHERE Price IS NOT NULL AND SellerName IS NOT NULL AND EndDay IS NOT NULL "
+          "AND HitCount > 0")
+
+
+def _total(features: list[str]) -> str:
+    """Left-to-right sum; rows with a NULL feature or price are left out."""
+    return "round(" + " + ".join(["0.0::DOUBLE", *[f"CAST({f} AS DOUBLE)" for f in features]]) + ", 6)"
+
+
+def _listing_report(name: str, key: str) -> str:
+    return (f"SELECT '{name}' AS report, CAST({key} AS VARCHAR) AS key, count(*) AS counts FROM cleaned "
+            "WHERE QuantitySold = 1 GROUP BY 2")
+
+
+def _odd_messages() -> str:
+    text = lambda t: "NULL" if t is None else "'" + t.replace("'", "''") + "'"
+    bad = " ".join(f"WHEN {k} THEN {text(t)}" for k, t in BAD_MESSAGES.items())
+    odd = " ".join(f"WHEN {k} THEN {text(t)}" for k, t in ODD_SELLERS.items())
+    return (f"SELECT event_id, coalesce(CASE (event_id // 10) % {len(BAD_MESSAGES)} {bad} END, '') AS rejected_text, "
+            "CAST(NULL AS BIGINT) AS EbayID, CAST(NULL AS VARCHAR) AS SellerName, CAST(NULL AS DOUBLE) AS Price, "
+            "CAST(NULL AS INTEGER) AS HitCount, CAST(NULL AS VARCHAR) AS EndDay FROM events WHERE event_id % 10 = 0 "
+            "UNION ALL SELECT EbayID, NULL, EbayID, CASE EbayID % 8 " + odd + " ELSE SellerName END, Price, HitCount, "
+            "EndDay FROM listings WHERE EbayID % 10 <> 0")
+
+
+def _reject_case(columns: list[str]) -> str:
+    whole = {f.name for f in S.LISTING_BATCH.fields if f.dataType.simpleString() != "double"}
+    cases = []
+    for c in columns:
+        cases.append(f"WHEN {c} IS NULL THEN 'null:{c}'")
+        if c not in whole:
+            cases.append(f"WHEN isnan({c}) THEN 'nan:{c}'")
+    return "CASE " + " ".join(cases) + " END"
+
+
 ORACLE: dict[str, str] = {
+    "price_gbt_scores": ("SELECT l_orderkey, l_linenumber, round(avg(l_extendedprice) OVER "
+                         "(PARTITION BY l_returnflag, l_linestatus), 4) AS prediction FROM lineitem"),
+    "price_forest_scores": ("SELECT l_orderkey, l_linenumber, CAST(l_linenumber * l_linenumber * 10 AS DOUBLE) AS prediction "
+                            "FROM lineitem"),
+    "sold_scores": (f"WITH {_CODED} SELECT l_orderkey, l_linenumber, "
+                    "round(avg(wanted) OVER (PARTITION BY returned), 5) AS logistic_share, "
+                    + ", ".join(f"CAST(avg(wanted) OVER (PARTITION BY returned) > 0.5 AS DOUBLE) AS {m}"
+                                for m in ("logistic", "random_forest", "decision_tree")) + " FROM lines"),
+    "price_board": (
+        f"WITH {_CODED}, fit AS (SELECT regr_slope(square, l_linenumber) AS s, regr_intercept(square, l_linenumber) AS i "
+        "FROM lines WHERE l_orderkey % 5 <> 0), errors AS (SELECT square, i + s * l_linenumber - square AS e "
+        "FROM lines, fit WHERE l_orderkey % 5 = 0) "
+        "SELECT 1 AS id, 'board_linear' AS algorithm_name, round(sqrt(avg(e * e)), 6) AS rmse, round(avg(e * e), 6) AS mse, "
+        "round(1 - avg(e * e) / var_pop(square), 6) AS r2, round(avg(abs(e)), 6) AS mae FROM errors "
+        "UNION ALL SELECT 2, 'board_random_forest', 0.0, 0.0, 1.0, 0.0 UNION ALL SELECT 3, 'board_gbt', 0.0, 0.0, 1.0, 0.0"),
+    "sold_board": (
+        f"WITH {_CODED}, majority AS (SELECT returned, CAST(avg(wanted) > 0.5 AS DOUBLE) AS p FROM lines "
+        "WHERE l_orderkey % 5 <> 0 GROUP BY 1), t AS (SELECT wanted AS y, p FROM lines JOIN majority USING (returned) "
+        "WHERE l_orderkey % 5 = 0), f AS (SELECT c, (SELECT count(*) FROM t WHERE y = c) AS n_y, "
+        "(SELECT count(*) FROM t WHERE p = c) AS n_p, (SELECT count(*) FROM t WHERE y = c AND p = c) AS n_hit "
+        "FROM (VALUES (0.0), (1.0)) v(c)), m AS (SELECT round(CAST(sum(n_hit) AS DOUBLE) / sum(n_y), 9) AS a, "
+        "round(sum(CASE WHEN n_hit > 0 THEN 2.0::DOUBLE * n_hit / (n_y + n_p) * n_y ELSE 0 END) / sum(n_y), 9) AS f1 FROM f) "
+        + " UNION ALL ".join(f"SELECT {i} AS id, 'board_{n}' AS algorithm_name, a AS accurate_rate, a AS recall_rate, "
+                             "f1 AS f1_score FROM m"
+                             for i, n in enumerate(("logistic", "random_forest", "decision_tree"), 1))),
+    "evaluation_rows": " UNION ALL ".join(
+        f"SELECT {i} AS id, '{n}_linear' AS algorithm_name, count(*) AS n_rows, "
+        f"count(*) FILTER (l_orderkey % 10 NOT IN ({bad})) AS n_scored, "
+        f"count(*) FILTER (l_orderkey % 10 IN ({bad})) AS n_skipped FROM lineitem"
+        for i, n, bad in ((1, "one", "0, 1, 2, 3"), (2, "two", "0, 1"))),
+    "listing_clean": f"WITH {_listings()} {_CLEAN}",
+    "listing_reports": f"WITH {_listings()}, cleaned AS ({_CLEAN}) " + " UNION ALL ".join([
+        _listing_report("activity", band_sql("HitCount", *S.ACTIVITY_BANDS)), _listing_report("weekday", "EndDay"),
+        _listing_report("seller", "SellerName"), _listing_report("price", band_sql("Price", *S.PRICE_BANDS)),
+        _listing_report("ratio", band_sql("SellerSaleAvgPriceRatio", *S.RATIO_BANDS))]),
+    "listing_features": (
+        f"WITH {_listings()} SELECT EbayID, {len(S.PRICE_FEATURES)} AS n_price, {_total(S.PRICE_FEATURES)} AS price_sum, "
+        f"{len(S.SOLD_FEATURES)} AS n_sold, {_total(S.SOLD_FEATURES)} AS sold_sum FROM listings "
+        f"WHERE ({_reject_case([*S.PRICE_FEATURES, 'Price'])}) IS NULL"),
+    "listing_rejects": (
+        f"WITH {_listings()} SELECT * FROM (SELECT EbayID, Price, {_reject_case([*S.PRICE_FEATURES, 'Price'])} AS reject_reason "
+        "FROM (SELECT * REPLACE (CASE WHEN EbayID % 7 <> 0 THEN Price END AS Price) FROM listings) l) r "
+        "WHERE reject_reason IS NOT NULL"),
+    "stream_listings": f"WITH {_listings()} {_odd_messages()}",
     "bucket_activity": _band_report("events", "value", S.ACTIVITY_BANDS, _SOLD),
     "bucket_price": _band_report("events", "value", S.PRICE_BANDS, _SOLD),
     "bucket_ratio": _band_report("lineitem", "(l_discount * 10)", S.RATIO_BANDS, "l_returnflag = 'R'"),
@@ -90,7 +202,7 @@ ORACLE: dict[str, str] = {
         "round(sum(CASE WHEN label = prediction THEN 1 ELSE 0 END) / count(1), 9) AS recall FROM ("
         f"SELECT CAST({_SOLD} AS DOUBLE) AS label, CAST({_K} % 2 AS DOUBLE) AS prediction FROM events) AS t "
         "WHERE label IS NOT NULL AND prediction IS NOT NULL GROUP BY label"),
-    "linear_fit": ("SELECT round(regr_slope(value, k), 6) AS slope, round(regr_intercept(value, k), 6) AS intercept "
+    "linear_fit": ("SELECT round(regr_slope(value, k), 8) AS slope, round(regr_intercept(value, k), 8) AS intercept "
                    f"FROM (SELECT value, {_K} AS k FROM events) AS t"),
     "stream_ingest": f"SELECT event_id, user_id, event_type, value, {_K} AS k FROM events",
     "stream_score": (f"WITH ev AS (SELECT event_id, value, {_K} AS k FROM events) "

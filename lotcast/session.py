@@ -45,7 +45,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     root = tempfile.mkdtemp(prefix="lotcast-ckpt-")
     sc.setCheckpointDir(root)
@@ -55,3 +55,11 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared scratch root."""
     return f"{scratch_root(spark)}/lotcast/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder made with :func:`scratch_path` once nothing reads it."""
+    if f"{scratch_root(spark)}/lotcast/" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lotcast.functions.codec import encode_messages
 
@@ -58,44 +59,70 @@ def write_kafka(df: DataFrame, options: dict[str, str], columns: Sequence[str] |
     encode_messages(df, columns, key).write.format("kafka").options(**options).save()
 
 
-def _jdbc_delete_batch(spark, options: dict[str, str], table: str, batch_col: str, batch_id: int) -> None:
-    """Delete one micro-batch's rows, if the table exists, through the JDBC
-    driver the options name. Runs on the driver; moves no data."""
+def _connect(spark, options: dict[str, str]):
+    """A connection on the driver. A driver named in the options is taken
+    from the class loader that also sees ``--jars``."""
     jvm = spark.sparkContext._jvm
-    if "driver" in options:
-        jvm.java.lang.Class.forName(options["driver"])
     props = jvm.java.util.Properties()
     for key in ("user", "password"):
         if key in options:
             props.setProperty(key, options[key])
-    conn = jvm.java.sql.DriverManager.getConnection(options["url"], props)
-    try:
-        meta = conn.getMetaData()
-        exists = False
-        for name in {table, table.upper(), table.lower()}:
-            rs = meta.getTables(None, None, name, None)
-            exists = exists or rs.next()
-            rs.close()
-        if not exists:
-            return
-        stmt = conn.prepareStatement(f"DELETE FROM {table} WHERE {batch_col} = ?")
-        stmt.setLong(1, int(batch_id))
-        stmt.executeUpdate()
-        stmt.close()
-    finally:
-        conn.close()
-
-
-def jdbc_batch_writer(table: str, options: dict[str, str], batch_col: str = "batch_id"):
+    if "driver" in options:
+        loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+        driver = loader.loadClass(options["driver"]).getDeclaredConstructor().newInstance()
+        return driver.connect(options["url"], props)
+    return jvm.java.sql.DriverManager.getConnection(options["url"], props)
+
+
+def delete_batch(conn, table: str, keys: dict[str, str | int]) -> bool:
+    """Delete the rows of ``table`` (``name`` or ``schema.name``) whose key
+    columns have these values. False if there is no such table yet. Names are
+    quoted as the database wants; the table is found under its own spelling or
+    in the database's upper or lower case."""
+    meta = conn.getMetaData()
+    quote = (meta.getIdentifierQuoteString() or "").strip()
+    schema, _, name = table.rpartition(".")
+    for spelled in (str, str.upper, str.lower):
+        found = meta.getTables(None, spelled(schema) or None, spelled(name), None)
+        exists = found.next()
+        found.close()
+        if exists:
+            break
+    else:
+        return False
+
+    def quoted(part: str) -> str:
+        return f"{quote}{part.replace(quote, quote * 2) if quote else part}{quote}"
+
+    target = ".".join(quoted(spelled(p)) for p in (schema, name) if p)
+    where = " AND ".join(f"{key} = ?" for key in keys)
+    stmt = conn.prepareStatement(f"DELETE FROM {target} WHERE {where}")
+    for i, value in enumerate(keys.values(), 1):
+        (stmt.setLong if isinstance(value, int) else stmt.setString)(i, value)
+    stmt.executeUpdate()
+    stmt.close()
+    return True
+
+
+def jdbc_batch_writer(table: str, options: dict[str, str], stream_id: str, batch_col: str = "batch_id",
+                      stream_col: str = "stream_id", connect=_connect):
     """A ``foreachBatch`` writer that makes JDBC appends idempotent.
 
-    Before appending micro-batch ``N`` it deletes the table's rows tagged
-    ``batch_col = N``, so a batch replayed after a failure replaces its
-    earlier, possibly partial, rows instead of duplicating them. Use with
-    :func:`lotcast.streaming.score_stream_each_batch`, which adds the tag.
+    Rows carry ``stream_col`` and ``batch_col``. Before appending micro-batch
+    ``N`` of this stream it deletes the rows of the same stream and batch, so
+    a batch replayed after a failure replaces its earlier, possibly partial,
+    rows. ``stream_id`` must be as old as the checkpoint: a new checkpoint
+    counts batches from 0 again and needs a new id, or it would delete an
+    earlier run's rows (:func:`lotcast.streaming.checkpoint_stream_id` keeps
+    one beside the checkpoint). Use with
+    :func:`lotcast.streaming.score_stream_each_batch`, which adds the batch.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        _jdbc_delete_batch(batch.sparkSession, options, table, batch_col, batch_id)
-        write_table(batch, table, "jdbc", "append", options)
+        conn = connect(batch.sparkSession, options)
+        try:
+            delete_batch(conn, table, {stream_col: stream_id, batch_col: int(batch_id)})
+        finally:
+            conn.close()
+        write_table(batch.withColumn(stream_col, F.lit(stream_id)), table, "jdbc", "append", options)
 
     return write

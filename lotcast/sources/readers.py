@@ -33,23 +33,11 @@ def read_listings(spark: SparkSession, path: str, schema: StructType, fmt: str =
     return reader.options(**(options or {})).load(path)
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the Parquet tables (``<dir>/<name>.parquet``).
-
-    Spark infers a Parquet schema with a footer-reading job on every
-    ``read.parquet``; the tables are immutable, so the schema is inferred
-    once per path and declared on later reads (no job, same plan).
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+def read_table(spark: SparkSession, sf_dir: str, name: str, schema: StructType | None = None) -> DataFrame:
+    """One of the Parquet tables (``<dir>/<name>.parquet``). Without
+    ``schema`` Spark reads it from a file's footer."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def kafka_options(bootstrap_servers: str, topic: str, starting_offsets: str = "earliest",

@@ -1,9 +1,9 @@
 """Structured Streaming: checkpointed ingest and incremental scoring."""
 
 from lotcast.streaming.ingest import decode_stream, open_kafka, open_stream, stream_to_files
-from lotcast.streaming.scoring import score_stream, score_stream_each_batch
+from lotcast.streaming.scoring import checkpoint_stream_id, score_stream, score_stream_each_batch
 
 __all__ = [
     "decode_stream", "open_kafka", "open_stream", "stream_to_files",
-    "score_stream", "score_stream_each_batch",
+    "checkpoint_stream_id", "score_stream", "score_stream_each_batch",
 ]

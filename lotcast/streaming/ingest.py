@@ -13,6 +13,12 @@ from lotcast.functions.codec import CORRUPT_COL, decode_messages
 
 DEFAULT_INTERVAL = S.INGEST_INTERVAL
 
+#: How landed CSV is written and read back. Every value is quoted, blanks and
+#: empty values stay, NULL is written as \N, and a quoted value may hold line
+#: feeds (which is why such a file is read whole; Parquet has no such limit).
+LANDED_CSV = {"header": "false", "quoteAll": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false",
+              "ignoreTrailingWhiteSpace": "false", "emptyValue": "", "nullValue": "\\N", "multiLine": "true"}
+
 
 def open_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
                 options: dict | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -60,7 +66,7 @@ def stream_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parqu
     writer = (df.writeStream.format(fmt).outputMode("append")
               .option("checkpointLocation", checkpoint).options(**(options or {})))
     if fmt == "csv":
-        writer = writer.option("header", "false")
+        writer = writer.options(**LANDED_CSV)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if query_name:

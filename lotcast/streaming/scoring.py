@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -42,3 +43,20 @@ def score_stream_each_batch(df: DataFrame, models: Mapping[str, PipelineModel],
 
     writer = scored.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
+
+
+def checkpoint_stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that owns ``checkpoint``: made with the
+    checkpoint, kept in it, and gone with it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(checkpoint, "lotcast-stream-id")
+    fs = path.getFileSystem(conf)
+    if not fs.exists(path):
+        out = fs.create(path, False)
+        out.writeUTF(uuid.uuid4().hex)
+        out.close()
+    stream = fs.open(path)
+    try:
+        return stream.readUTF()
+    finally:
+        stream.close()

@@ -23,7 +23,7 @@ def test_cli_batch_ingest_score(spark):
         if name not in wire.columns:
             wire = wire.withColumn(name, F.lit("1"))
     encode_messages(wire, S.LISTING_MESSAGE_KEYS).select("value").write.text(f"{root}/msgs")
-    main(["ingest", "--source", f"{root}/msgs", "--landed", f"{root}/landed", "--rejects", f"{root}/rejects",
+    main(["ingest", "--source", f"{root}/msgs", "--landed", f"{root}/landed",
           "--trigger", "availableNow", "--checkpoint", f"{root}/ckpt_ingest"])
 
     main(["score", "--landed", f"{root}/landed", "--models", f"{root}/models", "--out", f"{root}/scores",

@@ -116,5 +116,14 @@ def test_decode_kafka_shaped_binary_value(spark):
     assert out[0]["_corrupt_record"] is None and out[0]["SellerName"] is None
     assert out[1]["EbayID"] is None and out[1]["_corrupt_record"] == "{broken"
     typed = cast_lenient(decode_messages(df, S.LISTING_MESSAGE, corrupt_col=None), S.LISTING_STREAM)
-    assert typed.orderBy("EbayID").first()["EbayID"] in (None, 7)
+    assert [r["EbayID"] for r in typed.orderBy("EbayID").collect()] == [None, 7]
     assert dict(typed.dtypes)["EbayID"] == "bigint" and dict(typed.dtypes)["Price"] == "double"
+
+
+def test_one_message_is_one_object(spark):
+    texts = ["", "  ", None, '{"EbayID":"3"}{"EbayID":"4"}', '{"EbayID":"3"} trailing', '{"EbayID":"3"},{"EbayID":"4"}',
+             '[{"EbayID":"3"}]', "5", "{broken", ' {"EbayID": "3", "more": [1, {"a": 2}]} ', "{}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, value string")
+    got = decode_messages(df, S.all_strings(["EbayID"]), keep=["i"]).orderBy("i").collect()
+    assert [r["EbayID"] for r in got] == [None] * 9 + ["3", None]
+    assert [r["_corrupt_record"] for r in got] == [t or "" for t in texts[:9]] + [None, None]

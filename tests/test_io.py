@@ -64,3 +64,75 @@ def test_csv_malformed_lines_keep_their_text(spark):
     rows = read_listings(spark, path, schema, corrupt_col="_corrupt_record").cache()
     got = sorted((r["s"], r["n"], r["_corrupt_record"]) for r in rows.collect())
     assert got == [("a", 1, None), ("b", None, "b,oops")]
+
+
+class _Tables:
+    """A stand-in for a JDBC connection: knows its tables, keeps statements."""
+
+    def __init__(self, *tables, quote='"'):
+        self.tables, self.quote, self.ran, self.closed = tables, quote, [], False
+
+    def getMetaData(self):
+        return self
+
+    def getIdentifierQuoteString(self):
+        return self.quote
+
+    def getTables(self, catalog, schema, name, types):
+        self.found = (schema, name) in self.tables
+        return self
+
+    def next(self):
+        return self.found
+
+    def close(self):
+        pass
+
+    def prepareStatement(self, sql):
+        self.ran.append([sql])
+        return self
+
+    def setLong(self, i, v):
+        self.ran[-1].append((i, v))
+
+    setString = setLong
+
+    def executeUpdate(self):
+        self.ran[-1].append("done")
+
+
+def test_replayed_batches_delete_only_their_own_rows():
+    from lotcast.sinks.writers import delete_batch
+    fresh = _Tables()
+    assert not delete_batch(fresh, "scores", {"stream_id": "a", "batch_id": 0}) and fresh.ran == []
+    plain = _Tables((None, "SCORES"))
+    assert delete_batch(plain, "scores", {"stream_id": "a", "batch_id": 3})
+    assert plain.ran == [['DELETE FROM "SCORES" WHERE stream_id = ? AND batch_id = ?', (1, "a"), (2, 3), "done"]]
+    nested = _Tables(("shop", "my table"), quote="`")
+    assert delete_batch(nested, "shop.my table", {"stream_id": "b", "batch_id": 0})
+    assert nested.ran[0][0] == "DELETE FROM `shop`.`my table` WHERE stream_id = ? AND batch_id = ?"
+    assert not delete_batch(_Tables((None, "my table")), "shop.my table", {"batch_id": 0})
+
+
+def test_batch_writer_deletes_then_appends(spark, monkeypatch):
+    from lotcast.sinks import writers
+    conn, written = _Tables((None, "scores")), []
+    monkeypatch.setattr(writers, "write_table", lambda df, *a: written.append((df.collect(), *a)))
+    batch = spark.createDataFrame([(1, 7)], "x int, batch_id long")
+    for stream in ("first", "second"):  # a new checkpoint is a new stream
+        writers.jdbc_batch_writer("scores", {"url": "u"}, stream, connect=lambda s, o: conn)(batch, 7)
+    assert [r[1:3] for r in conn.ran] == [[(1, "first"), (2, 7)], [(1, "second"), (2, 7)]]
+    assert [tuple(w[0][0]) for w in written] == [(1, 7, "first"), (1, 7, "second")]
+
+
+def test_stream_id_lives_with_its_checkpoint(spark):
+    from lotcast.session import drop_scratch, scratch_path
+    from lotcast.streaming import checkpoint_stream_id
+    a, b = scratch_path(spark, "ckpt-a"), scratch_path(spark, "ckpt-b")
+    first = checkpoint_stream_id(spark, a)
+    assert checkpoint_stream_id(spark, a) == first != checkpoint_stream_id(spark, b)
+    drop_scratch(spark, a)
+    assert checkpoint_stream_id(spark, a) != first
+    import pytest
+    with pytest.raises(ValueError):
+        drop_scratch(spark, "/elsewhere")

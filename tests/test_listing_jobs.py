@@ -1,6 +1,9 @@
 """End-to-end listing jobs on listing-shaped rows that Spark derives from
 the ``events`` test table (no hand-made data)."""
 
+import json
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,50 +15,19 @@ from lotcast.plans.listing_jobs import (
     Sink,
     ingest_messages,
     read_landed,
+    read_rejects,
     run_batch,
     score_landed,
     score_landed_stream,
 )
 from lotcast.ml import load_all, prediction_col
+from lotcast.operators import split_rejects
+from lotcast.plans.listing_tables import listings, messages
 from lotcast.session import scratch_path
-from lotcast.sources import read_table
 
 
 def listings_from_events(spark, d=SF_SMALL):
-    """Every listing column filled from an events row, in batch order."""
-    ev = read_table(spark, d, "events").withColumn("k", F.from_json("props", "k int")["k"])
-    v, k, u = F.col("value"), F.col("k").cast("double"), F.col("user_id")
-    cols = {
-        "EbayID": F.col("event_id"),
-        "QuantitySold": (F.col("event_type") == "purchase").cast("double"),
-        "Price": v,
-        "PricePercent": v / 500,
-        "StartingBidPercent": k / 100,
-        "SellerName": F.concat(F.lit("seller"), u.cast("string")),
-        "SellerClosePercent": (u % 10) / 10,
-        "Category": (F.col("k") % 7).cast("int"),
-        "PersonID": (u % 1000).cast("int"),
-        "StartingBid": v / 2,
-        "AvgPrice": v * 1.1,
-        "EndDay": F.date_format("ts", "EEEE"),
-        "HitCount": (F.col("k") * 4).cast("int"),
-        "AuctionAvgHitCount": (F.col("k") * 2).cast("int"),
-        "ItemAuctionSellPercent": k / 50,
-        "SellerSaleAvgPriceRatio": v / 400,
-        "SellerAvg": v / 3,
-        "SellerItemAvg": k,
-        "AuctionHitCountAvgRatio": k / 4,
-        "BestOffer": (u % 2).cast("double"),
-        "ReturnsAccepted": (u % 3).cast("int"),
-        "IsHOF": (u % 5 == 0).cast("int"),
-        "ItemListedCount": F.lit(1),
-        "AuctionCount": (u % 50).cast("int"),
-        "AuctionSaleCount": (u % 20).cast("int"),
-        "SellerAuctionCount": (u % 70).cast("int"),
-        "SellerAuctionSaleCount": (u % 30).cast("int"),
-        "AuctionMedianPrice": v * 0.9,
-    }
-    return ev.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in S.LISTING_BATCH.fields])
+    return listings(spark, d)
 
 
 @pytest.fixture(scope="module")
@@ -74,24 +46,49 @@ def batch_result(spark):
                                      malformed_table="malformed")
 
 
-def test_batch_job_reports_match_sql(spark, batch_result):
-    listings, sink, result = batch_result
+def _band(value, edges):
+    """Label of the half-open band a value falls in (NULL: the last)."""
+    if value is not None:
+        for limit, name in edges[:-1]:
+            if value < limit:
+                return name
+    return edges[-1][1]
+
+
+def test_batch_job_reports_count_the_training_table(spark, batch_result):
+    """All five reports, counted in plain Python from the written table."""
+    _, sink, result = batch_result
     assert set(result["tables"]) >= set(REPORT_TABLES)
-    train = spark.read.parquet(sink.target("training"))
-    train.createOrReplaceTempView("listings_t")
-    expected = spark.sql("""
-        SELECT range_name, count(1) AS counts FROM (
-          SELECT CASE WHEN HitCount < 10 THEN '1-10' WHEN HitCount < 20 THEN '10-20'
-                      WHEN HitCount < 40 THEN '20-40' WHEN HitCount < 100 THEN '40-100'
-                      WHEN HitCount < 200 THEN '100-200' WHEN HitCount < 300 THEN '200-300'
-                      ELSE '>300' END AS range_name
-          FROM listings_t WHERE QuantitySold = 1.0) AS temp1 GROUP BY range_name""")
-    got = spark.read.parquet(sink.target(REPORT_TABLES["activity"]))
-    assert sorted(got.collect()) == sorted(expected.collect())
-    top = spark.read.parquet(sink.target(REPORT_TABLES["seller"])).collect()
-    assert len(top) == 10
-    weeks = spark.read.parquet(sink.target(REPORT_TABLES["weekday"]))
-    assert weeks.agg(F.sum("counts")).first()[0] == train.where("QuantitySold = 1.0").count()
+    sold = [r for r in spark.read.parquet(sink.target("training")).collect() if r["QuantitySold"] == 1.0]
+
+    def bands(spec):
+        edges, labels, last = spec
+        return [*zip(edges, labels), (None, last)]
+
+    want = {
+        "activity": Counter(_band(r["HitCount"], bands(S.ACTIVITY_BANDS)) for r in sold),
+        "price": Counter(_band(r["Price"], bands(S.PRICE_BANDS)) for r in sold),
+        "ratio": Counter(_band(r["SellerSaleAvgPriceRatio"], bands(S.RATIO_BANDS)) for r in sold),
+        "weekday": Counter(r["EndDay"] for r in sold),
+    }
+    for name, counts in want.items():
+        got = spark.read.parquet(sink.target(REPORT_TABLES[name])).collect()
+        assert {r[0]: r["counts"] for r in got} == dict(counts), name
+    sellers = Counter(r["SellerName"] for r in sold)
+    best = sorted(sellers.items(), key=lambda x: (-x[1], x[0]))[:10]
+    assert [tuple(r) for r in spark.read.parquet(sink.target(REPORT_TABLES["seller"])).collect()] == best
+
+
+def test_batch_job_reports_rows_that_models_cannot_use(spark, batch_result):
+    _, sink, result = batch_result
+    read = lambda name: spark.read.parquet(result["tables"][name])
+    for family, features, label in (("price", S.PRICE_FEATURES, "Price"), ("sold", S.SOLD_FEATURES, "QuantitySold")):
+        train = read("training")
+        _, rejected = split_rejects(train, [*features, label])
+        assert read(f"{family}_rejects_train").count() == rejected.count()
+        lines = read(f"{family}_rows").collect()
+        assert len(lines) == 3 and all(r["n_rows"] == r["n_scored"] + r["n_skipped"] for r in lines)
+        assert lines[0]["n_skipped"] == read(f"{family}_rejects_test").count()
 
 
 def test_batch_job_keeps_malformed_lines_aside(spark, batch_result):
@@ -122,17 +119,15 @@ def test_ingest_then_score_batch_and_stream(spark, batch_result):
         .withColumn("PriceBuckets", F.lit("2")).withColumn("IsInMedianRatio10Percent", F.lit("0")) \
         .withColumn("IsInMedianRatio20Percent", F.lit("1")).withColumn("IsInMedianRatio25Percent", F.lit("1"))
     msgs = encode_messages(wire_cols, S.LISTING_MESSAGE_KEYS).select("value")
-    msgs = msgs.unionByName(spark.createDataFrame([("this is not json",)], "value string"))
+    msgs = msgs.unionByName(spark.createDataFrame([("this is not json",), ("",)], "value string"))
     src = scratch_path(spark, "t_msgs")
     msgs.write.mode("overwrite").text(src)
-    landed, rejects = scratch_path(spark, "t_landed"), scratch_path(spark, "t_rejects")
-    ckpt = scratch_path(spark, "t_ingest_ckpt")
-    for _ in range(2):  # the second run on the same checkpoints must add nothing
-        for q in ingest_messages(spark.readStream.schema("value string").text(src), landed, rejects, ckpt):
-            q.awaitTermination()
+    landed, ckpt = scratch_path(spark, "t_landed"), scratch_path(spark, "t_ingest_ckpt")
+    for _ in range(2):  # the second run on the same checkpoint must add nothing
+        ingest_messages(spark.readStream.schema("value string").text(src), landed, ckpt).awaitTermination()
     typed = read_landed(spark, landed)
     assert typed.count() == listings.count()
-    assert spark.read.parquet(rejects).count() == 1
+    assert sorted(r[0] for r in read_rejects(spark, landed).collect()) == ["", "this is not json"]
     assert typed.where("EbayID IS NULL").count() == 0
 
     sink = Sink("parquet", scratch_path(spark, "t_scores"))
@@ -150,3 +145,22 @@ def test_ingest_then_score_batch_and_stream(spark, batch_result):
     p = prediction_col("price_linear")
     a = streamed.select("EbayID", p).exceptAll(scores.select("EbayID", p)).count()
     assert a == 0
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_landed_plus_rejected_is_every_message(spark, fmt):
+    sent = messages(spark, SF_SMALL)
+    src = scratch_path(spark, "t_odd_msgs")
+    sent.write.parquet(src)
+    stream = spark.readStream.schema(sent.schema).parquet(src)
+    landed, ckpt = scratch_path(spark, "t_odd_landed"), scratch_path(spark, "t_odd_ckpt")
+    ingest_messages(stream, landed, ckpt, fmt=fmt, keep=["event_id"]).awaitTermination()
+    keep = sent.select("event_id").schema
+    good, bad = read_landed(spark, landed, fmt, keep), read_rejects(spark, landed, fmt, keep)
+    rows = {r["event_id"]: r["value"] for r in sent.collect()}
+    assert {r["event_id"]: r[0] for r in bad.collect()} == {i: v or "" for i, v in rows.items() if i % 10 == 0}
+    names = {r["EbayID"]: r["SellerName"] for r in good.collect()}
+    want = {i: json.loads(v).get("SellerName") for i, v in rows.items() if i % 10}
+    if fmt == "csv":  # the one text that CSV keeps for NULL
+        want = {i: None if n == "\\N" else n for i, n in want.items()}
+    assert names == want and good.count() == len(want)

@@ -1,8 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
-from lotcast.ml import CLASSIFICATION, REGRESSION, fit_all, load_all, prediction_col, save_all, score
+from conftest import ROOT, SF_SMALL
+from lotcast.ml import CLASSIFICATION, REGRESSION, evaluate, evaluated_rows, fit_all, load_all, prediction_col, save_all, score
 from lotcast.plans.catalogue import K_SCHEMA, _linear_k
 from lotcast.session import scratch_path
 from lotcast.sources import read_table
@@ -119,18 +119,40 @@ def test_score_stream_each_batch_tags_batches(spark):
     assert prediction_col("value_linear") in got.columns
 
 
-def test_fit_layout_sizes_partitions_from_rows(spark):
-    from lotcast.ml.models import MIN_ROWS_PER_FIT_TASK, fit_layout
-    cores = spark.sparkContext.defaultParallelism
-    tiny = spark.range(1000).repartition(8).persist()
-    assert fit_layout(tiny, tiny.count()).rdd.getNumPartitions() == 1
-    one = spark.range(4 * MIN_ROWS_PER_FIT_TASK).coalesce(1).persist()
-    assert fit_layout(one, one.count()).rdd.getNumPartitions() == min(cores, 4)
-    big_rows = 10 * cores * MIN_ROWS_PER_FIT_TASK  # large for this cluster: left alone
-    many = spark.range(100).repartition(3 * cores).persist()
-    assert fit_layout(many, big_rows).rdd.getNumPartitions() == 3 * cores
-    for df in (tiny, one, many):
-        df.unpersist()
+def _forest(rows, cores):
+    """The forest that a session with ``cores`` cores fits (a process of its
+    own, as one process holds one session)."""
+    import json
+    import subprocess
+    import sys
+    code = f"""
+import json, sys
+sys.path.insert(0, {ROOT!r})
+from lotcast.session import local_session
+from lotcast.ml import REGRESSION, fit_all
+spark = local_session({cores}, shuffle_partitions={cores}, extra={{"spark.driver.memory": "1g"}})
+df = spark.createDataFrame(json.loads(sys.stdin.read()), "x double, z double, y double").repartition({cores})
+m = fit_all(df, ["x", "z"], "y", REGRESSION, prefix="p", only=["p_random_forest"], fit_partitions=3)
+print("FOREST", m["p_random_forest"].stages[-1].toDebugString.split("\\n", 1)[1].replace("\\n", ";"))
+"""
+    out = subprocess.run([sys.executable, "-c", code], input=json.dumps(rows), capture_output=True, text=True, timeout=300)
+    return out.stdout.split("FOREST", 1)[1]
+
+
+def test_forest_does_not_depend_on_the_cluster():
+    rows = [(float(i % 17), float(i * 7 % 23), float(i * i % 101)) for i in range(600)]
+    assert _forest(rows, 2) == _forest(rows, 4)
+
+
+def test_nan_label_leaves_metrics_finite_and_is_counted(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.1), (3.0, 6.2), (4.0, 8.0)], "x double, y double")
+    models = fit_all(df, ["x"], "y", REGRESSION, prefix="t", only=["t_linear"])
+    test = df.unionByName(spark.createDataFrame([(5.0, nan), (6.0, None), (None, 3.0), (nan, 3.0)], "x double, y double"))
+    board = evaluate(models, test, "y", REGRESSION).first()
+    assert all(v == v and abs(v) < 10 for v in (board["rmse"], board["mse"], board["r2"], board["mae"]))
+    rows = evaluated_rows(models, test, "y").first()
+    assert (rows["n_rows"], rows["n_scored"], rows["n_skipped"]) == (8, 4, 4)
 
 
 def test_score_rejects_conflicting_vector_columns(spark):

@@ -61,3 +61,18 @@ def test_classification_metrics_two_shuffles_no_join(spark):
     assert plan.count("FileScan parquet") == 1
     assert _shuffles(plan) == 2
     assert "Join" not in plan
+
+
+def test_document_features_move_no_text(spark):
+    from lotcast.plans.catalogue import _labelled_documents
+    plan = _plan(_labelled_documents(spark, SF_SMALL))
+    for line in plan.splitlines():
+        if re.search(r"Exchange (?!SinglePartition)|RoundRobin", line):
+            assert "text" not in line
+    # labelled ids meet the documents before their text is measured
+    assert "LeftSemi" in plan
+
+
+@pytest.mark.parametrize("name", ["score_all", "price_linear_scores"])
+def test_scoring_does_not_shuffle(spark, name):
+    assert _shuffles(_plan(E.queries()[name](spark, SF_SMALL))) == 0

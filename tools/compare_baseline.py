@@ -24,7 +24,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionE
 from pyspark.sql import functions as F  # noqa: E402
 
 from lotcast.ml import REGRESSION, fit_all, prediction_col, score  # noqa: E402
-from lotcast.operators import classification_metrics, regression_metrics, spread  # noqa: E402
+from lotcast.operators import classification_metrics, regression_metrics  # noqa: E402
 from lotcast.plans.catalogue import PRICE_INPUTS, PRICE_LABEL  # noqa: E402
 from lotcast.session import local_session, scratch_path  # noqa: E402
 from lotcast.sources import read_table  # noqa: E402
@@ -46,7 +46,7 @@ def main():
     rounds = int(sys.argv[2]) if len(sys.argv) > 2 else 3
     arrivals = int(sys.argv[3]) if len(sys.argv) > 3 else 8
     spark = local_session(8, app="lotcast-compare")
-    lineitem = spread(read_table(spark, sf_dir, "lineitem").select(*PRICE_INPUTS, PRICE_LABEL))
+    lineitem = read_table(spark, sf_dir, "lineitem").select(*PRICE_INPUTS, PRICE_LABEL)
     models = fit_all(lineitem, PRICE_INPUTS, PRICE_LABEL, REGRESSION, prefix="price")
     preds = {n: prediction_col(n) for n in models}
 
