@@ -18,6 +18,11 @@ from lotcast.llm.common import materialize, table
 from lotcast.llm.queries import PIECE_MODEL
 
 
+#: A repeated passage of fifty words is to go even where words are short, so
+#: the stage looks for shorter strings than op10 (400 bytes).
+REPEAT_BYTES = 240
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Probably good documents; the rest goes."""
     return quality.keep_good(docs)
@@ -30,8 +35,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages of 400 bytes or more that occur elsewhere."""
-    removed = repeats.remove_repeats(docs)
+    """Texts without passages of ``REPEAT_BYTES`` or more that occur elsewhere."""
+    removed = repeats.remove_repeats(docs, min_bytes=REPEAT_BYTES)
     return removed.withColumns({"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}) \
         .select(*docs.columns)
 

@@ -47,7 +47,7 @@ def test_repeat_stage_equals_brute_force(steps):
     _, before, after = steps[2]
     rows = sorted((r["doc_id"], r["text"]) for r in before.collect())
     kept = {r["doc_id"]: r for r in after.collect()}
-    for (doc_id, text), (size, gone, _, _) in zip(rows, removed_bytes([t for _, t in rows], 400)):
+    for (doc_id, text), (size, gone, _, _) in zip(rows, removed_bytes([t for _, t in rows], pipeline.REPEAT_BYTES)):
         left = kept[doc_id]["text"]
         assert size - gone - 6 <= len(left.encode()) <= size - gone and kept[doc_id]["n_chars"] == len(left)
         assert gone or left == text
