@@ -9,9 +9,10 @@ standard deviations) are confirmed on the full sets.
 
 Documents with equal sets are one unit from the start. In a bucket every unit
 is paired with the bucket's smallest unit only. What a star can miss is a
-link between two units of one bucket whose components still differ; those
-buckets, few and small by then, are looked through in blocks by estimate, and
-what passes is confirmed too. No bucket emits all its pairs.
+link between two units of one bucket whose components still differ. In those
+buckets the members outside the largest component are compared with the full
+sets of all others, block by block through an inverted index, and only links
+come out, one for each component met. No bucket emits all its pairs.
 
 At similarity 0.8, a pair shares no band with probability 5e-8.
 
@@ -38,8 +39,8 @@ from lotcast.llm.components import components
 HASHES = 128
 ROWS_A_BAND = 4
 BITS = 4
-#: Units of one bucket that meet in one task.
-BLOCK = 4096
+#: Units of one bucket whose sets meet in one task.
+BLOCK = 1024
 _FIELDS = 64 // BITS
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20)
@@ -174,35 +175,42 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
 
 
-def _within(buckets: DataFrame, percent: int, least: float) -> DataFrame:
-    """Pairs of one bucket and different components that pass the estimate,
-    without those that the star has tried. Buckets stream through sorted
-    partitions, a block at a time."""
-    def pairs(key: np.ndarray, node: np.ndarray, label: np.ndarray, rep: np.ndarray, n: np.ndarray,
-              bits: np.ndarray, probe: np.ndarray, stored: np.ndarray) -> Iterator[tuple[int, int]]:
-        for i in np.flatnonzero(probe):
-            fits = stored & (label != label[i]) & (node != node[i]) & (node != rep[i]) & (node[i] != rep[i])
-            fits &= 100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])
-            at = np.flatnonzero(fits)
-            if not len(at):
-                continue
-            x = bits[at] ^ bits[i]
-            folded = x.copy()
-            for k in range(1, BITS):
-                folded |= x >> np.uint64(k)
-            equal = HASHES - np.bitwise_count(folded & np.uint64(_LOWEST)).sum(1, dtype=np.int64)
-            chance = 2.0 ** -BITS
-            for j in at[(equal / HASHES - chance) / (1 - chance) >= least]:
-                yield (int(min(node[i], node[j])), int(max(node[i], node[j])))
+def _linked(stored: list[np.ndarray], probe: np.ndarray, percent: int, index: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Which stored sets reach the threshold with the probe, by counting
+    common shingles in an inverted index (sorted shingles and their owners)."""
+    values, owners = index
+    lo, hi = np.searchsorted(values, probe, "left"), np.searchsorted(values, probe, "right")
+    at = np.repeat(lo - np.cumsum(np.r_[0, (hi - lo)[:-1]]), hi - lo) + np.arange((hi - lo).sum())
+    common = np.bincount(owners[at], minlength=len(stored))
+    sizes = np.fromiter(map(len, stored), np.int64, len(stored))
+    return 100 * common >= percent * (sizes + len(probe) - common)
 
+
+def _within(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links inside a bucket between different components: every probe is
+    compared with the full sets of its block, and one link a probe and
+    component comes out. Buckets stream through sorted partitions, a block at
+    a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at = [], None
 
         def flush() -> pa.RecordBatch:
             whole = pa.Table.from_batches(held)
-            columns = [whole[c].to_numpy() for c in ("key", "node", "label", "rep", "n_shingles")]
-            bits = whole["bits"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(whole), -1)
-            found = set(pairs(*columns, bits, whole["probe"].to_numpy().astype(bool), whole["stored"].to_numpy().astype(bool)))
+            node, label = whole["node"].to_numpy(), whole["label"].to_numpy()
+            probes = np.flatnonzero(whole["probe"].to_numpy(zero_copy_only=False))
+            kept = np.flatnonzero(whole["stored"].to_numpy(zero_copy_only=False))
+            sets = [np.frombuffer(x.as_py(), np.uint64) for x in whole["shingles"]]
+            stored = [sets[i] for i in kept]
+            values = np.concatenate(stored) if stored else np.zeros(0, np.uint64)
+            owners = np.repeat(np.arange(len(stored)), [len(x) for x in stored])
+            order = np.argsort(values, kind="stable")
+            index = values[order], owners[order]
+            found = set()
+            for i in probes:
+                hits = kept[_linked(stored, sets[i], percent, index)]
+                hits = hits[label[hits] != label[i]]
+                _, first = np.unique(label[hits], return_index=True)
+                found.update((int(min(node[i], node[j])), int(max(node[i], node[j]))) for j in hits[first])
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for batch in batches:
@@ -220,8 +228,8 @@ def _within(buckets: DataFrame, percent: int, least: float) -> DataFrame:
         if held:
             yield flush()
 
-    return (buckets.repartition("key", "block").sortWithinPartitions("key", "block")
-            .select("key", "block", "node", "label", "rep", "n_shingles", "bits", "probe", "stored")
+    return (buckets.join(sets, "node").repartition("key", "block").sortWithinPartitions("key", "block")
+            .select("key", "block", "node", "label", "probe", "stored", "shingles")
             .mapInArrow(run, "a long, b long").distinct())
 
 
@@ -262,15 +270,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by_label = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
     split = (by_label.groupBy("key").agg(F.max_by("label", "c").alias("largest"), F.count(F.lit(1)).alias("labels"))
              .filter("labels > 1").select("key", "largest"))
-    open_buckets = (labelled.join(split, "key").join(of, "node")
-                    .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")))
-    own = open_buckets.withColumns({"block": F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"),
-                                    "stored": F.lit(True), "probe": F.col("blocks") == 1})
-    asked = (open_buckets.filter((F.col("blocks") > 1) & (F.col("label") != F.col("largest")))
-             .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .withColumns({"stored": F.lit(False), "probe": F.lit(True)}))
-    more = _confirm(materialize(_within(own.unionByName(asked), percent, least), "minhash-within"), sets, percent)
-    more = materialize(more, "minhash-more")
+    open_buckets = (labelled.join(split, "key").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+                    .select("key", "node", "label", "blocks", (F.col("label") != F.col("largest")).alias("probe")))
+    own = open_buckets.withColumns({"block": F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), "stored": F.lit(True),
+                                    "probe": F.col("probe") & (F.col("blocks") == 1)})
+    asked = (open_buckets.filter(F.col("probe") & (F.col("blocks") > 1))
+             .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("stored", F.lit(False)))
+    more = materialize(_within(own.unionByName(asked), sets, percent), "minhash-more")
     if more.take(1):
         labels = components(links.unionByName(more))
     of_unit = units.select("digest", "node").join(labels, "node", "left") \

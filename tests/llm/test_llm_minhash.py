@@ -24,7 +24,7 @@ def _family(seed, members, words=40):
 
 
 @pytest.mark.parametrize("size", [1, 2, 5])
-@pytest.mark.parametrize("block", [4096, 3])
+@pytest.mark.parametrize("block", [1024, 3])
 def test_components_equal_brute_force(spark, monkeypatch, size, block):
     monkeypatch.setattr(minhash, "BLOCK", block)
     texts = [t for s in range(4) for t in _family(s, 25)] + ["a", "A", "a b", "", None, " \t\n"]
