@@ -108,8 +108,9 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     the mix takes it."""
     taken = mix(docs, id_col, text_col, source_col, weights, max_repeats)
     key = ["id", "crc", "origin"]
-    # Equal rows are numbered on both sides; a group is the copies of one row.
-    nth = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1)))
+    # Rows of one id, text and source are numbered on both sides, in an order
+    # that a repeated task finds again; a group is the copies of one row.
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("row")))
     mark = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), mark(F.col(id_col)).alias("id"),
                        mark(F.crc32(F.col(text_col).cast("binary"))).alias("crc"),

@@ -167,16 +167,17 @@ def rewrite_affected(docs: DataFrame, placed: DataFrame, path: str, id_col: str
     # Copies of a row get numbers in both tables. The key holds the id and
     # the checksum, so a group is the copies of one row under one id.
     key = ["_id", "_size", "_crc"]
-    nth = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1)))
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy("_shard"))
     target = (placed.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"),
                             F.col("text_crc32").alias("_crc"), F.col("shard").alias("_shard"))
               .withColumn("_nth", nth).alias("p"))
     rows = (docs.withColumns({"_id": F.col(id_col), "_size": utf8_bytes(F.col(text_col)) + ROW_BYTES,
                               "_crc": F.crc32(F.col(text_col).cast("binary"))})
-            .withColumn("_nth", nth).alias("d"))
+            .withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(
+                *[F.col(f"`{c}`") for c in docs.columns])))).alias("d"))
     on = [F.col(f"d.{c}").eqNullSafe(F.col(f"p.{c}")) for c in key + ["_nth"]]
     out = rows.join(target.filter(F.col("_shard").isin(affected)), on).select(
-        *[F.col(f"d.{c}") for c in docs.columns], F.col("p._shard").alias("shard"))
+        *[F.col(f"d.`{c}`") for c in docs.columns], F.col("p._shard").alias("shard"))
     (out.write.partitionBy("shard").mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").parquet(path))
     return affected
