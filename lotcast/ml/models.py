@@ -91,8 +91,9 @@ def fit_all(df: DataFrame, features: Sequence[str], label: str, family: str,
     Spark seeds bootstrap and split sampling by partition, so a forest
     depends on the input's partitioning. ``fit_partitions`` fixes it: the rows
     are dealt by a hash of their values into so many partitions and sorted
-    within, so equal inputs give equal models on any cluster. By default the
-    input's own partitioning stays. Each returned pipeline is [assembler,
+    within, so equal inputs give equal models on any cluster (rows with few
+    different values fill few of them). By default the input's own partitioning
+    stays. Each returned pipeline is [assembler,
     model], so it scores raw rows by itself.
     """
     prefix = prefix or family
@@ -109,8 +110,7 @@ def fit_all(df: DataFrame, features: Sequence[str], label: str, family: str,
     try:
         return {name: PipelineModel(stages=[asm, est.fit(training)]) for name, est in named}
     finally:
-        if len(named) > 1:
-            training.unpersist()
+        training.unpersist()
 
 
 def save_all(models: dict[str, PipelineModel], root: str) -> dict[str, str]:

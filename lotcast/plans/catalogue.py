@@ -44,6 +44,9 @@ K_SCHEMA = StructType([StructField("k", IntegerType(), True)])
 PRICE_INPUTS = ["l_quantity", "l_discount", "l_tax"]
 PRICE_LABEL = "l_extendedprice"
 SPLIT = [0.8, 0.2]
+#: Partitions that the fits on lineitem are dealt into, whatever the cluster
+#: (a forest depends on it; see ``fit_all``).
+FIT_PARTITIONS = 8
 
 
 def _sold() -> Column:
@@ -235,7 +238,7 @@ def price_leaderboard(spark: SparkSession, d: str) -> DataFrame:
     """Three price regressors, trained on 80% of lineitem, ranked on 20%."""
     lineitem = read_table(spark, d, "lineitem").select(*PRICE_INPUTS, PRICE_LABEL)
     train, test = hash_split(lineitem, SPLIT, seed=10)
-    models = fit_all(train, PRICE_INPUTS, PRICE_LABEL, REGRESSION, prefix="price")
+    models = fit_all(train, PRICE_INPUTS, PRICE_LABEL, REGRESSION, prefix="price", fit_partitions=FIT_PARTITIONS)
     return evaluate(models, test, PRICE_LABEL, REGRESSION)
 
 
@@ -304,7 +307,7 @@ def score_all(spark: SparkSession, d: str) -> DataFrame:
     """Fit, save, load and score all of lineitem with the three price
     models in one scan; one prediction column per model."""
     lineitem = read_table(spark, d, "lineitem")
-    models = fit_all(lineitem, PRICE_INPUTS, PRICE_LABEL, REGRESSION, prefix="price")
+    models = fit_all(lineitem, PRICE_INPUTS, PRICE_LABEL, REGRESSION, prefix="price", fit_partitions=FIT_PARTITIONS)
     loaded = load_all(save_all(models, scratch_path(spark, "models")))
     return score(lineitem.select("l_orderkey", "l_linenumber", *PRICE_INPUTS, PRICE_LABEL), loaded)
 
@@ -347,7 +350,8 @@ def price_gbt_scores(spark: SparkSession, d: str) -> DataFrame:
     """Boosted trees on the two flag codes, saved, loaded and applied: the
     mean price of each combination."""
     lines = _coded(spark, d)
-    models = fit_all(lines, ["flag_code", "status_code"], PRICE_LABEL, REGRESSION, prefix="flags", only=["flags_gbt"])
+    models = fit_all(lines, ["flag_code", "status_code"], PRICE_LABEL, REGRESSION, prefix="flags", only=["flags_gbt"],
+                     fit_partitions=FIT_PARTITIONS)
     scored = score(lines.select("l_orderkey", "l_linenumber", "flag_code", "status_code"), _stored(spark, models))
     return scored.select("l_orderkey", "l_linenumber", F.round(prediction_col("flags_gbt"), 4).alias("prediction"))
 
