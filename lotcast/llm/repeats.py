@@ -150,7 +150,8 @@ def maximal_repeats(contexts: list[bytes], offsets: list[int], min_len: int, uni
                     counts: list[int] | None = None) -> Iterator[tuple[int, int, np.ndarray]]:
     """``(left, right, members)`` of every maximal repeat around the anchor
     of a bucket: ``left`` units before it and ``right`` from it on are equal
-    in all members (rows of ``contexts``), and no unit more on either side.
+    in all members (rows of ``contexts``), and no unit more on either side
+    as far as the contexts reach.
     ``spread`` may reject a member set. A context with ``counts`` of 2 or
     more is a repeat by itself."""
     rights = [c[o * unit:] for c, o in zip(contexts, offsets)]

@@ -1,4 +1,3 @@
-import duckdb
 import pytest
 from brute import near_components, removed_bytes
 from pyspark.sql import functions as F

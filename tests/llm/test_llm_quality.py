@@ -3,7 +3,6 @@ import random
 import numpy as np
 import pytest
 from brute import text_measures
-from pyspark.sql import functions as F
 
 from lotcast.llm import quality
 

@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from brute import removed_bytes
 
@@ -60,21 +61,22 @@ def test_maximal_repeats_have_all_occurrences(spark):
         string = strings.pop()
         everywhere = {(d, s, len(string)) for d, r in enumerate(raws) for s in range(len(r)) if r.startswith(string, s)}
         assert members == everywhere
-        left = {raws[d][s - 1:s] if s else (d, s) for d, s, _ in members}
-        right = {raws[d][s + n:s + n + 1] or (d, s) for d, s, n in members}
-        assert len(string) == width or (len(left) > 1 and len(right) > 1) or len(string) >= width
+    covered = [bytearray(len(r)) for r in raws]
+    for members in groups.values():
+        for d, s, n in members:
+            covered[d][s:s + n] = b"\1" * n
+    assert [sum(c) for c in covered] == [n for _, n, _, _ in removed_bytes(texts, width)]
 
 
 def test_interval_scan():
-    assert sorted(repeats.intervals(__import__("numpy").array([0, 2, 2, 1, 0, 3]))) == [(1, 0, 3), (2, 0, 2), (3, 4, 5)]
+    assert sorted(repeats.intervals(np.array([0, 2, 2, 1, 0, 3]))) == [(1, 0, 3), (2, 0, 2), (3, 4, 5)]
 
 
 def test_edges(spark):
     rng = random.Random(1)
     long = "".join(rng.choice("abcdefgh ") for _ in range(300_000))
-    docs = spark.createDataFrame(
-        [(1, None, "x", "k"), (2, "", None, "k"), (None, "short", "x", "k"), (4, long, "x", "k"), (5, long[1000:1800], "x", "k"),
-         (6, "twin " * 200, "x", "k"), (6, "twin " * 200, "x", "k")], "doc_id long, text string, row string, kept_text string")
+    rows = [(1, None), (2, ""), (None, "short"), (4, long), (5, long[1000:1800]), (6, "twin " * 200), (6, "twin " * 200)]
+    docs = spark.createDataFrame([(*r, "x", "k") for r in rows], "doc_id long, text string, row string, kept_text string")
     got = {r["doc_id"]: r for r in repeats.remove_repeats(docs).collect()}
     assert [got[k]["n_removed"] for k in (1, 2, None, 4, 5)] == [0, 0, 0, 800, 800]
     assert got[4]["n_spans"] == 1 and got[5]["kept_text"] == "" and got[6]["n_removed"] == 1000
