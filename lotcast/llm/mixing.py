@@ -29,8 +29,8 @@ TIME_BITS = 9
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """One row per source: ``source``, ``source_size``, ``weight``,
-    ``target``.
+    """One row per source: ``source``, ``source_size``, ``weight``, ``target``,
+    ``longest`` (its longest document) and ``full`` (the target is its cap).
 
     Sources take the weights in turn, by code point, NULL last. The targets
     share the sum of all sizes by weight, none above ``max_repeats`` times
@@ -39,10 +39,10 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
     order of cap / weight, so one prefix sum over the (few, pre-aggregated)
     sources finds it.
     """
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.max("size").alias("longest"))
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     chosen = F.element_at(F.array(*[F.lit(int(w)) for w in weights]), (place % len(weights) + 1).cast("int"))
-    per = per.select("source", "source_size", place.alias("place"), chosen.cast("double").alias("weight"),
+    per = per.select("source", "source_size", "longest", place.alias("place"), chosen.cast("double").alias("weight"),
                      (F.col("source_size") * max_repeats).cast("double").alias("cap"))
     fill = Window.orderBy(F.col("cap") / F.col("weight"), "place")
     before = fill.rowsBetween(Window.unboundedPreceding, -1)
@@ -52,7 +52,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
     per = per.withColumn("level", level).withColumn("full", F.col("level") * F.col("weight") >= F.col("cap"))
     # Past the first source that is not full the level only falls.
     water = F.max(F.when(~F.col("full"), F.col("level"))).over(every)
-    return per.select("source", "source_size", "weight",
+    return per.select("source", "source_size", "weight", "longest", "full",
                       F.when(F.col("full"), F.col("cap"))
                       .otherwise(water * F.col("weight")).alias("target"))
 
@@ -77,12 +77,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     queued = materialize(running_sums(keyed, ["source_key"], hex_levels("place"), order,
                                       {"before": F.col("size")}), "mix-queues")
     epochs = F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))).alias("epoch")
+    finish = ((F.col("epoch") * F.col("source_size") + F.col("before") + F.col("size")).cast("double") / F.col("target"))
+    # By virtual time 1 every full source has given all its copies, and by the
+    # horizon every other one its target at least (a document may be the
+    # longest): the budget is spent, and no later copy can be in the mix.
+    late = targets.agg(F.max(F.when(~F.col("full"), F.col("longest") / F.col("target")))).first()[0]
+    horizon = (1.0 + (late or 0.0)) * (1 + 1e-9)
     copies = (queued.filter((F.col("size") > 0) & (F.col("target") > 0)).select("*", epochs)
-              .withColumn("finish", (F.col("epoch") * F.col("source_size") + F.col("before") + F.col("size"))
-                          .cast("double") / F.col("target")))
-    # Finish times run from 0 to max_repeats * source_size / target; all that
-    # the budget can reach lie near or below 1, the rest shares the last range.
-    tick = F.least(F.floor(F.col("finish") * (1 << (2 * TIME_BITS))), F.lit((2 << (2 * TIME_BITS)) - 1)).cast("long")
+              .withColumn("finish", finish).filter(F.col("finish") <= horizon))
+    tick = F.floor(F.col("finish") / horizon * ((1 << (2 * TIME_BITS)) - 1)).cast("long")
     levels = [F.shiftright(tick, TIME_BITS), tick]
     by_time = [F.col("finish"), F.col("source_key"), F.col("epoch"), *order]
     placed = running_sums(copies, [], levels, by_time, {"mixed_before": F.col("size")})
