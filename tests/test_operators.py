@@ -1,5 +1,3 @@
-import math
-
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.sql import functions as F
