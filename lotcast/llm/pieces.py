@@ -24,14 +24,16 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 SPACE = "▁"
-#: Remembered units per worker; the memory is emptied when full.
-REMEMBERED = 1 << 17
+BREAK = "\n"
+#: Remembered units per worker and generation; there are two generations.
+REMEMBERED = 1 << 16
 #: Longer units are solved without being remembered.
 REMEMBERED_CHARS = 48
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -75,7 +77,9 @@ class PieceModel:
         for piece, (score, i) in self.score.items():
             self.automaton.add_word(piece, (len(piece), score, i))
         self.automaton.make_automaton()
+        self.breaks = not any(BREAK in p for p in self.score)
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def _unknown(self, char: str) -> list[int]:
         if len(self.byte_id) < 256:
@@ -85,40 +89,55 @@ class PieceModel:
     def viterbi(self, unit: str) -> list[int]:
         """Best segmentation of a unit in one pass over the automaton."""
         n = len(unit)
-        best = [0.0] + [float("-inf")] * n
-        last: list[tuple[int, int]] = [(0, -1)] * (n + 1)
-        at = 0  # positions up to here have their fallback
-
-        def fallback(to: int) -> None:
-            nonlocal at
-            while at < to:
-                if unit[at] not in self.single and best[at] + self.unknown_score > best[at + 1]:
-                    best[at + 1], last[at + 1] = best[at] + self.unknown_score, (1, -1)
-                at += 1
-
+        best, length_of, id_of = [0.0] + [float("-inf")] * n, [1] * (n + 1), [-1] * (n + 1)
+        # Characters without a piece of their own get their fallback just
+        # before the first match that ends after them.
+        bare = [k for k, c in enumerate(unit) if c not in self.single]
+        bare.append(n)
+        due = bare.pop(0)
         for end, (length, score, i) in self.automaton.iter(unit):
-            fallback(end)
-            score += best[end + 1 - length]
-            if score > best[end + 1]:
-                best[end + 1], last[end + 1] = score, (length, i)
-        fallback(n)
-        parts: list[list[int]] = []
+            while due < end:
+                self._fall_back(best, length_of, id_of, due)
+                due = bare.pop(0)
+            end += 1
+            score += best[end - length]
+            if score > best[end]:
+                best[end], length_of[end], id_of[end] = score, length, i
+        while due < n:
+            self._fall_back(best, length_of, id_of, due)
+            due = bare.pop(0)
+        ids: list[int] = []
         while n:
-            length, i = last[n]
-            parts.append([i] if i >= 0 else self._unknown(unit[n - 1]))
-            n -= length
-        return [i for part in reversed(parts) for i in part]
+            if id_of[n] >= 0:
+                ids.append(id_of[n])
+            else:
+                ids += self._unknown(unit[n - 1])[::-1]
+            n -= length_of[n]
+        ids.reverse()
+        return ids
+
+    def _fall_back(self, best: list[float], length_of: list[int], id_of: list[int], k: int) -> None:
+        if best[k] + self.unknown_score > best[k + 1]:
+            best[k + 1], length_of[k + 1], id_of[k + 1] = best[k] + self.unknown_score, 1, -1
 
     def unit(self, unit: str) -> tuple[int, ...]:
-        ids = self.known.get(unit)
+        """Solve a unit and remember it. Units used since the last change of
+        generation survive the next one."""
+        ids = self.older.get(unit)
         if ids is None:
             ids = tuple(self.viterbi(unit))
-            if len(unit) <= REMEMBERED_CHARS:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[unit] = ids
+        if len(unit) <= REMEMBERED_CHARS:
+            if len(self.known) >= REMEMBERED:
+                self.known, self.older = {}, self.known
+            self.known[unit] = ids
         return ids
 
+    def _units(self, part: str, first: bool) -> list[str]:
+        """Units of a text without U+2581; ``first``: it starts the text."""
+        if "  " in part or part[:1] == " " or part[-1:] == " ":
+            return _UNIT.findall((" " + part if first else part).replace(" ", SPACE))
+        return ((SPACE if first else "") + part.replace(" ", " " + SPACE)).split(" ")
+
     def encode(self, text: str, into: array) -> None:
         """Append the text's ids to ``into``."""
         if not text:
@@ -126,9 +145,13 @@ class PieceModel:
         for k, part in enumerate(text.split(SPACE)):
             if k:
                 into.extend(self._unknown(SPACE))
-            escaped = (" " + part if not k else part).replace(" ", SPACE)
-            for unit in _UNIT.findall(escaped):
-                into.extend(self.unit(unit))
+            # No piece holds this character, so no segmentation crosses it.
+            for j, line in enumerate(part.split(BREAK) if self.breaks else [part]):
+                if j:
+                    into.extend(self._unknown(BREAK))
+                if line or not k and not j:
+                    get = self.known.get
+                    into.extend(chain.from_iterable([get(u) or self.unit(u) for u in self._units(line, not k and not j)]))
 
     def decode(self, ids) -> str:
         out: list[str] = []
