@@ -33,8 +33,9 @@ from pyspark.sql import types as T
 
 from lotcast.llm.common import materialize
 
-#: Distinct contexts that one bucket may bring together.
-BUCKET_CONTEXTS = 8192
+#: Distinct contexts that one bucket may bring together (a context is under
+#: two windows long: some 50 MB of texts at 400 bytes).
+BUCKET_CONTEXTS = 65536
 #: Windows handled at a time; longer sequences are cut with overlap.
 CHUNK = 1 << 20
 _INDEX_BITS = 24
@@ -198,13 +199,14 @@ def find_repeats(rows: DataFrame, min_len: int, unit: int = 1, across_rows: bool
 
     ``rows``: ``rkey`` (binary, names a row), ``scope`` (long; repeats are
     looked for within a scope) and ``units`` (binary, ``unit`` bytes a unit).
-    Gives ``rkey`` and ``spans`` (array of struct start, end; in units,
-    unmerged) for rows with any. With ``across_rows`` a repeat must occur in
+    Gives ``rkey`` and ``spans`` for rows with any: structs of ``starts`` and
+    the stretch ``lo`` to ``hi`` from each of them, in units (``stretches``
+    lists them). With ``across_rows`` a repeat must occur in
     two different rows.
     """
     anchors = materialize(_anchors(rows, min_len, unit), "repeat-anchors")
     contexts = anchors.groupBy("h", "g").agg(
-        F.count(F.lit(1)).alias("m"), F.min(F.struct("rkey", "a", "b", "p")).alias("one"),
+        F.sum(F.size("starts")).alias("m"), F.min(F.struct("rkey", "a", "b", "p")).alias("one"),
         F.max("rkey").alias("last_row"))
     shared = (contexts.groupBy("h").agg(F.sum("m").alias("total"), F.count(F.lit(1)).alias("n"),
                                         F.min("one.rkey").alias("lo"), F.max("last_row").alias("hi"))
@@ -212,6 +214,8 @@ def find_repeats(rows: DataFrame, min_len: int, unit: int = 1, across_rows: bool
     contexts = materialize(contexts.join(shared, "h").select(
         "h", "g", "n", "m", "one.rkey", "one.a", "one.b", "one.p", "last_row"), "repeat-contexts")
     again = F.col("rkey") != F.col("last_row") if across_rows else F.col("m") > 1
+    # A context that occurs again is repeated in whole; of the others the scan
+    # tells which part.
     found = contexts.filter(again).select("h", "g", F.lit(0).alias("lo"), (F.col("b") - F.col("a") + min_len).alias("hi"))
     wanted = (contexts.filter("n > 1").groupBy("rkey")
               .agg(F.collect_list(F.struct("h", "g", "n", "m", "a", "b", "p", "last_row")).alias("cuts")))
@@ -223,9 +227,13 @@ def find_repeats(rows: DataFrame, min_len: int, unit: int = 1, across_rows: bool
         found = found.unionByName(_scan(few, min_len, unit, across_rows))
         if contexts.filter(F.col("n") > BUCKET_CONTEXTS).take(1):
             found = found.unionByName(_count_windows(many, min_len, unit, across_rows))
-    spans = anchors.select("h", "g", "rkey", "a").join(found, ["h", "g"]).select(
-        "rkey", F.struct((F.col("a") + F.col("lo")).alias("start"), (F.col("a") + F.col("hi")).alias("end")).alias("span"))
-    return spans.groupBy("rkey").agg(F.collect_set("span").alias("spans"))
+    return (anchors.select("h", "g", "rkey", "starts").join(found, ["h", "g"])
+            .groupBy("rkey").agg(F.collect_list(F.struct("starts", "lo", "hi")).alias("spans")))
+
+
+def stretches(spans: list[dict] | None) -> list[tuple[int, int]]:
+    """The repeated stretches (start, end) of one row of ``find_repeats``."""
+    return [(a + s["lo"], a + s["hi"]) for s in spans or [] for a in s["starts"]]
 
 
 def repeat_groups(rows: DataFrame, min_len: int, unit: int = 1) -> DataFrame:
@@ -235,7 +243,7 @@ def repeat_groups(rows: DataFrame, min_len: int, unit: int = 1) -> DataFrame:
     Buckets above ``BUCKET_CONTEXTS`` raise an error here; their repeated
     spans are in ``find_repeats``."""
     anchors = materialize(_anchors(rows, min_len, unit), "repeat-anchors")
-    contexts = anchors.groupBy("h", "g").agg(F.count(F.lit(1)).alias("m"), F.max("rkey").alias("last_row"),
+    contexts = anchors.groupBy("h", "g").agg(F.sum(F.size("starts")).alias("m"), F.max("rkey").alias("last_row"),
                                              F.min(F.struct("rkey", "a", "b", "p")).alias("one"))
     shared = contexts.groupBy("h").agg(F.sum("m").alias("total"), F.count(F.lit(1)).alias("n")).filter("total > 1")
     contexts = contexts.join(shared, "h").select("h", "g", "n", "m", "one.rkey", "one.a", "one.b", "one.p", "last_row")
@@ -245,14 +253,16 @@ def repeat_groups(rows: DataFrame, min_len: int, unit: int = 1) -> DataFrame:
     texts = _cut(rows.join(wanted, "rkey").select("rkey", "units", "cuts"), min_len, unit)
     found = _by_bucket(texts, lambda table: _groups_of(table, min_len, unit),
                        "h long, g binary, lo int, hi int, group_id binary")
-    return anchors.select("h", "g", "rkey", "a").join(found, ["h", "g"]).select(
+    return anchors.select("h", "g", "rkey", F.explode("starts").alias("a")).join(found, ["h", "g"]).select(
         "group_id", (F.col("hi") - F.col("lo")).alias("length"), "rkey", (F.col("a") + F.col("lo")).alias("start")).distinct()
 
 
 def _anchors(rows: DataFrame, min_len: int, unit: int) -> DataFrame:
+    """One row for each context of a row, with all its starts (a line that a
+    text repeats a thousand times is one context)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, out = [], []
+            keys, grams, out, starts = [], [], [], []
             digests: list[bytes] = []
             for rkey, scope, raw in zip(batch.column("rkey"), batch.column("scope"), batch.column("units")):
                 raw = raw.as_py() or b""
@@ -261,20 +271,28 @@ def _anchors(rows: DataFrame, min_len: int, unit: int) -> DataFrame:
                 h, p, a, b = select_anchors(_units(raw, unit), min_len)
                 with np.errstate(over="ignore"):
                     h = h ^ (np.uint64(scope.as_py() & 0xFFFFFFFFFFFFFFFF) * _MULTIPLIER)
-                keys.append((rkey.as_py(), len(h)))
-                out.append((h.view(np.int64), p, a, b))
-                digests += [xxhash.xxh3_128_digest(raw[i * unit: (j + min_len) * unit], seed=k - i)
-                            for i, j, k in zip(a.tolist(), b.tolist(), p.tolist())]
+                found: dict[tuple[int, bytes], list[int]] = {}
+                for i, (gram, at, first, last) in enumerate(zip(h.view(np.int64).tolist(), p.tolist(), a.tolist(), b.tolist())):
+                    context = xxhash.xxh3_128_digest(raw[first * unit: (last + min_len) * unit], seed=at - first)
+                    found.setdefault((gram, context), []).append(i)
+                keys += [rkey.as_py()] * len(found)
+                grams += [k[0] for k in found]
+                digests += [k[1] for k in found]
+                one = np.fromiter((v[0] for v in found.values()), np.int64, len(found))
+                out.append((a[one], b[one], p[one]))
+                starts += [a[v] for v in found.values()]
             if not out:
                 continue
-            h, p, a, b = (np.concatenate(x) for x in zip(*out))
-            names = pa.array([k for k, n in keys for _ in range(n)], pa.binary())
+            a, b, p = (np.concatenate(x).astype(np.int32) for x in zip(*out))
+            ends = np.cumsum([0, *map(len, starts)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [names, pa.array(h), pa.array(digests, pa.binary()), pa.array(a.astype(np.int32)),
-                 pa.array(b.astype(np.int32)), pa.array(p.astype(np.int32))], ["rkey", "h", "g", "a", "b", "p"])
+                [pa.array(keys, pa.binary()), pa.array(grams, pa.int64()), pa.array(digests, pa.binary()), pa.array(a),
+                 pa.array(b), pa.array(p),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(starts).astype(np.int32)))],
+                ["rkey", "h", "g", "a", "b", "p", "starts"])
 
     return rows.select("rkey", "scope", "units").mapInArrow(
-        run, "rkey binary, h long, g binary, a int, b int, p int")
+        run, "rkey binary, h long, g binary, a int, b int, p int, starts array<int>")
 
 
 _TEXTS = "h long, g binary, n long, m long, off int, ctx binary, row binary, last_row binary"
@@ -353,7 +371,8 @@ def _scan(texts: DataFrame, min_len: int, unit: int, across_rows: bool) -> DataF
             for i in members.tolist():
                 left[i], right[i] = max(left[i], a), max(right[i], b)
         for i, off in enumerate(table["off"]):
-            if left[i] >= 0:
+            whole = table["row"][i] != table["last_row"][i] if across_rows else table["m"][i] > 1
+            if left[i] >= 0 and not whole:  # whole ones are known already
                 yield table["h"][i], table["g"][i], off - left[i], off + right[i]
 
     return _by_bucket(texts, work, "h long, g binary, lo int, hi int")
@@ -385,8 +404,10 @@ def _count_windows(texts: DataFrame, min_len: int, unit: int, across_rows: bool)
         run, "h long, g binary, s int, w binary, m long, row binary, last_row binary")
     counted = windows.groupBy("h", "w").agg(F.sum("m").alias("total"), F.min("row").alias("lo"), F.max("last_row").alias("hi"))
     repeated = counted.filter(F.col("lo") != F.col("hi") if across_rows else F.col("total") > 1).select("h", "w")
-    return windows.select("h", "g", "s", "w").join(repeated, ["h", "w"]).select(
-        "h", "g", F.col("s").alias("lo"), (F.col("s") + min_len).alias("hi"))
+    # All windows of a context hold its anchor: their union is one stretch.
+    single = F.col("row") == F.col("last_row") if across_rows else F.col("m") == 1
+    return windows.filter(single).select("h", "g", "s", "w").join(repeated, ["h", "w"]).groupBy("h", "g").agg(
+        F.min("s").alias("lo"), (F.max("s") + min_len).alias("hi"))
 
 
 # Text dedup -----------------------------------------------------------------
@@ -444,7 +465,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for text, spans in zip(batch.column("row").field(text_col), batch.column("spans")):
                 text = text.as_py()
                 raw = ("" if text is None else str(text)).encode()
-                pieces, runs = cut_spans(raw, [(s["start"], s["end"]) for s in spans.as_py() or []])
+                pieces, runs = cut_spans(raw, stretches(spans.as_py()))
                 kept = sum(map(len, pieces))
                 out.append(("".join(p.decode("utf-8", "ignore") for p in pieces), len(raw), len(raw) - kept, runs,
                             hashlib.sha256(b"".join(pieces)).hexdigest()))
