@@ -3,8 +3,9 @@
 A forest of random-projection trees is fitted on a bounded sample; every
 vector is put into one leaf of each tree. A query walks all trees at once
 through one priority queue ordered by the smallest margin on the way, and
-visits the ``visits`` most promising leaves. Leaf candidates are reranked by
-the exact inner product of the original vectors in double precision.
+visits the most promising leaves, the same share of all leaves at any size (or
+``visits`` of them). Leaf candidates are reranked by the exact inner product of
+the original vectors in double precision.
 
 Inner product is not a metric, so trees see each vector with one more
 coordinate, sqrt(max_norm^2 - norm^2), and each query with a 0 there: the
@@ -39,8 +40,9 @@ from lotcast.llm.common import materialize
 #: Vectors the trees are fitted on, at most (a fixed bound for the driver).
 SAMPLE_ROWS = 16384
 TREES = 8
-#: Leaves that a query visits over the whole forest.
-VISITS = 44
+#: Leaves that a query visits of a forest of ``VISITS_OF`` leaves; a larger
+#: forest keeps the share, a smaller one the number.
+VISITS, VISITS_OF = 44, 256
 #: Bytes of planes sent to the tasks, at most; deeper trees are not built.
 PLANE_BYTES = 64 << 20
 BLOCK_ROWS = 8192
@@ -119,6 +121,12 @@ def tree_depth(rows: int, dim: int, trees: int) -> int:
     return min(depth, most, int(math.log2(SAMPLE_ROWS)))
 
 
+def visited(depth: int, trees: int) -> int:
+    """Leaves a query visits. A share of the rows, not a number of leaves,
+    holds the recall where near vectors share no region."""
+    return max(VISITS, math.ceil(VISITS * (trees << depth) / VISITS_OF))
+
+
 def usable(vec: Column) -> Column:
     """No NULL or non-finite component and not all zero."""
     fine = F.forall(vec, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
@@ -140,7 +148,7 @@ def exact_products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
-            vec_col: str = "embedding", trees: int = TREES, visits: int = VISITS) -> DataFrame:
+            vec_col: str = "embedding", trees: int = TREES, visits: int | None = None) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score`` for every row
     where ``is_query`` holds: its ``k`` nearest found among all other rows,
     ties to the smaller id."""
@@ -167,6 +175,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
                      .toArrow()["vec"])
     depth = tree_depth(n, dim, trees)
     forest = fit_forest(sample, total["m"] or 0.0, depth if len(sample) else 0, trees)
+    visits = visited(forest.depth, trees) if visits is None else visits
     blocks = max(1, math.ceil(n / (1 << depth) / BLOCK_ROWS))
     shared = distinct.sparkSession.sparkContext.broadcast(forest)
     vec_type = dict(distinct.dtypes)["vec"]
@@ -184,18 +193,18 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
                     ["tree", "leaf", "block", "min_id", "uid", "vec"])
 
     def ask(batches):
+        step = max(1, 200_000 // (visits * blocks))  # probes held at a time
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            found = shared.value.search(_matrix(batch.column("vec")), visits)
-            take = [i for i, f in enumerate(found) for _ in f for _ in range(blocks)]
-            where = [(t, leaf, b) for f in found for t, leaf in f for b in range(blocks)]
-            for s in range(0, len(take), 10_000):
-                part = batch.take(pa.array(take[s: s + 10_000], pa.int32()))
-                at = np.array(where[s: s + 10_000], np.int32).reshape(-1, 3)
-                yield pa.RecordBatch.from_arrays([pa.array(at[:, 0]), pa.array(at[:, 1]), pa.array(at[:, 2]),
-                                                  part.column("uid"), part.column("vec")],
-                                                 ["tree", "leaf", "block", "query", "vec"])
+            for few in (batch.slice(s, step) for s in range(0, batch.num_rows, step)):
+                found = shared.value.search(_matrix(few.column("vec")), visits)
+                take = [i for i, f in enumerate(found) for _ in f for _ in range(blocks)]
+                where = [(t, leaf, b) for f in found for t, leaf in f for b in range(blocks)]
+                for s in range(0, len(take), 10_000):
+                    part = few.take(pa.array(take[s: s + 10_000], pa.int32()))
+                    at = np.array(where[s: s + 10_000], np.int32).reshape(-1, 3)
+                    yield pa.RecordBatch.from_arrays([pa.array(at[:, 0]), pa.array(at[:, 1]), pa.array(at[:, 2]),
+                                                      part.column("uid"), part.column("vec")],
+                                                     ["tree", "leaf", "block", "query", "vec"])
 
     where = "tree int, leaf int, block int"
     stored = distinct.select("min_id", "uid", "vec").mapInArrow(

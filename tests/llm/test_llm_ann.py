@@ -41,6 +41,17 @@ def test_recall_on_vectors_of_any_length(spark):
             assert s == exact
 
 
+def test_recall_of_a_forest_of_many_leaves(spark, monkeypatch):
+    monkeypatch.setattr(ann, "tree_depth", lambda rows, dim, trees: 7)  # as 400,000 rows have
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((6000, 64))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+    ids = np.arange(len(x))
+    df = spark.createDataFrame([(int(i), [float(a) for a in v], 0.0, "x") for i, v in zip(ids, x)], SCHEMA)
+    assert _recall(x, ids, _found(ann.nearest(df, F.col("vec_id") % 20 == 0))) >= 0.9
+    assert [ann.visited(d, 8) for d in (3, 5, 6, 8)] == [44, 44, 88, 352]
+
+
 def test_query_reaches_the_asked_recall(spark):
     from lotcast.llm.queries import op1_ann
     sf = "/root/testdata/sf0.01"
