@@ -158,12 +158,18 @@ def rewrite_affected(docs: DataFrame, placed: DataFrame, path: str, id_col: str
     """Write ``shard=N`` folders under ``path`` for the shards that gain or
     lose a document; returns their numbers. Untouched shards keep their
     files. Rows are matched by id, size and checksum, and equal rows that
-    went to different shards are matched up one to one."""
+    went to different shards are matched up one to one. ``path`` may be the
+    old layout, also when ``docs`` is read from it: folders that the new one
+    leaves without documents are deleted once the others are committed. An own
+    column ``shard`` is replaced."""
     moved = placed.filter(~F.col("old_shard").eqNullSafe(F.col("shard")))
     affected = sorted(r[0] for r in moved.select(F.explode(F.array("old_shard", "shard")).alias("s"))
                       .filter("s is not null").distinct().collect())
+    unknown = bool(moved.filter("old_shard is null").take(1))
+    used = {r[0] for r in placed.select("shard").distinct().collect()}
     if not affected:
         return []
+    own = [c for c in docs.columns if c.lower() != "shard"]
     # Copies of a row get numbers in both tables. The key holds the id and
     # the checksum, so a group is the copies of one row under one id.
     key = ["_id", "_size", "_crc"]
@@ -174,10 +180,23 @@ def rewrite_affected(docs: DataFrame, placed: DataFrame, path: str, id_col: str
     rows = (docs.withColumns({"_id": F.col(id_col), "_size": utf8_bytes(F.col(text_col)) + ROW_BYTES,
                               "_crc": F.crc32(F.col(text_col).cast("binary"))})
             .withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(
-                *[F.col(f"`{c}`") for c in docs.columns])))).alias("d"))
+                *[F.col(f"`{c}`") for c in own])))).alias("d"))
     on = [F.col(f"d.{c}").eqNullSafe(F.col(f"p.{c}")) for c in key + ["_nth"]]
     out = rows.join(target.filter(F.col("_shard").isin(affected)), on).select(
-        *[F.col(f"d.`{c}`") for c in docs.columns], F.col("p._shard").alias("shard"))
+        *[F.col(f"d.`{c}`") for c in own], F.col("p._shard").alias("shard"))
     (out.write.partitionBy("shard").mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").parquet(path))
+    _delete_shards(docs, path, set(affected) - used, unknown)
     return affected
+
+
+def _delete_shards(docs: DataFrame, path: str, shards: set[int], unknown: bool) -> None:
+    """Delete the ``shard=N`` folders of ``shards``; with ``unknown`` also
+    those of no shard number (rows without an old shard always move)."""
+    spark = docs.sparkSession
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.listStatus(root):
+        name, _, value = status.getPath().getName().partition("=")
+        if status.isDirectory() and name == "shard" and (int(value) in shards if value.isdecimal() else unknown):
+            files.delete(status.getPath(), True)

@@ -61,6 +61,22 @@ def test_files_of_affected_shards_are_rewritten(spark, tmp_path):
     assert unknown.filter("old_shard is null").count() == len(rows)
 
 
+def test_emptied_shards_leave_the_old_layout(spark, tmp_path):
+    path = str(tmp_path / "layout")
+    rows = [(i, "t" * (i % 7), None if i % 10 == 9 else i % 4) for i in range(80)]
+    spark.createDataFrame(rows, "doc_id long, text string, shard int").write.partitionBy("shard").parquet(path)
+    for n in (2, 1):
+        docs = spark.read.parquet(path)
+        placed = reshard.reshard(docs, F.col("shard"), n).cache()
+        want = sorted((r["doc_id"], r["shard"]) for r in placed.collect())
+        affected = reshard.rewrite_affected(docs, placed, path)
+        assert affected == ([0, 1, 2, 3] if n == 2 else [0, 1])
+        back = spark.read.parquet(path).collect()
+        assert sorted((r["doc_id"], r["shard"]) for r in back) == want and len(back) == len(rows)
+        assert all(r["text"] == "t" * (r["doc_id"] % 7) for r in back)
+        assert sorted(p.name for p in (tmp_path / "layout").glob("shard=*")) == [f"shard={k}" for k in range(n)]
+
+
 def test_capacities_fill_up():
     assert reshard.equal_capacities(10, 3) == [4, 3, 3] or sum(reshard.equal_capacities(10, 3)) == 10
     assert sum(reshard.equal_capacities(7, 3, [9, 0, 0])) == 7
