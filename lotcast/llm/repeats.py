@@ -18,6 +18,10 @@ hash before any text moves and enter a bucket once. Buckets with more than
 ``BUCKET_CONTEXTS`` distinct contexts are not brought together: there every
 window of ``min_len`` units is counted by digest, which finds exactly the
 intervals of depth ``min_len``.
+
+``repeat_groups`` lists whole maximal repeats: the starts of repeated windows
+whose occurrences differ on the left are the roots, and their suffixes are
+compared by ever longer pieces to where they differ.
 """
 
 from __future__ import annotations
@@ -36,6 +40,9 @@ from lotcast.llm.common import materialize
 #: Distinct contexts that one bucket may bring together (a context is under
 #: two windows long: some 50 MB of texts at 400 bytes).
 BUCKET_CONTEXTS = 65536
+#: Bytes and units a piece that ``repeat_groups`` compares at a time.
+BUCKET_BYTES = 64 << 20
+MAX_STEP = 1 << 16
 #: Windows handled at a time; longer sequences are cut with overlap.
 CHUNK = 1 << 20
 _INDEX_BITS = 24
@@ -147,19 +154,14 @@ class _RangeMin:
 
 
 def maximal_repeats(contexts: list[bytes], offsets: list[int], min_len: int, unit: int = 1,
-                    spread: Callable[[np.ndarray], bool] = lambda members: True,
-                    counts: list[int] | None = None) -> Iterator[tuple[int, int, np.ndarray]]:
+                    spread: Callable[[np.ndarray], bool] = lambda members: True) -> Iterator[tuple[int, int, np.ndarray]]:
     """``(left, right, members)`` of every maximal repeat around the anchor
     of a bucket: ``left`` units before it and ``right`` from it on are equal
     in all members (rows of ``contexts``), and no unit more on either side
     as far as the contexts reach.
-    ``spread`` may reject a member set. A context with ``counts`` of 2 or
-    more is a repeat by itself."""
+    ``spread`` may reject a member set."""
     rights = [c[o * unit:] for c, o in zip(contexts, offsets)]
     lefts = [np.frombuffer(c[: o * unit], f"V{unit}")[::-1].tobytes() for c, o in zip(contexts, offsets)]
-    for i, c in enumerate(contexts):
-        if counts and counts[i] > 1 and spread(np.array([i])):
-            yield offsets[i], len(c) // unit - offsets[i], np.array([i])
     if len(contexts) == 2:
         r = int(_prefix_lengths(rights, unit)[1])
         left = int(_prefix_lengths(lefts, unit)[1])
@@ -239,22 +241,140 @@ def stretches(spans: list[dict] | None) -> list[tuple[int, int]]:
 def repeat_groups(rows: DataFrame, min_len: int, unit: int = 1) -> DataFrame:
     """Maximal repeats of ``min_len`` units or more with all occurrences:
     ``group_id`` (digest of the repeat), ``length``, ``rkey``, ``start``.
-    Repeats that span several anchors show once for each distinct extent.
-    Buckets above ``BUCKET_CONTEXTS`` raise an error here; their repeated
-    spans are in ``find_repeats``."""
-    anchors = materialize(_anchors(rows, min_len, unit), "repeat-anchors")
-    contexts = anchors.groupBy("h", "g").agg(F.sum(F.size("starts")).alias("m"), F.max("rkey").alias("last_row"),
-                                             F.min(F.struct("rkey", "a", "b", "p")).alias("one"))
-    shared = contexts.groupBy("h").agg(F.sum("m").alias("total"), F.count(F.lit(1)).alias("n")).filter("total > 1")
-    contexts = contexts.join(shared, "h").select("h", "g", "n", "m", "one.rkey", "one.a", "one.b", "one.p", "last_row")
-    too_many = F.raise_error(F.lit("a bucket has more contexts than one task may hold"))
-    wanted = contexts.withColumn("n", F.when(F.col("n") > BUCKET_CONTEXTS, too_many).otherwise(F.col("n"))) \
-        .groupBy("rkey").agg(F.collect_list(F.struct("h", "g", "n", "m", "a", "b", "p", "last_row")).alias("cuts"))
-    texts = _cut(rows.join(wanted, "rkey").select("rkey", "units", "cuts"), min_len, unit)
-    found = _by_bucket(texts, lambda table: _groups_of(table, min_len, unit),
-                       "h long, g binary, lo int, hi int, group_id binary")
-    return anchors.select("h", "g", "rkey", F.explode("starts").alias("a")).join(found, ["h", "g"]).select(
-        "group_id", (F.col("hi") - F.col("lo")).alias("length"), "rkey", (F.col("a") + F.col("lo")).alias("start")).distinct()
+
+    A maximal repeat starts with a window of ``min_len`` units whose
+    occurrences don't all follow the same unit, and all its occurrences start
+    with that window. From there, level by level, a group's members are read
+    ``step`` units on: their distinct pieces form a small suffix array whose
+    intervals end repeats, and members with equal whole pieces go on as a group
+    with twice the step. Groups of more than ``BUCKET_CONTEXTS`` distinct pieces
+    (or ``BUCKET_BYTES``) halve their step instead, down to one unit, where
+    counting is enough. Occurrences are listed in full, so a text of one
+    repeated unit gives rows in the square of its length.
+    """
+    texts = materialize(rows.groupBy("rkey").agg(F.first("scope").alias("scope"), F.first("units").alias("units"),
+                                                 F.count(F.lit(1)).alias("copies")), "repeat-sequences")
+    windows = materialize(_windows(texts.join(find_repeats(rows, min_len, unit), "rkey"), min_len, unit), "repeat-windows")
+    prevs = [F.min("prev").alias("lo"), F.max("prev").alias("hi"), F.max(F.col("prev").isNull()).alias("first")]
+    differ = F.col("first") | (F.col("lo") != F.col("hi"))
+    roots = windows.groupBy("gid").agg(F.sum("copies").alias("m"), *prevs).filter((F.col("m") > 1) & differ).select("gid")
+    state = materialize(windows.join(roots, "gid").select("gid", "rkey", "s", "copies", "prev", F.lit(min_len).alias("depth"),
+                                                          F.lit(min_len).alias("step")), "repeat-state")
+    found = None
+    while state.take(1):
+        level = materialize(_pieces(state, texts, unit), "repeat-level")
+        pieces = materialize(level.groupBy("gid", "x").agg(
+            F.sum("copies").alias("m"), *prevs, F.first("piece").alias("piece"), F.first("step").alias("step")), "repeat-pieces")
+        size = F.octet_length("piece")
+        groups = materialize(pieces.groupBy("gid").agg(
+            ((F.count(F.lit(1)) > BUCKET_CONTEXTS) | (F.count(F.lit(1)) > 1) & (F.sum(size) > BUCKET_BYTES)).alias("many")),
+            "repeat-sizes")
+        pieces = pieces.join(groups, "gid").withColumn("whole", size == F.col("step") * unit)
+        counted = F.col("many") & (F.col("step") == 1)  # pieces of one unit share nothing: the group ends here
+        few = pieces.filter("not many").select(
+            F.col("gid").alias("h"), F.col("x").alias("g"), "m", (F.col("first").cast("int") + 2 * F.col("whole").cast("int"))
+            .alias("off"), F.col("piece").alias("ctx"), F.col("lo").alias("row"), F.col("hi").alias("last_row"))
+        ends = _by_bucket(few, lambda table: _ends(table, unit), "gid binary, x binary, more int, node binary").unionByName(
+            pieces.filter(counted).select("gid", "x", F.lit(0).alias("more"), F.unhex(F.md5("gid")).alias("node")))
+        part = materialize(level.join(ends, ["gid", "x"]).select(
+            "node", "rkey", F.col("s").alias("start"), (F.col("depth") + F.col("more")).alias("length")), "repeat-found")
+        found = part if found is None else found.unionByName(part)
+        on = pieces.filter((~F.col("many") | counted) & F.col("whole") & (F.col("m") > 1) & differ).select("gid", "x")
+        longer = F.least(2 * F.col("step"), F.lit(MAX_STEP))
+        onward = level.join(on, ["gid", "x"]).select(
+            F.unhex(F.md5(F.concat("gid", "x"))).alias("gid"), "rkey", "s", "copies", "prev",
+            (F.col("depth") + F.col("step")).alias("depth"), longer.alias("step"))
+        again = state.filter("step > 1").join(groups.filter("many").select("gid"), "gid").select(
+            "gid", "rkey", "s", "copies", "prev", "depth", (F.col("step") / 2).cast("int").alias("step"))
+        state = materialize(onward.unionByName(again), "repeat-state")
+    if found is None:
+        found = state.select(F.col("gid").alias("node"), "rkey", F.col("s").alias("start"), F.col("depth").alias("length"))
+    ones = found.groupBy("node").agg(F.min(F.struct("rkey", "start", "length")).alias("one")).select("node", "one.*")
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, scope, units, start, length = (batch.column(c).to_pylist() for c in ("node", "scope", "units", "start", "length"))
+            ids = [xxhash.xxh3_128_digest(u[s * unit: (s + n) * unit], seed=c & 0xFFFFFFFFFFFFFFFF)
+                   for c, u, s, n in zip(scope, units, start, length)]
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.binary()), pa.array(ids, pa.binary())], ["node", "group_id"])
+
+    names = ones.join(texts, "rkey").select("node", "scope", "units", "start", "length").mapInArrow(
+        name, "node binary, group_id binary")
+    return found.join(names, "node").select("group_id", "length", "rkey", "start").distinct()
+
+
+def _windows(texts: DataFrame, min_len: int, unit: int) -> DataFrame:
+    """The windows inside the ``spans`` of each sequence, with the unit before
+    each (NULL at the start) and a digest of scope and window."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rkey, scope, raw, copies, spans in zip(*[batch.column(c) for c in ("rkey", "scope", "units", "copies", "spans")]):
+                raw, seed = raw.as_py(), scope.as_py() & 0xFFFFFFFFFFFFFFFF
+                starts = sorted({i for a, b in stretches(spans.as_py()) for i in range(a, b - min_len + 1)})
+                for k in range(0, len(starts), 10_000):
+                    at = starts[k: k + 10_000]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([xxhash.xxh3_128_digest(raw[i * unit: (i + min_len) * unit], seed=seed) for i in at], pa.binary()),
+                        pa.array([rkey.as_py()] * len(at), pa.binary()), pa.array(at, pa.int32()),
+                        pa.array([copies.as_py()] * len(at), pa.int64()),
+                        pa.array([raw[(i - 1) * unit: i * unit] if i else None for i in at], pa.binary()),
+                    ], ["gid", "rkey", "s", "copies", "prev"])
+
+    return texts.select("rkey", "scope", "units", "copies", "spans").mapInArrow(
+        run, "gid binary, rkey binary, s int, copies long, prev binary")
+
+
+def _pieces(state: DataFrame, texts: DataFrame, unit: int) -> DataFrame:
+    """The members with the ``step`` units after their ``depth`` (fewer at the
+    end of a sequence) and a digest of them."""
+    names = [f.split()[0] for f in _MEMBER.split(", ")]
+    types = pa.schema([(n, t) for n, t in zip(names, [pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int32()])])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rkey, raw, members in zip(batch.column("rkey"), batch.column("units"), batch.column("members")):
+                rkey, raw, members, held, size = rkey.as_py(), raw.as_py(), members.as_py(), [], 0
+                for k, x in enumerate(members):
+                    at = (x["s"] + x["depth"]) * unit
+                    piece = raw[at: at + x["step"] * unit]
+                    held.append((x, piece))
+                    size += len(piece) + 100
+                    if size > 1 << 22 or k == len(members) - 1:
+                        part = pa.RecordBatch.from_pylist([m for m, _ in held], types)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([rkey] * len(held), pa.binary()), *part.columns,
+                             pa.array([xxhash.xxh3_128_digest(p) for _, p in held], pa.binary()),
+                             pa.array([p for _, p in held], pa.binary())], ["rkey", *names, "x", "piece"])
+                        held, size = [], 0
+
+    grouped = state.groupBy("rkey").agg(F.collect_list(F.struct(*names)).alias("members"))
+    return texts.join(grouped, "rkey").select("rkey", "units", "members").mapInArrow(
+        run, f"rkey binary, {_MEMBER}, x binary, piece binary")
+
+
+_MEMBER = "gid binary, s int, copies long, prev binary, depth int, step int"
+
+
+def _ends(table: dict, unit: int) -> Iterator[tuple]:
+    """Where repeats of one group end inside its pieces: ``gid``, ``x``, units
+    of the piece that belong to the repeat, and a name of the repeat."""
+    h, ctx = table["h"][0], table["ctx"]
+    order = sorted(range(len(ctx)), key=ctx.__getitem__)
+    lcp = _prefix_lengths([ctx[i] for i in order], unit)
+
+    def node(members: list[int], size: int) -> Iterator[tuple]:
+        if any(table["off"][i] & 1 for i in members) \
+                or min(table["row"][i] for i in members) != max(table["last_row"][i] for i in members):
+            name = xxhash.xxh3_128_digest(h + ctx[members[0]][: size * unit])
+            for i in members:
+                yield h, table["g"][i], size, name
+
+    for depth, first, last in intervals(lcp, 0):
+        yield from node(order[first: last + 1], depth)
+    for k, i in enumerate(order):  # equal pieces that end their sequences
+        size = len(ctx[i]) // unit
+        if table["m"][i] > 1 and not table["off"][i] & 2 and (k + 1 == len(order) or lcp[k + 1] < size):
+            yield from node([i], size)
 
 
 def _anchors(rows: DataFrame, min_len: int, unit: int) -> DataFrame:
@@ -378,15 +498,6 @@ def _scan(texts: DataFrame, min_len: int, unit: int, across_rows: bool) -> DataF
     return _by_bucket(texts, work, "h long, g binary, lo int, hi int")
 
 
-def _groups_of(table: dict, min_len: int, unit: int) -> Iterator[tuple]:
-    for a, b, members in maximal_repeats(table["ctx"], table["off"], min_len, unit, counts=table["m"]):
-        one = int(members[0])
-        at = table["off"][one]
-        group = xxhash.xxh3_128_digest(table["ctx"][one][(at - a) * unit: (at + b) * unit])
-        for i in members.tolist():
-            yield table["h"][i], table["g"][i], table["off"][i] - a, table["off"][i] + b, group
-
-
 def _count_windows(texts: DataFrame, min_len: int, unit: int, across_rows: bool) -> DataFrame:
     """Buckets of very many contexts: count every window by digest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

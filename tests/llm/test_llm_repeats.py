@@ -68,6 +68,38 @@ def test_maximal_repeats_have_all_occurrences(spark):
     assert [sum(c) for c in covered] == [n for _, n, _, _ in removed_bytes(texts, width)]
 
 
+def _maximal(raws, width):
+    """string -> occurrences of every maximal repeat, from all substrings."""
+    at = defaultdict(set)
+    for d, r in enumerate(raws):
+        for i in range(len(r)):
+            for j in range(i + width, len(r) + 1):
+                at[r[i:j]].add((d, i))
+    def sides(w, places):
+        return ({raws[d][i - 1:i] if i else (d, i) for d, i in places},
+                {raws[d][i + len(w):i + len(w) + 1] or (d, i) for d, i in places})
+    return {w: p for w, p in at.items() if len(p) > 1 and all(
+        len(s) > 1 or isinstance(next(iter(s)), tuple) for s in sides(w, p))}
+
+
+@pytest.mark.parametrize("contexts", [65536, 2])
+def test_groups_are_whole_maximal_repeats(spark, monkeypatch, contexts):
+    monkeypatch.setattr(repeats, "BUCKET_CONTEXTS", contexts)  # small: hot groups
+    rng = random.Random(3)
+    size = 90 if contexts > 2 else 16  # far longer than one anchor's context
+    x, y, z = ["".join(rng.choice("abcdefgh") for _ in range(size)) for _ in range(3)]
+    texts = [x + y + z, "1" + x + y + "2", "3" + y + z + "4", "5" + z + x, "6" + x + y + z, x, "bb" * 7, "", x[:8] + "q", x[:8] + "r"]
+    raws = [t.encode() for t in texts]
+    rows = spark.createDataFrame([(bytes([i]), 0, t) for i, t in enumerate(raws)], "rkey binary, scope long, units binary")
+    got = defaultdict(set)
+    for r in repeats.repeat_groups(rows, 6).collect():
+        d, s = r["rkey"][0], r["start"]
+        got[r["group_id"], raws[d][s:s + r["length"]]].add((d, s))
+    want = _maximal(raws, 6)
+    assert {w: p for (_, w), p in got.items()} == want and len(got) == len(want)
+    assert max(map(len, want)) == 3 * size
+
+
 def test_interval_scan():
     assert sorted(repeats.intervals(np.array([0, 2, 2, 1, 0, 3]))) == [(1, 0, 3), (2, 0, 2), (3, 4, 5)]
 
