@@ -197,7 +197,9 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
 
 def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """The probably good documents, with their own columns only. One pass
-    counts votes, a second judges row by row: no text is shuffled."""
+    counts votes, a second judges row by row: no text is shuffled. The base
+    test is left out: the posterior stands in place of "all rules must pass",
+    so short or repetitive documents stay where the other rules outvote it."""
     model = fit_votes(docs.select(text_stats(F.col(text_col)).alias("stats")))
     return (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                         text_stats(F.col(text_col)).alias("stats"))
