@@ -4,7 +4,8 @@ A text is brought to a canonical form: ASCII letters lowered, copyright lines
 dropped, punctuation and blanks made single spaces, equivalent spellings made
 one. The SHA-256 digest of the whole canonical text, and of each whole
 canonical line, is joined with the digests of the known texts (a few dozen
-constants, so that side is always small).
+constants, or a table of full licence texts; lines of one of their lengths
+are looked at).
 
 Edge cases: a NULL text has a NULL digest and no licence; an empty canonical
 text matches nothing; repeated rows each get their result; lines are the
@@ -59,15 +60,16 @@ def whole(canonical_text: Column) -> Column:
     return F.trim(F.regexp_replace(canonical_text, "[ \n]+", " "))
 
 
-def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """``digest``, ``license``, ``length`` of the known texts."""
-    texts = spark.createDataFrame(known, "license string, text string")
+def known_digests(spark: SparkSession, known: list[tuple[str, str]] | DataFrame = KNOWN) -> DataFrame:
+    """``digest``, ``license``, ``length`` of the known texts, a list or a
+    table with ``license`` and ``text``."""
+    texts = known if isinstance(known, DataFrame) else spark.createDataFrame(known, "license string, text string")
     form = whole(canonical(F.col("text")))
     return texts.select(F.sha2(form, 256).alias("digest"), "license", F.length(form).alias("length")).distinct()
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         known: list[tuple[str, str]] = KNOWN) -> DataFrame:
+         known: list[tuple[str, str]] | DataFrame = KNOWN) -> DataFrame:
     """One row per document: ``doc_id``, ``digest`` of the canonical text,
     ``license`` (if the text as a whole is known), ``n_notices`` (its lines
     that are a known text in whole) and ``licenses`` (sorted names of all of

@@ -115,3 +115,11 @@ def test_queries_equal_sql(spark, name):
     got = QUERIES[name](spark, "/root/testdata/sf0.001")
     assert sorted(got.columns) == sorted(rel.columns)
     assert _spark(got, rel.columns) == sorted(repr(tuple(r)) for r in rel.fetchall())
+
+
+def test_known_licences_come_from_a_table(spark):
+    full = "Zlib License\n\nThis software is provided 'as-is', without any warranty.\n\nPermission is granted to anyone."
+    known = spark.createDataFrame([("Zlib", full)], "license string, text string")
+    docs = spark.createDataFrame([(1, full.upper()), (2, "other")], "doc_id long, text string")
+    got = {r["doc_id"]: r["license"] for r in licenses.scan(docs, known=known).collect()}
+    assert got == {1: "Zlib", 2: None}
