@@ -10,9 +10,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotcast.llm import ann, html, licenses, minhash, mixing, pieces, quality, quotes, repeats, reshard
+from lotcast.llm import (ann, contamination, html, lexical, licenses, minhash, mixing, negatives, pieces, quality, quotes,
+                         repeats, reshard)
 from lotcast.llm.common import table
-from lotcast.llm.sql import MIXING_SQL, NEAR_DUPLICATES_SQL, QUOTES_SQL, license_sql
+from lotcast.llm.sql import (CONTAMINATION_SQL, MIXING_SQL, NEAR_DUPLICATES_SQL, NEGATIVES_SQL, QUOTES_SQL, SEARCH_SQL,
+                             license_sql)
 
 #: The old layout that op4 reshards: documents sharded by source.
 OLD_SHARDS = 16
@@ -77,6 +79,21 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_wumanber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
     "op2_licenses": op2_licenses,
@@ -88,6 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op9_pieces": op9_pieces,
     "op10_repeats": op10_repeats,
+    "op11_wumanber": op11_wumanber,
+    "op12_search": op12_search,
+    "op13_negatives": op13_negatives,
 }
 
 ORACLE: dict[str, str] = {
@@ -95,4 +115,7 @@ ORACLE: dict[str, str] = {
     "op5_minhash": NEAR_DUPLICATES_SQL,
     "op6_mixing": MIXING_SQL,
     "op7_quotes": QUOTES_SQL,
+    "op11_wumanber": CONTAMINATION_SQL,
+    "op12_search": SEARCH_SQL,
+    "op13_negatives": NEGATIVES_SQL,
 }

@@ -184,3 +184,90 @@ SELECT conv_id, turn, role, clean AS text,
        CAST(coalesce(n_linked, 0) AS BIGINT) AS n_linked
 FROM placed
 """
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"coalesce(regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+
+CONTAMINATION_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS ws FROM documents
+), i AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, ws, least(len(ws), 10) AS width
+  FROM (SELECT item_id, {_TERMS} AS ws FROM benchmark) WHERE len(ws) > 0
+), strings AS (
+  SELECT DISTINCT item_id, width, array_to_string(list_slice(ws, pos, pos + width - 1), ' ') AS gram
+  FROM (SELECT *, unnest(range(1, len(ws) - width + 2)) AS pos FROM i)
+), places AS (
+  SELECT rid, width, pos, array_to_string(list_slice(ws, pos, pos + width - 1), ' ') AS gram
+  FROM (SELECT rid, ws, width, unnest(range(1, len(ws) - width + 2)) AS pos
+        FROM d, (SELECT DISTINCT width FROM strings) WHERE len(ws) >= width)
+), found AS (
+  SELECT p.rid, p.pos, p.width, s.item_id FROM places p JOIN strings s ON p.width = s.width AND p.gram = s.gram
+), hit AS (
+  SELECT rid, count(DISTINCT pos) AS n_hit
+  FROM (SELECT rid, unnest(range(pos, pos + width)) AS pos FROM found) GROUP BY rid
+), named AS (
+  SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT rid, item_id FROM found WHERE item_id IS NOT NULL) GROUP BY rid
+)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(n.items, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit h USING (rid) LEFT JOIN named n USING (rid)
+"""
+
+SEARCH_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS ws FROM documents
+), sized AS (
+  SELECT rid, doc_id, CAST(len(ws) AS BIGINT) AS n FROM d WHERE len(ws) > 0
+), totals AS (
+  SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sized
+), counts AS (
+  SELECT rid, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT rid, unnest(ws) AS term FROM d) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM counts, totals GROUP BY term, n_docs
+), i AS (
+  SELECT item_id, nr, term, count(*) AS times
+  FROM (SELECT item_id, nr, unnest(ws) AS term
+        FROM (SELECT item_id, text, row_number() OVER () AS nr, {_TERMS} AS ws
+              FROM (SELECT DISTINCT item_id, text FROM benchmark))) GROUP BY ALL
+), scored AS (
+  SELECT i.item_id, i.nr, s.rid, s.doc_id,
+         CAST(sum(i.times * w.w * ((1000000000 * c.tf) // (1000 * c.tf + 12 * (100 - 25 + (25 * s.n * t.n_docs) // t.n_terms))))
+              AS BIGINT) AS score
+  FROM i JOIN counts c USING (term) JOIN weights w USING (term) JOIN sized s ON s.rid = c.rid, totals t
+  GROUP BY i.item_id, i.nr, s.rid, s.doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY nr ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+  FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+NEGATIVES_SQL = """
+WITH r AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), a AS (
+  SELECT * FROM r WHERE vec_id % 100 = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, r.vec_id, r.label,
+         CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM a JOIN r ON a.vec_id <> r.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = anchor_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), negatives AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.anchor_label
+   AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negatives WHERE rank <= 10
+"""
