@@ -23,7 +23,7 @@ if __package__ in (None, ""):
 from pyspark.sql import SparkSession  # noqa: E402
 
 from lotcast import schemas as S  # noqa: E402
-from lotcast.ml import load_all  # noqa: E402
+from lotcast.ml import Registry, load_all  # noqa: E402
 from lotcast.plans.listing_jobs import (  # noqa: E402
     SCORE_TABLES,
     Sink,
@@ -51,6 +51,17 @@ def _model_paths(root: str) -> dict[str, str]:
     return {name: f"{root.rstrip('/')}/{name}" for name in SCORE_TABLES}
 
 
+def _scored_with(spark: SparkSession, args) -> dict[str, str]:
+    if args.registry:
+        release = Registry(spark, args.registry).current()
+        if release is None:
+            raise SystemExit(f"no release of models under {args.registry}")
+        return release.paths
+    if not args.models:
+        raise SystemExit("--models or --registry is needed")
+    return _model_paths(args.models)
+
+
 def _add_sink_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--out", help="output folder for file sinks (JDBC outputs use fixed table names)")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv", "json", "orc"])
@@ -71,6 +82,7 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--test", required=True)
     b.add_argument("--input-format", default="csv")
     b.add_argument("--models", help="model folder (default: under the checkpoint dir)")
+    b.add_argument("--registry", help="publish the models as the next release of this registry instead")
     b.add_argument("--reject-nan", action="store_true")
     b.add_argument("--malformed-table", help="also write input lines that do not parse to this output")
     _add_sink_args(b)
@@ -87,13 +99,15 @@ def parser() -> argparse.ArgumentParser:
 
     s = sub.add_parser("score", help="score everything landed, once")
     s.add_argument("--landed", required=True)
-    s.add_argument("--models", required=True)
+    s.add_argument("--models")
+    s.add_argument("--registry", help="score with the newest release of this registry")
     s.add_argument("--reference-shape", action="store_true")
     _add_sink_args(s)
 
     t = sub.add_parser("score-stream", help="score new landed files as they arrive")
     t.add_argument("--landed", required=True)
-    t.add_argument("--models", required=True)
+    t.add_argument("--models")
+    t.add_argument("--registry", help="take the newest release of this registry for every micro-batch")
     t.add_argument("--trigger", default=S.SCORE_INTERVAL, help='interval, or "availableNow"')
     t.add_argument("--checkpoint", help="default: <spark.checkpoint.dir>/lotcast/score")
     t.add_argument("--max-files", type=int, help="most landed files per micro-batch")
@@ -108,7 +122,8 @@ def main(argv: list[str] | None = None) -> dict:
     if args.command == "batch":
         result = run_batch(spark, args.train, args.test, _sink(args), fmt=args.input_format,
                            model_root=args.models, reject_nan=args.reject_nan,
-                           malformed_table=args.malformed_table)
+                           malformed_table=args.malformed_table,
+                           registry=Registry(spark, args.registry) if args.registry else None)
     elif args.command == "ingest":
         if args.kafka:
             messages = open_kafka(spark, kafka_options(args.kafka, args.topic,
@@ -120,15 +135,16 @@ def main(argv: list[str] | None = None) -> dict:
                         trigger=args.trigger, keep=keep).awaitTermination()
         result = {"landed": args.landed}
     elif args.command == "score":
-        result = score_landed(spark, args.landed, _model_paths(args.models), _sink(args),
+        result = score_landed(spark, args.landed, _scored_with(spark, args), _sink(args),
                               reference_shape=args.reference_shape)
     else:
         sink = _sink(args)
         out = "listing_scores" if sink.fmt == "jdbc" else args.out
-        q = score_landed_stream(spark, args.landed, load_all(_model_paths(args.models)), out,
+        registry = Registry(spark, args.registry) if args.registry else None
+        q = score_landed_stream(spark, args.landed, None if registry else load_all(_scored_with(spark, args)), out,
                                 args.checkpoint or f"{ckpt}/lotcast/score", trigger=args.trigger,
                                 jdbc=sink if sink.fmt == "jdbc" else None,
-                                max_files_per_trigger=args.max_files)
+                                max_files_per_trigger=args.max_files, registry=registry)
         q.awaitTermination()
         result = {"scores": out}
     print(json.dumps(result, default=str))

@@ -12,9 +12,10 @@ from lotcast.ml.models import (
     usable,
 )
 from lotcast.ml.score import score
+from lotcast.ml.registry import Registry, Release
 from lotcast.ml.leaderboard import evaluate, evaluated_rows, train_and_evaluate
 
 __all__ = [
     "CLASSIFICATION", "REGRESSION", "assembler", "fit_all", "load_all", "model_prediction_col", "prediction_col",
-    "save_all", "usable", "score", "evaluate", "evaluated_rows", "train_and_evaluate",
+    "Registry", "Release", "save_all", "usable", "score", "evaluate", "evaluated_rows", "train_and_evaluate",
 ]

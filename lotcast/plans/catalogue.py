@@ -25,6 +25,7 @@ from lotcast.functions.casts import cast_lenient, lenient_double, lenient_integr
 from lotcast.functions.codec import decode_messages, encode_messages
 from lotcast.ml.leaderboard import evaluate, evaluated_rows
 from lotcast.ml.models import CLASSIFICATION, REGRESSION, assembler, fit_all, load_all, prediction_col, save_all, usable
+from lotcast.ml.registry import Registry
 from lotcast.ml.score import score
 from lotcast.operators.clean import clean, split_rejects, tag_rejects
 from lotcast.operators.split import hash_split
@@ -36,7 +37,7 @@ from lotcast.session import scratch_path
 from lotcast.sinks.writers import write_table
 from lotcast.sources.readers import read_listings, read_table
 from lotcast.streaming.ingest import open_stream, stream_to_files
-from lotcast.streaming.scoring import score_stream
+from lotcast.streaming.scoring import read_released_scores, score_stream, score_stream_released
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -491,6 +492,45 @@ def stream_score(spark: SparkSession, d: str) -> DataFrame:
         "event_id", F.round(prediction_col("value_linear"), 6).alias("prediction"))
 
 
+def stream_releases(spark: SparkSession, d: str) -> DataFrame:
+    """One running query over two arrivals of files, with a new release of
+    the model published in between: the model of the purchases scores the
+    first, the model of all other events the second."""
+    events = _with_k(_events(spark, d)).select("event_id", "event_type", "value", "k")
+    source, out = scratch_path(spark, "released_events"), scratch_path(spark, "released_scores")
+    registry = Registry(spark, scratch_path(spark, "registry"))
+    name = "value_linear"
+    query = None
+    for nr, rows in enumerate((_sold(), ~_sold())):
+        registry.publish(fit_all(events.where(rows), ["k"], "value", REGRESSION, prefix="value", only=[name]))
+        events.where(F.col("event_id") % 2 == nr).select("event_id", "k").write.mode("append").parquet(source)
+        if query is None:
+            stream = open_stream(spark, source, events.select("event_id", "k").schema)
+            query = score_stream_released(stream, registry, out, scratch_path(spark, "released_ckpt"), trigger="1 second")
+        query.processAllAvailable()
+    query.stop()
+    scored = read_released_scores(spark, out, events.select("event_id", "k").schema, [name])
+    return scored.select("event_id", "model_version", F.round(prediction_col(name), 6).alias("prediction"))
+
+
+def stream_six_models(spark: SparkSession, d: str) -> DataFrame:
+    """All six models over a stream of lineitem, from one release, on
+    features where each fit equals a plain aggregate."""
+    lines = _coded(spark, d)
+    registry = Registry(spark, scratch_path(spark, "registry"))
+    price = fit_all(lines, ["l_linenumber"], "square", REGRESSION, prefix="price")
+    sold = fit_all(lines, ["returned"], "wanted", CLASSIFICATION, prefix="sold")
+    registry.publish({**price, **sold})
+    columns = ["l_orderkey", "l_linenumber", "returned"]
+    source, out = scratch_path(spark, "six_source"), scratch_path(spark, "six_scores")
+    lines.select(*columns).write.parquet(source)
+    stream = open_stream(spark, source, lines.select(*columns).schema)
+    score_stream_released(stream, registry, out, scratch_path(spark, "six_ckpt")).awaitTermination()
+    scored = read_released_scores(spark, out, lines.select(*columns).schema, [*price, *sold])
+    return scored.select(*columns, "model_version",
+                         *[F.round(prediction_col(m), 4).alias(m) for m in (*price, *sold)])
+
+
 QUERIES: dict[str, Query] = {
     "bucket_activity": bucket_activity,
     "bucket_price": bucket_price,
@@ -527,4 +567,6 @@ QUERIES: dict[str, Query] = {
     "stream_listings": stream_listings,
     "stream_ingest": stream_ingest,
     "stream_score": stream_score,
+    "stream_releases": stream_releases,
+    "stream_six_models": stream_six_models,
 }

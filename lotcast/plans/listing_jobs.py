@@ -30,6 +30,7 @@ from lotcast.functions.casts import cast_lenient
 from lotcast.functions.codec import CORRUPT_COL, decode_messages
 from lotcast.ml.leaderboard import evaluated_rows, train_and_evaluate
 from lotcast.ml.models import CLASSIFICATION, REGRESSION, load_all, prediction_col, save_all
+from lotcast.ml.registry import Registry
 from lotcast.ml.score import score
 from lotcast.operators.clean import clean, split_rejects
 from lotcast.operators.reports import sold_reports, split_report
@@ -37,7 +38,12 @@ from lotcast.session import drop_scratch, scratch_path
 from lotcast.sinks.writers import jdbc_batch_writer, write_table
 from lotcast.sources.readers import read_listings
 from lotcast.streaming.ingest import LANDED_CSV, open_stream, stream_to_files
-from lotcast.streaming.scoring import checkpoint_stream_id, score_stream, score_stream_each_batch
+from lotcast.streaming.scoring import (
+    checkpoint_stream_id,
+    score_stream,
+    score_stream_each_batch,
+    score_stream_released,
+)
 
 TABLE_PRICE_BOARD = S.TABLE_PRICE_BOARD
 TABLE_SOLD_BOARD = S.TABLE_SOLD_BOARD
@@ -116,7 +122,7 @@ def run_batch(spark: SparkSession, training_path: str, test_path: str, sink: Sin
               fmt: str = "csv", schema: StructType = S.LISTING_BATCH, header: bool = True,
               model_root: str | None = None, reject_nan: bool = False,
               malformed_table: str | None = None, fit_partitions: int | None = None,
-              keep_scratch: bool = False) -> dict:
+              keep_scratch: bool = False, registry: Registry | None = None) -> dict:
     """Clean -> train -> evaluate -> report, as the reference's batch job.
 
     The cleaned tables are written once to the shared scratch folder and
@@ -132,7 +138,9 @@ def run_batch(spark: SparkSession, training_path: str, test_path: str, sink: Sin
     feature or label) are written with the reason to ``<family>_rejects_train``
     and ``_test``, and ``<family>_evaluated_rows`` says how many test rows each
     leaderboard line rests on. The run's scratch folder goes when the run is
-    done, unless ``keep_scratch``.
+    done, unless ``keep_scratch``. With a ``registry`` the six models become
+    its next release (``model_root`` is not used), so scorers that are loading
+    models meanwhile see the earlier release or the new one whole.
     """
     run_root = scratch_path(spark, "listing-run")
     cleaned, tables = {}, {}
@@ -158,8 +166,10 @@ def run_batch(spark: SparkSession, training_path: str, test_path: str, sink: Sin
         for name, rows in cleaned.items():
             _, rejected = split_rejects(rows, [*features, label])
             tables[f"{family}_rejects_{name}"] = sink.write(rejected, f"{family}_rejects_{name}")
-    model_root = model_root or scratch_path(spark, "models")
-    paths = save_all(models, model_root)
+    if registry is not None:
+        paths = registry.publish(models).paths
+    else:
+        paths = save_all(models, model_root or scratch_path(spark, "models"))
     tables.update({
         "price_board": sink.write(boards["price"], TABLE_PRICE_BOARD),
         "sold_board": sink.write(boards["sold"], TABLE_SOLD_BOARD),
@@ -254,11 +264,12 @@ def score_landed(spark: SparkSession, landed_root: str, model_paths: Mapping[str
     return written
 
 
-def score_landed_stream(spark: SparkSession, landed_root: str, models: Mapping[str, PipelineModel],
+def score_landed_stream(spark: SparkSession, landed_root: str, models: Mapping[str, PipelineModel] | None,
                         out: str, checkpoint: str, fmt: str = "parquet",
                         trigger: str | None = "availableNow",
                         jdbc: Sink | None = None,
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+                        max_files_per_trigger: int | None = None,
+                        registry: Registry | None = None) -> StreamingQuery:
     """Incremental version: only newly landed files are scored, each once.
 
     By default the scores go to the exactly-once file sink at ``out``. With
@@ -266,10 +277,18 @@ def score_landed_stream(spark: SparkSession, landed_root: str, models: Mapping[s
     :func:`lotcast.sinks.jdbc_batch_writer`, which deletes a replayed
     micro-batch's rows before writing them again. ``max_files_per_trigger``
     bounds each micro-batch, so a backlog is worked off in steps.
+
+    With a ``registry``, ``models`` is not used: every micro-batch takes the
+    newest release, and its scores appear in ``out`` (Parquet) whole, with the
+    version as a column.
     """
     stream = open_stream(spark, landed_root, landed_schema(), fmt=fmt, options=LANDED_CSV if fmt == "csv" else None,
                          max_files_per_trigger=max_files_per_trigger)
     typed = cast_lenient(stream.where(~F.col(REJECTED_COL)).select(*landed_columns()), S.LISTING_STREAM)
+    if registry is not None:
+        if jdbc is not None:
+            raise ValueError("registry= writes files; give no jdbc= with it")
+        return score_stream_released(typed, registry, out, checkpoint, trigger=trigger)
     if jdbc is not None:
         if jdbc.fmt != "jdbc":
             raise ValueError("jdbc= takes a Sink with fmt='jdbc'")

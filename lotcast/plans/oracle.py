@@ -208,4 +208,16 @@ ORACLE: dict[str, str] = {
     "stream_score": (f"WITH ev AS (SELECT event_id, value, {_K} AS k FROM events) "
                      "SELECT event_id, round((SELECT regr_intercept(value, k) FROM ev) "
                      "+ (SELECT regr_slope(value, k) FROM ev) * k, 6) AS prediction FROM ev"),
+    "stream_releases": (
+        f"WITH ev AS (SELECT event_id, value, {_SOLD} AS sold, {_K} AS k FROM events), "
+        "fits AS (SELECT CASE WHEN sold THEN 1 ELSE 2 END AS version, regr_slope(value, k) AS s, "
+        "regr_intercept(value, k) AS i FROM ev GROUP BY sold) "
+        "SELECT event_id, CAST(version AS BIGINT) AS model_version, round(i + s * k, 6) AS prediction "
+        "FROM ev JOIN fits ON version = 1 + event_id % 2"),
+    "stream_six_models": (
+        f"WITH {_CODED}, fit AS (SELECT regr_slope(square, l_linenumber) AS s, regr_intercept(square, l_linenumber) AS i "
+        "FROM lines) SELECT l_orderkey, l_linenumber, returned, CAST(1 AS BIGINT) AS model_version, "
+        "round(i + s * l_linenumber, 4) AS price_linear, square AS price_random_forest, square AS price_gbt, "
+        + ", ".join(f"CAST(avg(wanted) OVER (PARTITION BY returned) > 0.5 AS DOUBLE) AS sold_{m}"
+                    for m in ("logistic", "random_forest", "decision_tree")) + " FROM lines, fit"),
 }

@@ -1,9 +1,15 @@
 """Structured Streaming: checkpointed ingest and incremental scoring."""
 
 from lotcast.streaming.ingest import decode_stream, open_kafka, open_stream, stream_to_files
-from lotcast.streaming.scoring import checkpoint_stream_id, score_stream, score_stream_each_batch
+from lotcast.streaming.scoring import (
+    checkpoint_stream_id,
+    read_released_scores,
+    score_stream,
+    score_stream_each_batch,
+    score_stream_released,
+)
 
 __all__ = [
     "decode_stream", "open_kafka", "open_stream", "stream_to_files",
-    "checkpoint_stream_id", "score_stream", "score_stream_each_batch",
+    "checkpoint_stream_id", "read_released_scores", "score_stream", "score_stream_each_batch", "score_stream_released",
 ]

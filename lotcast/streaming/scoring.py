@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from lotcast.ml.models import prediction_col
+from lotcast.ml.registry import Registry
 from lotcast.ml.score import score
+from lotcast.sinks.commits import BatchFolder, delete, exists, names, read_text, write_new
 from lotcast.streaming.ingest import _trigger, stream_to_files
 
+VERSION_COL = "model_version"
+
 
 def score_stream(df: DataFrame, models: Mapping[str, PipelineModel], path: str, checkpoint: str,
                  fmt: str = "parquet", trigger: str | None = "availableNow",
@@ -45,6 +51,43 @@ def score_stream_each_batch(df: DataFrame, models: Mapping[str, PipelineModel],
     return _trigger(writer, trigger).start()
 
 
+def score_stream_released(df: DataFrame, registry: Registry, out: str, checkpoint: str,
+                          trigger: str | None = "availableNow", version_col: str = VERSION_COL) -> StreamingQuery:
+    """Score a stream with the newest release of the models, looked up anew
+    for every micro-batch, so a release takes effect without a restart.
+
+    Rows carry the version they were scored with. The version is written
+    beside the checkpoint before a batch is scored, so a batch that runs again
+    after a failure is scored with the same models, and a batch that is in
+    ``out`` already is left alone: every row is scored once. Read the result
+    with :func:`read_released_scores` or as the Parquet table ``out``.
+    """
+    spark = df.sparkSession
+    scores, stream_id = BatchFolder(spark, out), checkpoint_stream_id(spark, checkpoint)
+    pins = f"{checkpoint.rstrip('/')}/lotcast-releases"
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if scores.holds(stream_id, batch_id):
+            return
+        if not exists(spark, f"{pins}/{batch_id}"):
+            write_new(spark, f"{pins}/{batch_id}", str(registry.models()[0]))
+        version, models = registry.models(int(read_text(spark, f"{pins}/{batch_id}")))
+        scores.commit(score(batch, models).withColumn(version_col, F.lit(version).cast("long")), stream_id, batch_id)
+        for old in names(spark, pins):  # earlier batches are done
+            if old.isdigit() and int(old) < batch_id:
+                delete(spark, f"{pins}/{old}")
+
+    writer = df.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return _trigger(writer, trigger).start()
+
+
+def read_released_scores(spark: SparkSession, out: str, columns: StructType, models: Iterable[str],
+                         version_col: str = VERSION_COL) -> DataFrame:
+    """What :func:`score_stream_released` wrote for input ``columns``."""
+    added = [StructField(prediction_col(m), DoubleType()) for m in models]
+    return BatchFolder(spark, out).read(StructType([*columns.fields, *added, StructField(version_col, LongType())]))
+
+
 def checkpoint_stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The id of the stream that owns ``checkpoint``: made with the
     checkpoint, kept in it, and gone with it."""
