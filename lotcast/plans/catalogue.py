@@ -24,6 +24,7 @@ from lotcast.functions.bands import band
 from lotcast.functions.casts import cast_lenient, lenient_double, lenient_integral
 from lotcast.functions.codec import decode_messages, encode_messages
 from lotcast.ml.leaderboard import evaluate, evaluated_rows
+from lotcast.ml.least_squares import GrowingFit
 from lotcast.ml.models import CLASSIFICATION, REGRESSION, assembler, fit_all, load_all, prediction_col, save_all, usable
 from lotcast.ml.registry import Registry
 from lotcast.ml.score import score
@@ -531,6 +532,35 @@ def stream_six_models(spark: SparkSession, d: str) -> DataFrame:
                          *[F.round(prediction_col(m), 4).alias(m) for m in (*price, *sold)])
 
 
+def linear_arrivals(spark: SparkSession, d: str) -> DataFrame:
+    """The ``value ~ k`` fit after each of three arrivals of events, from
+    stored moments: no arrival is read after it was added."""
+    events = _with_k(_events(spark, d)).select("event_id", "value", "k")
+    growing = GrowingFit(spark, scratch_path(spark, "moments"), ["k"], "value")
+    rows = []
+    for nr in range(3):
+        growing.add(events.where(F.col("event_id") % 3 == nr), f"arrival-{nr}")
+        lr = growing.fit("value_linear").stages[-1]
+        rows.append((nr + 1, growing.total().used, float(lr.coefficients[0]), float(lr.intercept)))
+    out = spark.createDataFrame(rows, "arrivals int, n_rows long, slope double, intercept double")
+    return out.withColumns({c: F.round(c, 8) for c in ("slope", "intercept")})
+
+
+def linear_arrivals_scores(spark: SparkSession, d: str) -> DataFrame:
+    """A price model of three arrivals of lineitem, added by a stream, saved,
+    loaded and applied to all of it."""
+    lines = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", PRICE_LABEL)
+    source = scratch_path(spark, "arrivals")
+    growing = GrowingFit(spark, scratch_path(spark, "moments"), ["l_quantity"], PRICE_LABEL)
+    ckpt = scratch_path(spark, "arrivals_ckpt")
+    for nr in range(3):  # the stream starts anew for each arrival and reads only that
+        lines.where(F.col("l_orderkey") % 3 == nr).write.mode("append").parquet(source)
+        growing.add_stream(open_stream(spark, source, lines.schema), ckpt).awaitTermination()
+    loaded = load_all(save_all({"qty_linear": growing.fit("qty_linear")}, scratch_path(spark, "models")))
+    scored = score(lines, loaded, replace_label=PRICE_LABEL)
+    return scored.withColumn(PRICE_LABEL, F.round(PRICE_LABEL, 4))
+
+
 QUERIES: dict[str, Query] = {
     "bucket_activity": bucket_activity,
     "bucket_price": bucket_price,
@@ -550,6 +580,8 @@ QUERIES: dict[str, Query] = {
     "reg_metrics_multi": reg_metrics_multi,
     "class_recall": class_recall,
     "linear_fit": linear_fit,
+    "linear_arrivals": linear_arrivals,
+    "linear_arrivals_scores": linear_arrivals_scores,
     "price_leaderboard": price_leaderboard,
     "sold_leaderboard": sold_leaderboard,
     "score_all": score_all,

@@ -220,4 +220,9 @@ ORACLE: dict[str, str] = {
         "round(i + s * l_linenumber, 4) AS price_linear, square AS price_random_forest, square AS price_gbt, "
         + ", ".join(f"CAST(avg(wanted) OVER (PARTITION BY returned) > 0.5 AS DOUBLE) AS sold_{m}"
                     for m in ("logistic", "random_forest", "decision_tree")) + " FROM lines, fit"),
+    "linear_arrivals": " UNION ALL ".join(
+        f"SELECT {n} AS arrivals, CAST(count(*) AS BIGINT) AS n_rows, round(regr_slope(value, k), 8) AS slope, "
+        f"round(regr_intercept(value, k), 8) AS intercept FROM (SELECT event_id, value, {_K} AS k FROM events) AS t "
+        f"WHERE value IS NOT NULL AND k IS NOT NULL AND event_id % 3 < {n}" for n in (1, 2, 3)),
 }
+ORACLE["linear_arrivals_scores"] = ORACLE["price_linear_scores"]

@@ -1,0 +1,101 @@
+"""Fits that add up their arrivals."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lotcast.ml import fit_all, load_all, save_all, score
+from lotcast.ml.least_squares import GrowingFit, moments, points
+from lotcast.ml.models import REGRESSION
+from lotcast.session import scratch_path
+from lotcast.streaming import open_stream
+
+
+def _rows(spark, n=3000, width=23, seed=5):
+    """Features of very different sizes, not around zero."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, width)) * 10.0 ** rng.integers(-1, 4, width) + 20.0
+    y = x @ rng.standard_normal(width) + rng.standard_normal(n)
+    names = [f"f{i}" for i in range(width)]
+    return names, spark.createDataFrame([[*map(float, r), float(t), i] for i, (r, t) in enumerate(zip(x, y))],
+                                        [*names, "y", "nr"])
+
+
+def test_arrivals_add_up_to_the_fit_on_all_rows(spark):
+    names, df = _rows(spark)
+    root = scratch_path(spark, "t_moments")
+    for part in range(3):
+        growing = GrowingFit(spark, root, names, "y")  # nothing is kept but the store
+        assert growing.add(df.where(F.col("nr") % 3 == part), f"p{part}")
+        assert not growing.add(df, f"p{part}")  # the same arrival again adds nothing
+    got = growing.fit("y_linear").stages[-1]
+    x = np.array([[*r[:len(names)], 1.0] for r in df.select(*names).collect()])
+    y = np.array([r[0] for r in df.select("y").collect()])
+    want = np.linalg.lstsq(x, y, rcond=None)[0]
+    assert np.allclose(got.coefficients.toArray(), want[:-1], rtol=1e-6, atol=1e-9)
+    whole = fit_all(df, names, "y", REGRESSION, prefix="y", only=["y_linear"])["y_linear"].stages[-1]
+    assert np.allclose(got.coefficients.toArray(), whole.coefficients.toArray(), rtol=1e-6, atol=1e-8)
+
+
+def test_the_model_is_an_ordinary_pipeline(spark):
+    df = spark.createDataFrame([(float(i), 2.0 * i + 1) for i in range(20)], "x double, y double")
+    growing = GrowingFit(spark, scratch_path(spark, "t_moments"), ["x"], "y")
+    growing.add(df, "all")
+    loaded = load_all(save_all({"y_linear": growing.fit("y_linear")}, scratch_path(spark, "t_models")))
+    for r in score(df, loaded).collect():
+        assert r["y_linear_prediction"] == pytest.approx(r["y"])
+
+
+def test_points_have_the_moments_they_stand_for(spark):
+    names, df = _rows(spark, n=200, width=4)
+    origin = [20.0] * 4 + [0.0]
+    found = moments(df, names, "y", origin)
+    w, z = zip(*points(found, origin))
+    w, z = np.array(w), np.array(z) - origin
+    assert w.sum() == pytest.approx(200)
+    assert np.allclose((w[:, None] * z).sum(0), found.sums)
+    assert np.allclose((w[:, None] * z).T @ z, found.products, rtol=1e-7, atol=1e-7 * np.abs(found.products).max())
+
+
+def test_unusable_rows_empty_arrivals_and_other_columns(spark):
+    schema = "x double, y double, extra string"
+    root = scratch_path(spark, "t_moments")
+    growing = GrowingFit(spark, root, ["x"], "y")
+    with pytest.raises(ValueError, match="no usable row"):
+        growing.fit("y_linear")
+    assert growing.add(spark.createDataFrame([], schema), "empty")
+    assert growing.add(spark.createDataFrame([(None, 1.0, "a"), (1.0, float("nan"), None)], schema), "bad")
+    with pytest.raises(ValueError, match="no usable row"):
+        growing.fit("y_linear")
+    growing.add(spark.createDataFrame([(0.0, 5.0, None), (1.0, 7.0, "b"), (None, 9.0, "c")], schema), "good")
+    total = growing.total()
+    assert (total.seen, total.used) == (5, 2)
+    model = growing.fit("y_linear").stages[-1]
+    assert model.coefficients[0] == pytest.approx(2.0) and model.intercept == pytest.approx(5.0)
+    with pytest.raises(ValueError, match="holds moments of"):
+        GrowingFit(spark, root, ["z"], "y").add(spark.createDataFrame([(1.0, 1.0)], "z double, y double"), "other")
+
+
+def test_constant_features_and_one_row(spark):
+    growing = GrowingFit(spark, scratch_path(spark, "t_moments"), ["x", "c"], "y")
+    growing.add(spark.createDataFrame([(1.0, 4.0, 3.0)], "x double, c double, y double"), "one")
+    model = growing.fit("y_linear").stages[-1]
+    assert model.predict(growing_vector([1.0, 4.0])) == pytest.approx(3.0)
+    growing.add(spark.createDataFrame([(2.0, 4.0, 5.0), (3.0, 4.0, 7.0)], "x double, c double, y double"), "more")
+    model = growing.fit("y_linear").stages[-1]
+    assert model.predict(growing_vector([10.0, 4.0])) == pytest.approx(21.0)
+
+
+def growing_vector(values):
+    from pyspark.ml.linalg import Vectors
+    return Vectors.dense(values)
+
+
+def test_a_stream_adds_its_batches_once(spark):
+    root = scratch_path(spark, "t_moments_stream")
+    df = spark.createDataFrame([(float(i), 3.0 * i) for i in range(30)], "x double, y double").repartition(3)
+    df.write.parquet(f"{root}/in")
+    growing = GrowingFit(spark, f"{root}/store", ["x"], "y")
+    for _ in range(2):
+        growing.add_stream(open_stream(spark, f"{root}/in", df.schema, max_files_per_trigger=1), f"{root}/ckpt").awaitTermination()
+    assert growing.total().used == 30 and len(growing.arrivals()) == 3
