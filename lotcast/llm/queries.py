@@ -76,7 +76,7 @@ def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.col("kept_text").alias("text"))
 
 
 def op11_wumanber(spark: SparkSession, sf_dir: str) -> DataFrame:
