@@ -28,7 +28,9 @@ from lotcast.llm.common import materialize
 from lotcast.llm.licenses import LOWER, UPPER
 from lotcast.llm.prefix import running_sums
 
-MARKS = r"^([ \t]*>)+"
+#: All up to the last mark of a run of marks and blanks. Without a repeated
+#: group, which Java would match by recursion, a line may hold any number.
+MARKS = r"^[ \t>]*>"
 LAST_TURN = (1 << 63) - 1
 #: Turns to a range when messages are numbered.
 RANGE = 256
@@ -47,7 +49,7 @@ def _lines(text: Column) -> Column:
 
 def _clean(lines: Column) -> Column:
     own = F.filter(lines, lambda x: x["level"] == 0)
-    return F.regexp_replace(F.array_join(F.transform(own, lambda x: x["body"]), "\n"), r"^[ \t\r\n]+|[ \t\r\n]+$", "")
+    return F.btrim(F.array_join(F.transform(own, lambda x: x["body"]), "\n"), F.lit(" \t\r\n"))
 
 
 def _passages(lines: DataFrame) -> DataFrame:

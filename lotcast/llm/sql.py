@@ -135,8 +135,8 @@ WITH RECURSIVE said AS (
          unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS nr
   FROM said
 ), lines AS (
-  SELECT *, len(regexp_replace(regexp_extract(line, '^([ \t]*>)+', 0), '[^>]', '', 'g')) AS level,
-         regexp_replace(line, '^([ \t]*>)+', '') AS body
+  SELECT *, len(regexp_replace(regexp_extract(line, '^[ \t>]*>', 0), '[^>]', '', 'g')) AS level,
+         regexp_replace(line, '^[ \t>]*>', '') AS body
   FROM raw
 ), clean AS (
   SELECT message, regexp_replace(coalesce(string_agg(body, chr(10) ORDER BY nr) FILTER (level = 0), ''),

@@ -86,6 +86,7 @@ MESSAGES = [
     (1, 4, "assistant", ">Unrelated question\nanswer\n> no such\nmore"), (1, 5, "user", "> Good to hear\nbye"),
     (2, 0, "user", None), (2, 1, None, ""), (None, 0, "x", "> a\nb"), (None, None, "x", "> b\nc"),
     (1, 2, "user", "Unrelated question"), (1, 2, "user", "dup turn"), (3, 0, "user", "ok"), (3, 1, "a", "> ok\nok"),
+    (5, 0, "user", ">" * 3_000 + "deep\nsaid"), (5, 1, "a", "> said\n" + "> " * 5_000 + "\n \t" * 2_000 + "x" + " \n" * 50),
     (3, 2, "user", "> ok\n> > ok\nlater"), (3, 900, "user", "> later\n" + "long " * 50_000), (4, 1, "u", "> ahead"), (4, 2, "u", "ahead"),
 ]
 
@@ -105,11 +106,18 @@ def test_quotes_equal_sql(spark):
     assert quotes.link_quotes(chats.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op2_licenses", "op5_minhash", "op6_mixing", "op7_quotes"])
+def test_a_million_marks_on_a_line_are_quotation(spark):
+    rows = [(1, 0, "u", "said"), (1, 1, "u", ">" * 1_000_000 + " said\nmore"), (1, 2, "u", "> " * 500_000 + ">said\n" + " " * 1_000_000 + "x")]
+    got = quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {(r["turn"], r["text"], r["n_quotes"], r["reply_to"]) for r in got} == {
+        (0, "said", 0, None), (1, "more", 1, 0), (2, "x", 1, 0)}
+
+
+@pytest.mark.parametrize("name", ["op2_licenses", "op5_minhash", "op6_mixing", "op7_quotes", "op11_wumanber", "op12_search", "op13_negatives"])
 def test_queries_equal_sql(spark, name):
     from lotcast.llm.queries import ORACLE, QUERIES
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
     rel = con.sql(ORACLE[name])
     got = QUERIES[name](spark, "/root/testdata/sf0.001")
