@@ -151,7 +151,7 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             sets = [shingle_set(t.as_py(), size).tobytes() for t in batch.column("text")]
             same = [xxhash.xxh3_128_digest(s) == d.as_py() for s, d in zip(sets, batch.column("digest"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())],
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())],
                                              ["node", "shingles"]).filter(pa.array(same, pa.bool_()))
 
     return docs.mapInArrow(run, "node long, shingles binary")
@@ -188,9 +188,10 @@ def _linked(stored: list[np.ndarray], probe: np.ndarray, percent: int, index: tu
 
 def _within(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links inside a bucket between different components: every probe is
-    compared with the full sets of its block, and one link a probe and
-    component comes out. Buckets stream through sorted partitions, a block at
-    a time."""
+    compared with the full sets of every block, and one link a probe and
+    component comes out. A cell is one block of stored sets with one block of
+    probes; cells stream through sorted partitions, one at a time, so a task
+    holds two blocks at most however large the bucket is."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at = [], None
 
@@ -214,12 +215,12 @@ def _within(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for batch in batches:
-            names = batch.column("key").to_numpy(), batch.column("block").to_numpy()
-            cuts = np.flatnonzero((names[0][1:] != names[0][:-1]) | (names[1][1:] != names[1][:-1])) + 1
+            cell = np.column_stack([batch.column(c).to_numpy() for c in ("key", "block", "probe_block")])
+            cuts = np.flatnonzero((cell[1:] != cell[:-1]).any(axis=1)) + 1
             for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
                 if start == end:
                     continue
-                this = (names[0][start], names[1][start])
+                this = tuple(cell[start])
                 if held and this != at:
                     yield flush()
                     held = []
@@ -228,8 +229,9 @@ def _within(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if held:
             yield flush()
 
-    return (buckets.join(sets, "node").repartition("key", "block").sortWithinPartitions("key", "block")
-            .select("key", "block", "node", "label", "probe", "stored", "shingles")
+    cell = ["key", "block", "probe_block"]
+    return (buckets.join(sets, "node").repartition(*cell).sortWithinPartitions(*cell)
+            .select(*cell, "node", "label", "probe", "stored", "shingles")
             .mapInArrow(run, "a long, b long").distinct())
 
 
@@ -241,10 +243,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the id names the row."""
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     measured = materialize(_measure(slim, shingle_words), "minhash-signatures")
+    # A unit's name must be its own even if one id has several texts: it is
+    # numbered where its row is written, and the written number counts.
     units = materialize(
         measured.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).groupBy("digest")
-        .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"),
-             F.first("bands").alias("bands")), "minhash-units")
+        .agg(F.min("doc_id").alias("min_id"), F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"),
+             F.first("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()), "minhash-units")
     banded = units.select("node", F.explode("bands").alias("key"))
     shared = (banded.groupBy("key").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("members"))
               .filter("members > 1"))
@@ -257,10 +261,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .filter((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
                 & (similarity(_equal_fields(F.col("sa"), F.col("sb"))) >= least)).select("a", "b")
     stars = materialize(stars, "minhash-stars")
-    wanted = (stars.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    wanted = (stars.select(F.explode(F.array("a", "b")).alias("node"))
               .union(buckets.filter("members > 2").select("node")).distinct()
-              .join(units.select(F.col("node").alias("doc_id"), "digest"), "doc_id"))
-    sets = materialize(_sets(slim.join(wanted, "doc_id").select("doc_id", "text", "digest"), shingle_words)
+              .join(units.select("node", F.col("min_id").alias("doc_id"), "digest"), "node"))
+    sets = materialize(_sets(slim.join(wanted, "doc_id").select("node", "text", "digest"), shingle_words)
                        .dropDuplicates(["node"]), "minhash-sets")
     links = materialize(_confirm(stars, sets, percent), "minhash-links")
     labels = components(links)
@@ -268,19 +272,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labelled = (buckets.filter("members > 2").join(labels, "node", "left")
                 .withColumn("label", F.coalesce("label", "node")))
     by_label = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
-    split = (by_label.groupBy("key").agg(F.max_by("label", "c").alias("largest"), F.count(F.lit(1)).alias("labels"))
-             .filter("labels > 1").select("key", "largest"))
-    open_buckets = (labelled.join(split, "key").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
-                    .select("key", "node", "label", "blocks", (F.col("label") != F.col("largest")).alias("probe")))
-    own = open_buckets.withColumns({"block": F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), "stored": F.lit(True),
-                                    "probe": F.col("probe") & (F.col("blocks") == 1)})
-    asked = (open_buckets.filter(F.col("probe") & (F.col("blocks") > 1))
-             .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("stored", F.lit(False)))
-    more = materialize(_within(own.unionByName(asked), sets, percent), "minhash-more")
+    split = (by_label.groupBy("key").agg(F.max_by("label", "c").alias("largest"), F.max("c").alias("c"),
+                                         F.count(F.lit(1)).alias("labels"))
+             .filter("labels > 1").select("key", "largest", "c"))
+    open_buckets = (labelled.join(split, "key").withColumns({
+        "blocks": F.ceil(F.col("members") / BLOCK).cast("int"),
+        "probe_blocks": F.ceil((F.col("members") - F.col("c")) / BLOCK).cast("int")})
+        .select("key", "node", "label", "blocks", "probe_blocks", (F.col("label") != F.col("largest")).alias("probe")))
+    own, asked = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("node"), F.col("probe_blocks")).cast("int")
+    small = open_buckets.filter("blocks = 1").withColumns({"block": F.lit(0), "probe_block": F.lit(0), "stored": F.lit(True)})
+    large = open_buckets.filter("blocks > 1")
+    stored = large.withColumns({"block": own, "stored": F.lit(True), "probe": F.lit(False)}) \
+        .withColumn("probe_block", F.explode(F.sequence(F.lit(0), F.col("probe_blocks") - 1)))
+    probes = large.filter("probe").withColumns({"probe_block": asked, "stored": F.lit(False)}) \
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = small.unionByName(stored).unionByName(probes).drop("blocks", "probe_blocks")
+    more = materialize(_within(cells, sets, percent), "minhash-more")
     if more.take(1):
         labels = components(links.unionByName(more))
-    of_unit = units.select("digest", "node").join(labels, "node", "left") \
-        .select("digest", F.coalesce("label", "node").alias("component"))
+    of_unit = units.select("digest", "node", "min_id").join(labels, "node", "left") \
+        .select("digest", "min_id", F.coalesce("label", "node").alias("label"))
+    smallest = of_unit.groupBy("label").agg(F.min("min_id").alias("component"))
+    of_unit = of_unit.join(smallest, "label").select("digest", "component")
     return (measured.select("doc_id", "text_md5", "n_shingles", "digest").join(of_unit, "digest", "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component")))

@@ -44,6 +44,24 @@ def test_links_that_no_star_tries(spark):
     assert _found(minhash.near_duplicates(docs, shingle_words=1)) == near_components(rows, 1)
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_one_id_with_two_texts_loses_no_link(spark, turned):
+    x, y = _family(1, 2), _family(2, 2)
+    rows = [(5, x[0]), (5, y[0]), (7, y[1]), (8, x[1]), (9, "alone here")]
+    docs = spark.createDataFrame(rows[::-1] if turned else rows, "doc_id long, text string").coalesce(1)
+    got = {(r["doc_id"], r["component_id"]) for r in minhash.near_duplicates(docs, shingle_words=1).collect()}
+    assert got == {(5, 5), (7, 5), (8, 5), (9, 9)}
+
+
+def test_hot_bucket_of_unlike_texts_is_compared_in_cells(spark, monkeypatch):
+    """Many texts share a band with none like another, but for a few pairs."""
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    monkeypatch.setattr(minhash, "band_keys", lambda m: minhash.np.r_[minhash.np.int64(1), m[:31].view(minhash.np.int64)])
+    rows = [(i, f"a{i} b{i} c{i} d{i} e{i}") for i in range(30)] + [(100 + i, f"a{i} b{i} c{i} d{i} e{i} f{i}") for i in range(0, 30, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _found(minhash.near_duplicates(docs, shingle_words=1)) == near_components(rows, 1)
+
+
 def test_edges(spark):
     long = " ".join(f"w{i % 50_000}" for i in range(100_000))
     docs = spark.createDataFrame(
