@@ -12,11 +12,16 @@ CORRUPT_COL = "_corrupt_record"
 
 
 def _one_object(value: Column) -> Column:
-    """True for text that is one JSON object: not blank, and neither more
-    objects nor other text behind it. (Parsed as the only element of an
-    array, so a second one or trailing text shows.)"""
-    element = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>")
-    return F.coalesce((F.size(element) == 1) & F.ltrim(value).startswith("{"), F.lit(False))
+    """True for text that is one JSON object, if it is JSON at all: not
+    blank, and neither more objects nor other text behind it. Where the first
+    closing brace is also the last character nothing can follow. Only other
+    texts (braces in a value, nested objects, text behind) are parsed a second
+    time, as the first of two elements of an array, so that a second object or
+    trailing text shows."""
+    trimmed = F.rtrim(value, F.lit(" \t\r\n"))
+    listed = F.from_json(F.concat(F.lit("["), value, F.lit(",0]")), "array<string>")
+    alone = F.when(F.locate("}", trimmed) == F.length(trimmed), F.lit(True)).otherwise(F.size(listed) == 2)
+    return F.coalesce(F.ltrim(value).startswith("{") & alone, F.lit(False))
 
 
 def decode_messages(df: DataFrame, schema: StructType, value_col: str = "value",

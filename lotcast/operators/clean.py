@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from lotcast.operators.dedup import distinct_by_digest
+
 REASON_COL = "reject_reason"
 
 
@@ -17,7 +19,7 @@ def _is_float(df: DataFrame, name: str) -> bool:
 
 def clean(df: DataFrame, required: Sequence[str] = ("Price", "SellerName", "EndDay"),
           positive: Sequence[str] = ("HitCount",), reject_nan: bool = False,
-          dedup: bool = True) -> DataFrame:
+          dedup: bool | str = True) -> DataFrame:
     """Drop rows missing a required field or with a non-positive activity
     count, then de-duplicate whole rows.
 
@@ -36,6 +38,8 @@ def clean(df: DataFrame, required: Sequence[str] = ("Price", "SellerName", "EndD
     for name in positive:
         cond = cond & (F.col(name) > 0)
     out = df.where(cond)
+    if dedup == "digest":
+        return distinct_by_digest(out)
     return out.distinct() if dedup else out
 
 

@@ -12,6 +12,7 @@ Every query reads whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -32,12 +33,21 @@ from lotcast.operators.clean import clean, split_rejects, tag_rejects
 from lotcast.operators.split import hash_split
 from lotcast.operators.metrics import classification_metrics, per_class_recall, regression_metrics
 from lotcast.operators.reports import band_counts, category_counts, sold_reports, top_k
-from lotcast.plans.listing_jobs import ingest_messages, read_landed, read_rejects, report_dimensions
+from lotcast.plans.listing_jobs import (
+    ingest_messages,
+    landed_folder,
+    listing_reports_stream,
+    read_landed,
+    read_rejects,
+    report_dimensions,
+)
 from lotcast.plans.listing_tables import listings, messages
 from lotcast.session import scratch_path
 from lotcast.sinks.writers import write_table
 from lotcast.sources.readers import read_listings, read_table
+from lotcast.streaming.dedup import without_resent
 from lotcast.streaming.ingest import open_stream, stream_to_files
+from lotcast.streaming.reports import ReportTable
 from lotcast.streaming.scoring import read_released_scores, score_stream, score_stream_released
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -422,6 +432,15 @@ def listing_clean(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(S.LISTING_BATCH).parquet(path)
 
 
+def listing_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Listings of which a third is there twice, cleaned by row digests:
+    only rows that may be repeated are shuffled whole."""
+    path = scratch_path(spark, "listing_dedup")
+    rows = listings(spark, d)
+    rows.unionByName(rows.where(F.col("EbayID") % 3 == 0)).write.parquet(path)
+    return clean(spark.read.schema(S.LISTING_BATCH).parquet(path), dedup="digest")
+
+
 def listing_reports(spark: SparkSession, d: str) -> DataFrame:
     """The five sold reports of the cleaned listings, from one scan."""
     return sold_reports(clean(listings(spark, d)), report_dimensions(), where=F.col("QuantitySold") == 1.0)
@@ -457,12 +476,68 @@ def stream_listings(spark: SparkSession, d: str) -> DataFrame:
     keep = sent.select("event_id").schema
     stream = open_stream(spark, source, sent.schema)
     ingest_messages(stream, landed, scratch_path(spark, "landed_ckpt"), keep=["event_id"]).awaitTermination()
+    return _landed_and_rejected(spark, landed, keep)
+
+
+def _landed_and_rejected(spark: SparkSession, landed: str, keep: StructType, compacted_root: str | None = None) -> DataFrame:
     nothing = [F.lit(None).cast(t).alias(n) for n, t in (
         ("EbayID", "long"), ("SellerName", "string"), ("Price", "double"), ("HitCount", "int"), ("EndDay", "string"))]
-    good = read_landed(spark, landed, keep=keep).select(
+    good = read_landed(spark, landed, keep=keep, compacted_root=compacted_root).select(
         F.col("EbayID").alias("event_id"), F.lit(None).cast("string").alias("rejected_text"),
         "EbayID", "SellerName", "Price", "HitCount", "EndDay")
-    return good.unionByName(read_rejects(spark, landed, keep=keep).select("event_id", "rejected_text", *nothing))
+    rejected = read_rejects(spark, landed, keep=keep, compacted_root=compacted_root)
+    return good.unionByName(rejected.select("event_id", "rejected_text", *nothing))
+
+
+def landed_compacted(spark: SparkSession, d: str) -> DataFrame:
+    """The same stream landed in many small batches over two runs, compacted
+    twice with merging, the covered files deleted, and a last run landed
+    after that: every message once."""
+    source, landed, root = (scratch_path(spark, n) for n in ("messages", "landed", "generations"))
+    sent = messages(spark, d)
+    keep, ckpt = sent.select("event_id").schema, scratch_path(spark, "landed_ckpt")
+    folder = landed_folder(spark, landed, root, keep)
+    for nr in range(3):
+        sent.where(F.col("event_id") % 3 == nr).repartition(3).write.mode("append").parquet(source)
+        stream = open_stream(spark, source, sent.schema, max_files_per_trigger=1)
+        ingest_messages(stream, landed, ckpt, keep=["event_id"]).awaitTermination()
+        if nr < 2:
+            folder.compact(fan_in=2)
+            folder.vacuum(keep=1)
+    return _landed_and_rejected(spark, landed, keep, compacted_root=root)
+
+
+def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Events from a source that sends messages again: a third within the
+    first run, half of all in a second run of the same checkpoint an hour
+    later. Each lands once."""
+    events = _events(spark, d).select("event_id", "user_id", "event_type", "value", "props")
+    source, out, ckpt = (scratch_path(spark, n) for n in ("resent", "resent_landed", "resent_ckpt"))
+    first = events.where(F.col("event_id") % 4 != 0)
+    runs = [first.unionByName(first.where(F.col("event_id") % 3 == 0)),
+            events.where((F.col("event_id") % 2 == 0) | (F.col("event_id") % 4 == 0))]
+    for hour, rows in enumerate(runs):
+        received = F.lit(f"2024-01-01 {hour:02d}:00:00").cast("timestamp")
+        rows.withColumn("received", received).write.mode("append").parquet(source)
+        stream = open_stream(spark, source, spark.read.parquet(source).schema)
+        kept = without_resent(stream, events.columns, "received", "2 hours")
+        stream_to_files(kept.drop("received"), out, ckpt).awaitTermination()
+    return spark.read.schema(events.schema).parquet(out)
+
+
+def stream_report_table(spark: SparkSession, d: str) -> DataFrame:
+    """The five sold reports after each of three arrivals of listings, kept
+    by a stream that restarts for each."""
+    rows = listings(spark, d)
+    source, root, ckpt = (scratch_path(spark, n) for n in ("report_listings", "report_table", "report_ckpt"))
+    after = []
+    for nr in range(3):
+        rows.where(F.col("EbayID") % 3 == nr).write.mode("append").parquet(source)
+        stream = open_stream(spark, source, S.LISTING_BATCH)
+        listing_reports_stream(spark, stream, root, ckpt).awaitTermination()
+        table = ReportTable(spark, root)
+        after.append(table.read(table.versions.latest()).withColumn("arrivals", F.lit(nr + 1)))
+    return reduce(DataFrame.unionByName, after)
 
 
 # --- streaming (SRC5-6, STR1-3, SNK2) -----------------------------------------
@@ -593,12 +668,16 @@ QUERIES: dict[str, Query] = {
     "sold_board": sold_board,
     "evaluation_rows": evaluation_rows,
     "listing_clean": listing_clean,
+    "listing_dedup": listing_dedup,
     "listing_reports": listing_reports,
     "listing_features": listing_features,
     "listing_rejects": listing_rejects,
     "stream_listings": stream_listings,
     "stream_ingest": stream_ingest,
     "stream_score": stream_score,
+    "landed_compacted": landed_compacted,
+    "stream_dedup": stream_dedup,
+    "stream_report_table": stream_report_table,
     "stream_releases": stream_releases,
     "stream_six_models": stream_six_models,
 }

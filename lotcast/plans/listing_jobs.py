@@ -37,7 +37,10 @@ from lotcast.operators.reports import sold_reports, split_report
 from lotcast.session import drop_scratch, scratch_path
 from lotcast.sinks.writers import jdbc_batch_writer, write_table
 from lotcast.sources.readers import read_listings
+from lotcast.streaming.compact import CompactedFolder
+from lotcast.streaming.dedup import without_resent
 from lotcast.streaming.ingest import LANDED_CSV, open_stream, stream_to_files
+from lotcast.streaming.reports import ReportTable, stream_reports
 from lotcast.streaming.scoring import (
     checkpoint_stream_id,
     score_stream,
@@ -187,7 +190,8 @@ def landed_columns() -> list[str]:
 
 def ingest_messages(messages: DataFrame, landed_root: str, checkpoint: str, value_col: str = "value",
                     fmt: str = "parquet", trigger: str | None = "availableNow",
-                    keep: Sequence[str] = ()) -> StreamingQuery:
+                    keep: Sequence[str] = (), resend_ttl: str | None = None,
+                    received_col: str = "timestamp", resend_key: Sequence[str] | None = None) -> StreamingQuery:
     """Land a stream of JSON listing messages (Kafka ``value`` or text).
 
     One checkpointed query with one file sink, partitioned by ``rejected``:
@@ -198,10 +202,17 @@ def ingest_messages(messages: DataFrame, landed_root: str, checkpoint: str, valu
     micro-batch never shows twice. ``keep`` carries source columns such as
     Kafka ``partition`` and ``offset``, which name a message that has no text.
 
+    With ``resend_ttl`` a message that came before within that time (by
+    ``received_col``) is not landed again; the same message is the same
+    ``resend_key`` (its text by default).
+
     Land Parquet unless CSV is asked for: scoring then reads only the columns
-    it needs, and files split. Compact old micro-batch files as any small-file
-    folder, and bound the sink's log with its ``retention`` option.
+    it needs, and files split. Old micro-batch files are made into larger ones
+    by :func:`landed_folder` (``compact``); bound the sink's log with its
+    ``retention`` option.
     """
+    if resend_ttl is not None:
+        messages = without_resent(messages, resend_key or [value_col], received_col, resend_ttl)
     decoded = decode_messages(messages, S.LISTING_MESSAGE, value_col=value_col, keep=keep, corrupt_col=CORRUPT_COL)
     rows = decoded.select(*landed_columns(), F.col(CORRUPT_COL).alias(REJECTED_TEXT_COL), *keep,
                           F.col(CORRUPT_COL).isNotNull().alias(REJECTED_COL))
@@ -214,27 +225,47 @@ def landed_schema(keep: StructType | None = None) -> StructType:
                        StructField(REJECTED_COL, BooleanType())])
 
 
-def _landed(spark: SparkSession, landed_root: str, fmt: str, keep: StructType | None = None) -> DataFrame:
+def landed_folder(spark: SparkSession, landed_root: str, compacted_root: str,
+                  keep: StructType | None = None) -> CompactedFolder:
+    """The landed (Parquet) folder with its compacted generations."""
+    return CompactedFolder(spark, landed_root, compacted_root, landed_schema(keep), [REJECTED_COL])
+
+
+def _landed(spark: SparkSession, landed_root: str, fmt: str, keep: StructType | None = None,
+            compacted_root: str | None = None) -> DataFrame:
+    if compacted_root is not None:
+        return landed_folder(spark, landed_root, compacted_root, keep).read()
     options = LANDED_CSV if fmt == "csv" else {}
     return spark.read.schema(landed_schema(keep)).format(fmt).options(**options).load(landed_root)
 
 
 def read_landed(spark: SparkSession, landed_root: str, fmt: str = "parquet",
-                keep: StructType | None = None) -> DataFrame:
+                keep: StructType | None = None, compacted_root: str | None = None) -> DataFrame:
     """Landed listings, typed leniently (bad numbers become NULL). Reading
     the sink folder itself (no glob) goes through its metadata log, so only
-    committed files are read. ``keep``: the kept source columns."""
-    raw = _landed(spark, landed_root, fmt, keep).where(~F.col(REJECTED_COL)).select(*landed_columns())
+    committed files are read. ``keep``: the kept source columns.
+    ``compacted_root``: where the folder's generations are, if it is compacted."""
+    raw = _landed(spark, landed_root, fmt, keep, compacted_root).where(~F.col(REJECTED_COL)).select(*landed_columns())
     return cast_lenient(raw, S.LISTING_STREAM)
 
 
 def read_rejects(spark: SparkSession, landed_root: str, fmt: str = "parquet",
-                 keep: StructType | None = None) -> DataFrame:
+                 keep: StructType | None = None, compacted_root: str | None = None) -> DataFrame:
     """The rejected messages' texts and kept source columns."""
-    return (_landed(spark, landed_root, fmt, keep).where(F.col(REJECTED_COL))
+    return (_landed(spark, landed_root, fmt, keep, compacted_root).where(F.col(REJECTED_COL))
             .select(REJECTED_TEXT_COL, *(keep.names if keep else [])))
 
 
+def listing_reports_stream(spark: SparkSession, listings: DataFrame, root: str, checkpoint: str,
+                           trigger: str | None = "availableNow") -> StreamingQuery:
+    """Keep the five sold reports of a stream of typed listings in a
+    :class:`ReportTable` under ``root``: after every micro-batch its counts are
+    those of all cleaned listings so far. Repeats are for the ingest to remove
+    (``resend_ttl``)."""
+    rows = clean(listings, dedup=False)
+    return stream_reports(rows, report_dimensions(), ReportTable(spark, root), checkpoint, where=_sold(), trigger=trigger)
+
+
 def score_landed(spark: SparkSession, landed_root: str, model_paths: Mapping[str, str], sink: Sink,
                  fmt: str = "parquet", reference_shape: bool = False, keep_scratch: bool = False) -> dict[str, str]:
     """Score every landed listing with all saved models in one scan.

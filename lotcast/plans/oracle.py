@@ -226,3 +226,10 @@ ORACLE: dict[str, str] = {
         f"WHERE value IS NOT NULL AND k IS NOT NULL AND event_id % 3 < {n}" for n in (1, 2, 3)),
 }
 ORACLE["linear_arrivals_scores"] = ORACLE["price_linear_scores"]
+ORACLE["listing_dedup"] = ORACLE["listing_clean"]
+ORACLE["landed_compacted"] = ORACLE["stream_listings"]
+ORACLE["stream_dedup"] = "SELECT DISTINCT event_id, user_id, event_type, value, props FROM events"
+ORACLE["stream_report_table"] = f"WITH {_listings()}, " + ", ".join(
+    f"upto{n} AS ({_CLEAN} AND EbayID % 3 < {n})" for n in (1, 2, 3)) + " " + " UNION ALL ".join(
+    f"SELECT {n} AS arrivals, report, key, counts FROM (" + ORACLE["listing_reports"].partition(f"cleaned AS ({_CLEAN}) ")[2]
+    .replace("FROM cleaned", f"FROM upto{n}") + ") r" for n in (1, 2, 3))
