@@ -63,7 +63,8 @@ def distinct_by_digest(df: DataFrame, most_words: int = MOST_WORDS) -> DataFrame
     if not columns:
         return df.distinct()
     first, second = row_digest(df)
-    rows = df.withColumns({"_d0": first, "_d1": second})
+    # The row is one column here, so that no name of its own can clash.
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), first.alias("_d0"), second.alias("_d1"))
     path = scratch_path(spark, "repeated-digests")
     rows.groupBy("_d0", "_d1").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_d0", "_d1").write.parquet(path)
     repeated = spark.read.schema("_d0 long, _d1 long").parquet(path)
@@ -76,5 +77,4 @@ def distinct_by_digest(df: DataFrame, most_words: int = MOST_WORDS) -> DataFrame
     held = F.broadcast(_suspects(repeated, words))  # a row a word at most
     marked = rows.withColumns({"_word": F.pmod("_d0", F.lit(words)), "_bits": _bits(F.col("_d1"))}).join(held, "_word", "left")
     known = F.coalesce(F.col("_held").bitwiseAND(F.col("_bits")) == F.col("_bits"), F.lit(False))
-    here = [F.col(f"`{c}`") for c in columns]
-    return marked.filter(~known).select(*here).unionByName(marked.filter(known).select(*here).distinct())
+    return marked.filter(~known).select("row.*").unionByName(marked.filter(known).select("row.*").distinct())
