@@ -43,7 +43,8 @@ def _sink(args) -> Sink:
         return Sink("jdbc", options=jdbc_options(args.jdbc_url, user=args.jdbc_user,
                                                  password=os.environ.get(args.jdbc_password_env or "", None),
                                                  driver=args.jdbc_driver, batchsize=args.jdbc_batchsize,
-                                                 truncate=True, num_partitions=args.jdbc_partitions))
+                                                 truncate=True, num_partitions=args.jdbc_partitions),
+                    swap=args.jdbc_swap)
     return Sink(args.format, args.out)
 
 
@@ -71,6 +72,7 @@ def _add_sink_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--jdbc-driver")
     p.add_argument("--jdbc-batchsize", type=int, default=10000)
     p.add_argument("--jdbc-partitions", type=int, default=8)
+    p.add_argument("--jdbc-swap", action="store_true", help="replace whole tables in one step, without a gap")
 
 
 def parser() -> argparse.ArgumentParser:

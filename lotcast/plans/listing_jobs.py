@@ -35,7 +35,8 @@ from lotcast.ml.score import score
 from lotcast.operators.clean import clean, split_rejects
 from lotcast.operators.reports import sold_reports, split_report
 from lotcast.session import drop_scratch, scratch_path
-from lotcast.sinks.writers import jdbc_batch_writer, write_table
+from lotcast.sinks.jdbc import jdbc_transaction_writer, replace_table
+from lotcast.sinks.writers import write_table
 from lotcast.sources.readers import read_listings
 from lotcast.streaming.compact import CompactedFolder
 from lotcast.streaming.dedup import without_resent
@@ -69,11 +70,13 @@ REPORT_COLUMNS = {
 class Sink:
     """Where outputs go: ``fmt`` parquet/csv/json/orc under ``root``, or
     ``fmt="jdbc"`` with ``options`` from :func:`lotcast.sinks.jdbc_options`
-    (the table name is the output's name)."""
+    (the table name is the output's name). With ``swap`` a JDBC table that is
+    overwritten is switched in one step (:func:`lotcast.sinks.replace_table`)."""
 
     fmt: str = "parquet"
     root: str | None = None
     options: dict = field(default_factory=dict)
+    swap: bool = False
 
     def target(self, name: str) -> str:
         if self.fmt == "jdbc":
@@ -84,7 +87,10 @@ class Sink:
 
     def write(self, df: DataFrame, name: str, mode: str = "overwrite") -> str:
         target = self.target(name)
-        write_table(df, target, self.fmt, mode, self.options)
+        if self.fmt == "jdbc" and self.swap and mode == "overwrite":
+            replace_table(df, target, self.options)
+        else:
+            write_table(df, target, self.fmt, mode, self.options)
         return target
 
 
@@ -305,9 +311,8 @@ def score_landed_stream(spark: SparkSession, landed_root: str, models: Mapping[s
 
     By default the scores go to the exactly-once file sink at ``out``. With
     a JDBC ``Sink`` they are appended to the table named ``out`` through
-    :func:`lotcast.sinks.jdbc_batch_writer`, which deletes a replayed
-    micro-batch's rows before writing them again. ``max_files_per_trigger``
-    bounds each micro-batch, so a backlog is worked off in steps.
+    :func:`lotcast.sinks.jdbc_transaction_writer`: each micro-batch in one
+    commit, once. ``max_files_per_trigger`` bounds each micro-batch, so a backlog is worked off in steps.
 
     With a ``registry``, ``models`` is not used: every micro-batch takes the
     newest release, and its scores appear in ``out`` (Parquet) whole, with the
@@ -323,6 +328,6 @@ def score_landed_stream(spark: SparkSession, landed_root: str, models: Mapping[s
     if jdbc is not None:
         if jdbc.fmt != "jdbc":
             raise ValueError("jdbc= takes a Sink with fmt='jdbc'")
-        return score_stream_each_batch(typed, models, jdbc_batch_writer(
+        return score_stream_each_batch(typed, models, jdbc_transaction_writer(
             out, jdbc.options, checkpoint_stream_id(spark, checkpoint)), checkpoint, trigger=trigger)
     return score_stream(typed, models, out, checkpoint, trigger=trigger)
