@@ -12,7 +12,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +34,12 @@ def prediction_col(name: str) -> str:
 
 
 def model_prediction_col(model: PipelineModel) -> str:
-    """Prediction column a fitted pipeline writes (read from the model)."""
-    return model.stages[-1].getPredictionCol()
+    """Prediction column a fitted pipeline writes (read from the model; a
+    pipeline that ends in SQL writes its last column)."""
+    last = model.stages[-1]
+    if isinstance(last, SQLTransformer):
+        return last.getStatement().removesuffix(" FROM __THIS__").rpartition(" AS ")[2]
+    return last.getPredictionCol()
 
 
 def _estimators(family: str, prefix: str, features_col: str, label: str, seed: int):

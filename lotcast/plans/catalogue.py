@@ -24,6 +24,7 @@ from lotcast import schemas as S
 from lotcast.functions.bands import band
 from lotcast.functions.casts import cast_lenient, lenient_double, lenient_integral
 from lotcast.functions.codec import decode_messages, encode_messages
+from lotcast.ml.bagging import fit_bagged
 from lotcast.ml.leaderboard import evaluate, evaluated_rows
 from lotcast.ml.least_squares import GrowingFit
 from lotcast.ml.models import CLASSIFICATION, REGRESSION, assembler, fit_all, load_all, prediction_col, save_all, usable
@@ -377,6 +378,18 @@ def price_forest_scores(spark: SparkSession, d: str) -> DataFrame:
     return scored.select("l_orderkey", "l_linenumber", F.round(prediction_col("line_random_forest"), 6).alias("prediction"))
 
 
+def bagged_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Both forests bagged by hashes, saved, loaded and applied: no row is
+    shuffled for them, and they are exact on these features."""
+    lines = _coded(spark, d)
+    models = _stored(spark, {
+        "line_bagged": fit_bagged(lines, ["l_linenumber"], "square", REGRESSION, "line_bagged"),
+        "want_bagged": fit_bagged(lines, ["returned"], "wanted", CLASSIFICATION, "want_bagged")})
+    scored = score(lines.select("l_orderkey", "l_linenumber", "returned"), models)
+    return scored.select("l_orderkey", "l_linenumber", F.round(prediction_col("line_bagged"), 6).alias("square"),
+                         F.col(prediction_col("want_bagged")).alias("wanted"))
+
+
 def sold_scores(spark: SparkSession, d: str) -> DataFrame:
     """All three classifiers on one 0/1 feature: each group's majority, and
     from the logistic model its share."""
@@ -664,6 +677,7 @@ QUERIES: dict[str, Query] = {
     "price_gbt_scores": price_gbt_scores,
     "price_forest_scores": price_forest_scores,
     "sold_scores": sold_scores,
+    "bagged_scores": bagged_scores,
     "price_board": price_board,
     "sold_board": sold_board,
     "evaluation_rows": evaluation_rows,

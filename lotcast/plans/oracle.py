@@ -104,6 +104,8 @@ ORACLE: dict[str, str] = {
                     "round(avg(wanted) OVER (PARTITION BY returned), 5) AS logistic_share, "
                     + ", ".join(f"CAST(avg(wanted) OVER (PARTITION BY returned) > 0.5 AS DOUBLE) AS {m}"
                                 for m in ("logistic", "random_forest", "decision_tree")) + " FROM lines"),
+    "bagged_scores": (f"WITH {_CODED} SELECT l_orderkey, l_linenumber, square, "
+                      "CAST(avg(wanted) OVER (PARTITION BY returned) > 0.5 AS DOUBLE) AS wanted FROM lines"),
     "price_board": (
         f"WITH {_CODED}, fit AS (SELECT regr_slope(square, l_linenumber) AS s, regr_intercept(square, l_linenumber) AS i "
         "FROM lines WHERE l_orderkey % 5 <> 0), errors AS (SELECT square, i + s * l_linenumber - square AS e "
