@@ -249,16 +249,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         measured.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).groupBy("digest")
         .agg(F.min("doc_id").alias("min_id"), F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"),
              F.first("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()), "minhash-units")
-    banded = units.select("node", F.explode("bands").alias("key"))
-    shared = (banded.groupBy("key").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("members"))
+    # The centre of a bucket is its smallest doc_id: of copies that were made
+    # from one text, that is most often the text.
+    banded = units.select("node", "min_id", F.explode("bands").alias("key"))
+    shared = (banded.groupBy("key").agg(F.min("min_id").alias("rep"), F.count(F.lit(1)).alias("members"))
               .filter("members > 1"))
     buckets = materialize(banded.join(shared, "key"), "minhash-buckets")
-    of = units.select("node", "n_shingles", "bits")
+    of = units.select("node", "min_id", "n_shingles", "bits")
     least = least_estimate(percent / 100)
-    stars = buckets.filter("node != rep").select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct()
+    stars = buckets.select("rep", F.col("node").alias("b")).distinct()
     stars = stars.join(of.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("bits").alias("sb")), "b") \
-        .join(of.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("bits").alias("sa")), "a") \
-        .filter((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+        .join(of.select(F.col("node").alias("a"), F.col("min_id").alias("rep"), F.col("n_shingles").alias("na"),
+                        F.col("bits").alias("sa")), "rep") \
+        .filter((F.col("a") != F.col("b")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
                 & (similarity(_equal_fields(F.col("sa"), F.col("sb"))) >= least)).select("a", "b")
     stars = materialize(stars, "minhash-stars")
     wanted = (stars.select(F.explode(F.array("a", "b")).alias("node"))
