@@ -163,6 +163,8 @@ def _best(counts: DataFrame, index, w: np.ndarray, n_docs: int, n_terms: int, k:
 def _ranked(docs: DataFrame, group: list[Row], id_type: str, k: int) -> DataFrame:
     spark = docs.sparkSession
     index = build([r["text"] for r in group])
+    if not index.number:
+        return spark.createDataFrame([], f"item_id {id_type}, rank int, doc_id long, score long")
     shared = spark.sparkContext.broadcast(index)
     counts = materialize(_counts(docs, shared), "lexical-counts")
     n_docs, n_terms, df = _statistics(counts, len(index.number))
