@@ -14,8 +14,8 @@ largest inner product is then the smallest angle.
 Equal vectors are searched once: a distinct vector carries its ``k + 1``
 smallest ids (all that ties to smaller ids can ever return), so a vector that
 a third of the rows share is one candidate and one query. Leaves beyond
-``BLOCK_ROWS`` rows are split into blocks by hash, each met by every query
-that visits the leaf.
+``BLOCK_ROWS`` rows are split into blocks by hash, and so are the queries that
+visit a leaf, by how many there are; a task meets one block of each.
 
 Edge cases: vectors that are NULL, empty, zero or hold a NULL or non-finite
 component, ids that are NULL, and vectors of another length than the most
@@ -46,6 +46,8 @@ VISITS, VISITS_OF = 44, 256
 #: Bytes of planes sent to the tasks, at most; deeper trees are not built.
 PLANE_BYTES = 64 << 20
 BLOCK_ROWS = 8192
+#: Queries of one leaf that one task meets.
+PROBE_ROWS = 8192
 
 
 @dataclass(frozen=True)
@@ -177,39 +179,47 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     forest = fit_forest(sample, total["m"] or 0.0, depth if len(sample) else 0, trees)
     visits = visited(forest.depth, trees) if visits is None else visits
     blocks = max(1, math.ceil(n / (1 << depth) / BLOCK_ROWS))
-    shared = distinct.sparkSession.sparkContext.broadcast(forest)
+    sc = distinct.sparkSession.sparkContext
+    shared = sc.broadcast(forest)
     vec_type = dict(distinct.dtypes)["vec"]
+    leaves_a_tree = 1 << forest.depth
+
+    def ask(batches):
+        for batch in batches:
+            for few in (batch.slice(s, 1024) for s in range(0, batch.num_rows, 1024)):
+                found = shared.value.search(_matrix(few.column("vec")), visits)
+                places = [[t * leaves_a_tree + leaf for t, leaf in f] for f in found]
+                yield pa.RecordBatch.from_arrays(
+                    [few.column("uid"), few.column("vec"), pa.array(places, pa.list_(pa.int32()))], ["query", "vec", "places"])
+
+    asking = materialize(distinct.filter("asked").select("uid", "vec").mapInArrow(
+        ask, f"query string, vec {vec_type}, places array<int>"), "ann-probes")
+    # One row a leaf at most: how many blocks its queries make.
+    parts = {r["place"]: math.ceil(r["count"] / PROBE_ROWS)
+             for r in asking.select(F.explode("places").alias("place")).groupBy("place").count().collect()}
 
     def place(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             leaves = shared.value.leaves(_matrix(batch.column("vec")))
-            block = pa.array([int(u[:8], 16) % blocks for u in batch.column("uid").to_pylist()], pa.int32())
+            block = np.array([int(u[:8], 16) % blocks for u in batch.column("uid").to_pylist()], np.int32)
             for t in range(leaves.shape[1]):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(batch.num_rows, t, np.int32)), pa.array(leaves[:, t].astype(np.int32)), block,
-                     batch.column("min_id"), batch.column("uid"), batch.column("vec")],
-                    ["tree", "leaf", "block", "min_id", "uid", "vec"])
+                at = (t * leaves_a_tree + leaves[:, t]).astype(np.int32)
+                many = np.array([parts.get(p, 0) for p in at.tolist()])
+                for part in range(many.max()):
+                    some = np.flatnonzero(many > part)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(at[some]), pa.array(block[some]), pa.array(np.full(len(some), part, np.int32)),
+                         *[batch.column(c).take(pa.array(some)) for c in ("min_id", "uid", "vec")]],
+                        ["place", "block", "part", "min_id", "uid", "vec"])
 
-    def ask(batches):
-        step = max(1, 200_000 // (visits * blocks))  # probes held at a time
-        for batch in batches:
-            for few in (batch.slice(s, step) for s in range(0, batch.num_rows, step)):
-                found = shared.value.search(_matrix(few.column("vec")), visits)
-                take = [i for i, f in enumerate(found) for _ in f for _ in range(blocks)]
-                where = [(t, leaf, b) for f in found for t, leaf in f for b in range(blocks)]
-                for s in range(0, len(take), 10_000):
-                    part = few.take(pa.array(take[s: s + 10_000], pa.int32()))
-                    at = np.array(where[s: s + 10_000], np.int32).reshape(-1, 3)
-                    yield pa.RecordBatch.from_arrays([pa.array(at[:, 0]), pa.array(at[:, 1]), pa.array(at[:, 2]),
-                                                      part.column("uid"), part.column("vec")],
-                                                     ["tree", "leaf", "block", "query", "vec"])
-
-    where = "tree int, leaf int, block int"
     stored = distinct.select("min_id", "uid", "vec").mapInArrow(
-        place, f"{where}, min_id long, uid string, vec {vec_type}")
-    probes = distinct.filter("asked").select("uid", "vec").mapInArrow(ask, f"{where}, query string, vec {vec_type}")
+        place, f"place int, block int, part int, min_id long, uid string, vec {vec_type}")
+    split = F.broadcast(distinct.sparkSession.createDataFrame(sorted(parts.items()), "place int, parts int"))
+    probes = (asking.select("query", "vec", F.explode("places").alias("place")).join(split, "place")
+              .withColumn("part", F.pmod(F.xxhash64("query"), F.col("parts")).cast("int"))
+              .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).drop("parts"))
 
     def rerank(left: pa.Table, right: pa.Table) -> pa.Table:
         names = ["query", "uid", "min_id", "score"]
@@ -233,7 +243,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
         return pa.table([right["query"].take(pa.array(at, pa.int64())), left["uid"].take(pa.array(chosen)),
                          pa.array(min_id[chosen]), pa.array(np.concatenate(scores))], names)
 
-    keys = ["tree", "leaf", "block"]
+    keys = ["place", "block", "part"]
     found = (stored.groupBy(*keys).cogroup(probes.groupBy(*keys))
              .applyInArrow(rerank, "query string, uid string, min_id long, score double"))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "min_id", "uid")

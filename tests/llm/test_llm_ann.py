@@ -41,6 +41,16 @@ def test_recall_on_vectors_of_any_length(spark):
             assert s == exact
 
 
+def test_blocks_of_rows_and_queries_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = np.r_[rng.standard_normal((900, 8)), rng.standard_normal((300, 8)) * 0.01 + 1].astype(np.float32)
+    df = spark.createDataFrame([(int(i), [float(a) for a in v], 0.0, "x") for i, v in enumerate(x)], SCHEMA)
+    want = _found(ann.nearest(df, F.col("vec_id") % 4 == 0, visits=8))
+    monkeypatch.setattr(ann, "PROBE_ROWS", 7)
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 40)
+    assert _found(ann.nearest(df, F.col("vec_id") % 4 == 0, visits=8)) == want
+
+
 def test_recall_of_a_forest_of_many_leaves(spark, monkeypatch):
     monkeypatch.setattr(ann, "tree_depth", lambda rows, dim, trees: 7)  # as 400,000 rows have
     rng = np.random.default_rng(2)
