@@ -94,6 +94,31 @@ def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
 
 
+#: Tags whose names tell what a container is, and any attributes of others.
+_TELLING = r"(?i)<(/?)(?:article|main|nav|header|footer|aside|form|div)\b[^>]*>"
+
+
+def host_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages with every telling container made a plain ``div``: what is
+    boilerplate then shows only by what the pages of a host repeat."""
+    pages = table(spark, sf_dir, "pages")
+    return html.extract(pages.withColumn("html", F.regexp_replace("html", _TELLING, "<$1div>")))
+
+
+def repeat_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every maximal repeat of 400 bytes or more in the documents, with all
+    its occurrences: ``group_id`` (hex), ``length``, ``doc_id`` and ``starts``
+    (byte offsets, ascending), a row for each document that holds it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = docs.select("doc_id", repeats.row_key(F.col("doc_id"), F.col("text")).alias("rkey"),
+                       F.lit(0).cast("long").alias("scope"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("units"))
+    groups = repeats.repeat_groups(rows.select("rkey", "scope", "units"), repeats.MIN_BYTES)
+    starts = groups.groupBy("group_id", "length", "rkey").agg(F.sort_array(F.collect_list(F.col("start").cast("long"))).alias("starts"))
+    named = rows.select("rkey", "doc_id").distinct()
+    return starts.join(named, "rkey").select(F.lower(F.hex("group_id")).alias("group_id"),
+                                             F.col("length").cast("long").alias("length"), "doc_id", "starts")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
     "op2_licenses": op2_licenses,
@@ -108,6 +133,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_wumanber": op11_wumanber,
     "op12_search": op12_search,
     "op13_negatives": op13_negatives,
+    "host_boilerplate": host_boilerplate,
+    "repeat_passages": repeat_passages,
 }
 
 ORACLE: dict[str, str] = {

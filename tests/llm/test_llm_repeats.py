@@ -122,3 +122,34 @@ def test_query_equals_brute_force(spark):
     docs = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
     got = op10_repeats(spark, sf).orderBy("doc_id").select(*COLUMNS).collect()
     assert [tuple(r) for r in got] == removed_bytes([d["text"] for d in docs], 400)
+
+
+def test_repeat_passages_are_whole_maximal_and_cover_what_is_removed(spark):
+    """The query over whole documents: each group holds every occurrence of
+    its string, no group could be longer on a side, and together they cover
+    what brute force removes."""
+    from brute import removed_bytes
+    from lotcast.llm.queries import repeat_passages
+    sf = "/root/testdata/sf0.001"
+    raw = {r["doc_id"]: (r["text"] or "").encode() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    groups = {}
+    for r in repeat_passages(spark, sf).collect():
+        assert r["starts"] == sorted(set(r["starts"]))
+        groups.setdefault((r["group_id"], r["length"]), []).extend((r["doc_id"], s) for s in r["starts"])
+    covered, seen = {d: bytearray(len(t)) for d, t in raw.items()}, set()
+    whole = "\0".join(t.decode() for t in raw.values()).encode()  # no text holds a NUL
+    for (_, n), at in groups.items():
+        strings = {raw[d][s:s + n] for d, s in at}
+        string, = strings
+        assert len(string) == n >= 400 and string not in seen
+        seen.add(string)
+        count = pos = 0
+        while (pos := whole.find(string, pos) + 1):
+            count += 1
+        assert count == len(at) >= 2
+        for side in ([raw[d][s - 1:s] if s else None for d, s in at], [raw[d][s + n:s + n + 1] or None for d, s in at]):
+            assert None in side or len(set(side)) > 1
+        for d, s in at:
+            covered[d][s:s + n] = b"\1" * n
+    for (d, t), (_, gone, _, _) in zip(raw.items(), removed_bytes([t.decode() for t in raw.values()], 400)):
+        assert sum(covered[d]) == gone
