@@ -17,7 +17,8 @@ FAST = ["bucket_activity", "bucket_price", "bucket_ratio", "weekday_counts", "to
         "encode_decode", "csv_round_trip", "landed_csv", "price_linear_scores", "reg_metrics", "clf_metrics", "reg_metrics_multi",
         "class_recall", "linear_fit", "stream_ingest", "stream_score", "price_gbt_scores", "price_forest_scores",
         "sold_scores", "price_board", "sold_board", "evaluation_rows", "listing_clean", "listing_reports",
-        "listing_features", "listing_rejects", "stream_listings"]
+        "listing_features", "listing_rejects", "stream_listings", "listing_dedup", "landed_compacted", "stream_dedup",
+        "stream_report_table", "stream_releases", "stream_six_models", "linear_arrivals", "linear_arrivals_scores", "bagged_scores"]
 
 
 def _norm(v):

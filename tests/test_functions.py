@@ -127,3 +127,15 @@ def test_one_message_is_one_object(spark):
     got = decode_messages(df, S.all_strings(["EbayID"]), keep=["i"]).orderBy("i").collect()
     assert [r["EbayID"] for r in got] == [None] * 9 + ["3", None]
     assert [r["_corrupt_record"] for r in got] == [t or "" for t in texts[:9]] + [None, None]
+
+
+def test_text_behind_an_object_is_never_passed(spark):
+    """Braces in values and nested objects are fine; anything behind the
+    object is not."""
+    good = ['{"k": 1}', ' {"k": 1} \n', '{"k": 1, "t": "a}b{"}', '{"k": 1, "n": {"m": {}}}', "{}", '{"t": "}"}']
+    bad = ['{"k":1}{"k":2}', '{"k":1},{"k":2}', '{"k":1}]', '{"k":1}] , [{"k":1}', '{"k":1}]}', '{"k":1},0', '{"k":1} x', '{"k":1',
+           '[{"k":1}]', "0", "", " ", None, '{"k": "x"}']
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(good + bad)], "i int, value string")
+    got = {r["i"]: r["_corrupt_record"] for r in decode_messages(df, StructType([StructField("k", IntegerType())]), keep=["i"]).collect()}
+    assert [got[i] for i in range(len(good))] == [None] * len(good)
+    assert [got[len(good) + i] for i in range(len(bad))] == [v or "" for v in bad]
