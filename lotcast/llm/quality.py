@@ -196,14 +196,14 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The probably good documents, with their own columns only. The texts
-    are measured once: rows are written with their measures, votes are counted
-    on those columns alone and rows are judged one by one, so no text is
-    shuffled. The base test is left out: the posterior stands in place of "all
-    rules must pass", so short or repetitive documents stay where the other
-    rules outvote it. A NULL text is judged as an empty one; repeated rows stay
-    or go together; no rows give none."""
-    rows = materialize(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                                   text_stats(F.col(text_col)).alias("stats")), "quality-rows")
-    model = fit_votes(rows.select("stats"))
-    return rows.filter(model.posterior(votes(F.col("stats"))) >= threshold).select("row.*")
+    """The probably good documents, with their own columns only. One pass
+    counts votes, a second judges row by row: no text is shuffled, and none is
+    written for the second pass (rows with their measures would take the input's
+    size on disk once more). The base test is left out: the posterior stands in
+    place of "all rules must pass", so short or repetitive documents stay where
+    the other rules outvote it. A NULL text is judged as an empty one; repeated
+    rows stay or go together; no rows give none."""
+    model = fit_votes(docs.select(text_stats(F.col(text_col)).alias("stats")))
+    return (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                        text_stats(F.col(text_col)).alias("stats"))
+            .filter(model.posterior(votes(F.col("stats"))) >= threshold).select("row.*"))
