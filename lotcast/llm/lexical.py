@@ -40,7 +40,8 @@ from lotcast.llm.best import Best
 from lotcast.llm.common import materialize
 from lotcast.llm.terms import ITEM_BYTES, item_groups, terms, utf8
 
-#: Cells of the (document, item) scores held at a time in a task.
+#: Cells of the (document, item) scores held at a time in a task, and
+#: entries of the index that its documents reach.
 CELLS = 1 << 21
 #: Parts of an item's heaps that are merged first.
 SALTS = 64
@@ -137,6 +138,18 @@ def _scores(index: Index, w: np.ndarray, m: np.ndarray, sizes: np.ndarray, which
     return total.reshape(len(sizes), index.n_items)
 
 
+def _cuts(reached: np.ndarray, most_docs: int) -> Iterator[tuple[int, int]]:
+    """Stretches of documents that reach ``CELLS`` entries of the index at
+    most (one document may reach the whole index, no more)."""
+    total = np.cumsum(np.r_[0, reached])
+    start = 0
+    while start < len(reached):
+        end = int(np.searchsorted(total, total[start] + CELLS, "right")) - 1
+        end = min(max(end, start + 1), start + most_docs, len(reached))
+        yield start, end
+        start = end
+
+
 def _best(counts: DataFrame, index, w: np.ndarray, n_docs: int, n_terms: int, k: int) -> DataFrame:
     """The best ``k`` documents of every item in each task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +157,11 @@ def _best(counts: DataFrame, index, w: np.ndarray, n_docs: int, n_terms: int, k:
         heaps = Best(held.n_items, k, np.ones(held.n_items), ties=2, score_type=float)
         step = max(1, CELLS // held.n_items)
         for batch in batches:
-            for few in (batch.slice(s, step) for s in range(0, batch.num_rows, step)):
+            column = batch.column("terms")
+            which = column.flatten().to_numpy()
+            ends = np.cumsum(np.r_[0, held.starts[which + 1] - held.starts[which]])
+            reached = np.diff(ends[column.offsets.to_numpy() - column.offsets[0].as_py()])
+            for few in (batch.slice(s, e - s) for s, e in _cuts(reached, step)):
                 ids = few.column("doc_id")
                 sizes = np.diff(few.column("terms").offsets.to_numpy())
                 m = 100 - 25 + 25 * few.column("n").to_numpy() * n_docs // n_terms
@@ -185,7 +202,6 @@ def rank(docs: DataFrame, items: DataFrame, k: int = 20, id_col: str = "doc_id",
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(F.col(text_col)).alias("raw"))
     id_type = items.select(item_col).schema[0].dataType.simpleString()
     groups = item_groups(items, item_col, item_text, limit)
-    parts = [_ranked(slim, g.collect(), id_type, k) for g in groups]
-    if len(parts) > 1:
-        parts = [materialize(p, "lexical-ranked") for p in parts]
-    return reduce(DataFrame.unionByName, parts)
+    if len(groups) == 1:
+        return _ranked(slim, groups[0].collect(), id_type, k)
+    return reduce(DataFrame.unionByName, [materialize(_ranked(slim, g.collect(), id_type, k), "lexical-ranked") for g in groups])

@@ -65,6 +65,15 @@ def test_edges(spark):
     assert [r["rank"] for r in lexical.rank(d, i, k=1).collect()] == [1]
 
 
+def test_cuts_bound_what_a_block_reaches(monkeypatch):
+    monkeypatch.setattr(lexical, "CELLS", 10)
+    rng = np.random.default_rng(0)
+    for reached in ([], [0, 0, 0], [30], [4, 4, 4, 30, 1, 9], rng.integers(0, 9, 50).tolist()):
+        cuts = list(lexical._cuts(np.array(reached, int), 4))
+        assert [k for s, e in cuts for k in range(s, e)] == list(range(len(reached)))
+        assert all(e - s <= 4 and (e - s == 1 or sum(reached[s:e]) <= 10) for s, e in cuts)
+
+
 def test_sums_beyond_doubles_stay_whole(monkeypatch):
     index = lexical.build([b"a " * 3, b"a b"])
     w = np.array([5, 7])
