@@ -27,9 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lotcast.ml.models import assembler, prediction_col, usable
-from lotcast.sinks.commits import names, read_text, write_new
+from lotcast.sinks.commits import checkpoint_stream_id, names, read_text, write_new
 from lotcast.streaming.ingest import _trigger
-from lotcast.streaming.scoring import checkpoint_stream_id
 
 
 @dataclass(frozen=True)

@@ -93,6 +93,14 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def checkpoint_stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that owns ``checkpoint``: made with the
+    checkpoint, kept in it, and gone with it."""
+    path = f"{checkpoint.rstrip('/')}/lotcast-stream-id"
+    write_new(spark, path, uuid.uuid4().hex)
+    return read_text(spark, path)
+
+
 class Documents:
     """Numbered JSON documents in a folder; the highest number counts.
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.ml import PipelineModel
@@ -14,7 +13,7 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from lotcast.ml.models import prediction_col
 from lotcast.ml.registry import Registry
 from lotcast.ml.score import score
-from lotcast.sinks.commits import BatchFolder, delete, exists, names, read_text, write_new
+from lotcast.sinks.commits import BatchFolder, checkpoint_stream_id, delete, exists, names, read_text, write_new
 from lotcast.streaming.ingest import _trigger, stream_to_files
 
 VERSION_COL = "model_version"
@@ -86,20 +85,3 @@ def read_released_scores(spark: SparkSession, out: str, columns: StructType, mod
     """What :func:`score_stream_released` wrote for input ``columns``."""
     added = [StructField(prediction_col(m), DoubleType()) for m in models]
     return BatchFolder(spark, out).read(StructType([*columns.fields, *added, StructField(version_col, LongType())]))
-
-
-def checkpoint_stream_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id of the stream that owns ``checkpoint``: made with the
-    checkpoint, kept in it, and gone with it."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(checkpoint, "lotcast-stream-id")
-    fs = path.getFileSystem(conf)
-    if not fs.exists(path):
-        out = fs.create(path, False)
-        out.writeUTF(uuid.uuid4().hex)
-        out.close()
-    stream = fs.open(path)
-    try:
-        return stream.readUTF()
-    finally:
-        stream.close()
