@@ -153,3 +153,17 @@ def test_repeat_passages_are_whole_maximal_and_cover_what_is_removed(spark):
             covered[d][s:s + n] = b"\1" * n
     for (d, t), (_, gone, _, _) in zip(raw.items(), removed_bytes([t.decode() for t in raw.values()], 400)):
         assert sum(covered[d]) == gone
+
+
+def test_root_places_grow_with_the_repeats_not_with_their_bytes(spark):
+    """Two long copies have one place for a root each, not one for each of
+    their windows, and a repeat is a row for each text that holds it."""
+    rng = random.Random(5)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(20_000)).encode()
+    rows = spark.createDataFrame([(b"1", 0, b"x" + long), (b"2", 0, b"yy" + long)], "rkey binary, scope long, units binary")
+    places = {r["rkey"]: {a + p["s"] for p in r["places"] for a in p["starts"]} for r in repeats._root_places(rows, 400, 1).collect()}
+    assert 1 in places[b"1"] and 2 in places[b"2"] and max(map(len, places.values())) < 200
+    line = bytes(rng.choice(b"abcdefgh ") for _ in range(100))
+    rows = spark.createDataFrame([(b"1", 0, line * 9)], "rkey binary, scope long, units binary")
+    got = repeats.grouped_repeats(rows, 100).collect()
+    assert sorted((r["length"], r["starts"]) for r in got) == [(100 * n, list(range(0, 1000 - 100 * n, 100))) for n in range(1, 9)]
