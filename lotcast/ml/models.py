@@ -3,6 +3,7 @@ cached assembly, saved and loaded as self-contained PipelineModels."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -24,6 +25,12 @@ from lotcast.operators.clean import reject_free
 FOREST_TREES = S.FOREST_TREES
 SEED = S.SEED
 
+#: Rows of a partition that a fit is dealt into (Spark keeps a few hundred bytes
+#: for each row of a tree's training set).
+FIT_ROWS = 1_000_000
+#: Output column of the number of equal rows that a training row stands for.
+COPIES = "_copies"
+
 REGRESSION = "regression"
 CLASSIFICATION = "classification"
 
@@ -84,7 +91,8 @@ def usable(df: DataFrame, features: Sequence[str], label: str) -> Column:
 
 def fit_all(df: DataFrame, features: Sequence[str], label: str, family: str,
             prefix: str | None = None, seed: int = SEED,
-            only: Sequence[str] | None = None, fit_partitions: int | None = None) -> dict[str, PipelineModel]:
+            only: Sequence[str] | None = None, fit_partitions: int | None = None,
+            group_equal: bool = False) -> dict[str, PipelineModel]:
     """Fit the family's three models; return name -> PipelineModel.
 
     Rows that are not :func:`usable` are left out by an explicit filter; call
@@ -94,11 +102,17 @@ def fit_all(df: DataFrame, features: Sequence[str], label: str, family: str,
 
     Spark seeds bootstrap and split sampling by partition, so a forest
     depends on the input's partitioning. ``fit_partitions`` fixes it: the rows
-    are dealt by a hash of their values into so many partitions and sorted
-    within, so equal inputs give equal models on any cluster (rows with few
-    different values fill few of them). By default the input's own partitioning
+    are dealt by a hash of their values into so many partitions, more if there
+    are over ``FIT_ROWS`` rows for each, and sorted within, so equal inputs give
+    equal models on any cluster. Of rows equal in all values every ``FIT_ROWS``
+    go on to the next partition. By default the input's own partitioning
     stays. Each returned pipeline is [assembler,
     model], so it scores raw rows by itself.
+
+    ``group_equal`` is for rows with few different values: models that draw no
+    rows are fitted on the different rows, weighted by how often each is there,
+    which is the same fit but for the order in which sums are added up. Forests
+    draw from all rows.
     """
     prefix = prefix or family
     features_col = f"{prefix}_features"
@@ -107,14 +121,37 @@ def fit_all(df: DataFrame, features: Sequence[str], label: str, family: str,
     rows = df.select(*features, F.col(label).cast("double").alias(label))
     rows = rows.where(usable(rows, features, label))
     if fit_partitions is not None:
-        rows = rows.repartition(fit_partitions, *rows.columns).sortWithinPartitions(*rows.columns)
+        rows = _dealt(rows, fit_partitions)
+    drawing = [n for n, e in named if not group_equal or isinstance(e, (RandomForestRegressor, RandomForestClassifier))]
     training = asm.transform(rows).select(features_col, label)
-    if len(named) > 1:
+    if len(drawing) > 1:
         training = training.persist(StorageLevel.MEMORY_AND_DISK)
+    weighted = asm.transform(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).cast("double").alias(COPIES))) \
+        .select(features_col, label, COPIES)
+    if len(named) > len(drawing):
+        weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return {name: PipelineModel(stages=[asm, est.fit(training)]) for name, est in named}
+        return {name: PipelineModel(stages=[asm, est.fit(training) if name in drawing
+                                            else est.setWeightCol(COPIES).fit(weighted)])
+                for name, est in named}
     finally:
         training.unpersist()
+        weighted.unpersist()
+
+
+def _dealt(rows: DataFrame, least: int) -> DataFrame:
+    """Rows in ``least`` partitions or more by a hash of their values."""
+    columns = rows.columns
+    copies = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias(COPIES))
+    total = rows.count()
+    parts = max(least, math.ceil(total / FIT_ROWS))
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(COPIES) - 1) / FIT_ROWS)))
+    blocks = copies.select("*", block.alias("_block"))
+    held = F.least(F.lit(FIT_ROWS), F.col(COPIES) - F.col("_block") * FIT_ROWS)
+    dealt = blocks.select(*columns, held.cast("int").alias(COPIES), F.pmod(F.hash(*columns) + F.col("_block"), F.lit(parts))
+                          .cast("int").alias("_part"))
+    dealt = dealt.repartitionById(parts, F.col("_part")).sortWithinPartitions(*columns)
+    return dealt.select(*columns, F.explode(F.array_repeat(F.lit(0), F.col(COPIES))).alias("_copy")).select(*columns)
 
 
 def save_all(models: dict[str, PipelineModel], root: str) -> dict[str, str]:

@@ -57,8 +57,8 @@ K_SCHEMA = StructType([StructField("k", IntegerType(), True)])
 PRICE_INPUTS = ["l_quantity", "l_discount", "l_tax"]
 PRICE_LABEL = "l_extendedprice"
 SPLIT = [0.8, 0.2]
-#: Partitions that the fits on lineitem are dealt into, whatever the cluster
-#: (a forest depends on it; see ``fit_all``).
+#: Partitions at least that the fits on lineitem are dealt into, whatever the
+#: cluster (a forest depends on it; see ``fit_all``).
 FIT_PARTITIONS = 8
 
 
@@ -394,7 +394,7 @@ def sold_scores(spark: SparkSession, d: str) -> DataFrame:
     """All three classifiers on one 0/1 feature: each group's majority, and
     from the logistic model its share."""
     lines = _coded(spark, d)
-    models = _stored(spark, fit_all(lines, ["returned"], "wanted", CLASSIFICATION, prefix="want"))
+    models = _stored(spark, fit_all(lines, ["returned"], "wanted", CLASSIFICATION, prefix="want", group_equal=True))
     scored = score(lines.select("l_orderkey", "l_linenumber", "returned"), models, keep_vectors=True)
     return scored.select("l_orderkey", "l_linenumber",
                          F.round(vector_to_array("want_logistic_probability")[1], 5).alias("logistic_share"),
@@ -409,7 +409,8 @@ def price_board(spark: SparkSession, d: str) -> DataFrame:
     """Three regressors trained on four fifths of the orders and ranked on
     the rest, on the line number."""
     lines = _coded(spark, d)
-    models = fit_all(lines.where(~_fifth()), ["l_linenumber"], "square", REGRESSION, prefix="board")
+    models = fit_all(lines.where(~_fifth()), ["l_linenumber"], "square", REGRESSION, prefix="board",
+                     group_equal=True)
     board = evaluate(models, lines.where(_fifth()), "square", REGRESSION)
     return board.select("id", "algorithm_name", *[F.round(c, 6).alias(c) for c in ("rmse", "mse", "r2", "mae")])
 
@@ -417,7 +418,8 @@ def price_board(spark: SparkSession, d: str) -> DataFrame:
 def sold_board(spark: SparkSession, d: str) -> DataFrame:
     """Three classifiers, trained and ranked in the same way."""
     lines = _coded(spark, d)
-    models = fit_all(lines.where(~_fifth()), ["returned"], "wanted", CLASSIFICATION, prefix="board")
+    models = fit_all(lines.where(~_fifth()), ["returned"], "wanted", CLASSIFICATION, prefix="board",
+                     group_equal=True)
     board = evaluate(models, lines.where(_fifth()), "wanted", CLASSIFICATION)
     return board.select("id", "algorithm_name", *[F.round(c, 9).alias(c) for c in ("accurate_rate", "recall_rate", "f1_score")])
 
@@ -607,8 +609,8 @@ def stream_six_models(spark: SparkSession, d: str) -> DataFrame:
     features where each fit equals a plain aggregate."""
     lines = _coded(spark, d)
     registry = Registry(spark, scratch_path(spark, "registry"))
-    price = fit_all(lines, ["l_linenumber"], "square", REGRESSION, prefix="price")
-    sold = fit_all(lines, ["returned"], "wanted", CLASSIFICATION, prefix="sold")
+    price = fit_all(lines, ["l_linenumber"], "square", REGRESSION, prefix="price", group_equal=True)
+    sold = fit_all(lines, ["returned"], "wanted", CLASSIFICATION, prefix="sold", group_equal=True)
     registry.publish({**price, **sold})
     columns = ["l_orderkey", "l_linenumber", "returned"]
     source, out = scratch_path(spark, "six_source"), scratch_path(spark, "six_scores")

@@ -168,3 +168,31 @@ def test_score_uses_the_models_own_prediction_column(spark):
     m = fit_all(df, ["x"], "y", REGRESSION, prefix="t", only=["t_linear"])["t_linear"]
     out = score(df, {"any name": m})
     assert "t_linear_prediction" in out.columns and out.count() == 3
+
+
+def test_equal_rows_are_fitted_as_one_with_a_weight(spark, monkeypatch):
+    from lotcast.ml import models as M
+    df = spark.createDataFrame([(float(i % 4), float(i % 4 * 10 + (i % 3 == 0))) for i in range(300)], "x double, y double")
+    rows = []
+    fit = M.GBTRegressor.fit
+    monkeypatch.setattr(M.GBTRegressor, "fit", lambda self, data: rows.append(data.count()) or fit(self, data))
+    plain, grouped = (fit_all(df, ["x"], "y", REGRESSION, prefix="t", group_equal=g) for g in (False, True))
+    assert rows == [300, 8]
+    a, b = (score(df, m).distinct().orderBy("x").collect() for m in (plain, grouped))
+    for p, q in zip(a, b):
+        assert p["t_random_forest_prediction"] == q["t_random_forest_prediction"]
+        assert abs(p["t_linear_prediction"] - q["t_linear_prediction"]) < 1e-9
+        assert abs(p["t_gbt_prediction"] - q["t_gbt_prediction"]) < 1e-9
+
+
+def test_dealt_partitions_grow_in_number_not_in_rows(spark, monkeypatch):
+    """As before up to so many rows for each; beyond that there are more, also
+    of rows that are all equal."""
+    from lotcast.ml import models as M
+    df = spark.createDataFrame([(float(i % 17), float(i * 7 % 23)) for i in range(600)] + [(1.0, 1.0)] * 400, "x double, y double")
+    parts = lambda rows: [[tuple(r) for r in p] for p in rows.rdd.glom().collect()]
+    assert parts(M._dealt(df, 3)) == parts(df.repartition(3, "x", "y").sortWithinPartitions("x", "y"))
+    monkeypatch.setattr(M, "FIT_ROWS", 50)
+    dealt = parts(M._dealt(df, 3))
+    assert len(dealt) == 20 and max(map(len, dealt)) < 150
+    assert sorted(r for p in dealt for r in p) == sorted(map(tuple, df.collect()))
