@@ -10,7 +10,13 @@ where they are, with the draw as ``weightCol`` and without sampling of its own.
 A tree is a fit of its own, so a forest reads its training rows (bin numbers,
 label and one hash, persisted) ``trees`` times as often as Spark's forest,
 which grows all trees at once; ``parallel`` of them run at a time. In exchange
-nothing is moved, and the model doesn't change with cores or partitions.
+no row is moved, and the model doesn't change with cores or partitions.
+
+Rows with equal bins and label are alike to a tree but for their draws. If the
+different ones are ``GROUPED_ROWS`` at most (the sample tells whether that may
+be), one pass adds up their draws for all trees, only the sums are moved, and a
+tree is fitted on those: the same tree, but the rows are read once and not for
+each tree.
 
 Draws are made of all columns of the row that is given: leave an id among them,
 or rows that are equal in everything get one weight. Sums of labels are added
@@ -38,6 +44,9 @@ from lotcast.ml.models import CLASSIFICATION, FOREST_TREES, REGRESSION, SEED, as
 #: Rows that bins are made from, at most (a bound for the driver).
 SAMPLE_ROWS = 10_000
 BINS = 32
+#: Rows with different bins or label, at most, for which their draws are added
+#: up (Spark looks at all of so many rows for its bins, so none is missed).
+GROUPED_ROWS = 10_000
 _RARE = 64
 # Poisson(1): the probability of at most 0, 1, 2, ... draws.
 _UP_TO = np.cumsum([np.exp(-1.0) / f for f in (1, 1, 2, 6, 24, 120, 720, 5040, 40320)]).tolist()
@@ -65,17 +74,29 @@ def cuts(values: np.ndarray, bins: int = BINS) -> list[float]:
     return out
 
 
-def _borders(rows: DataFrame, features: Sequence[str], bins: int) -> list[list[float]]:
+def _borders(rows: DataFrame, features: Sequence[str], label: str, bins: int) -> tuple[list[list[float]], int]:
     """Bin borders of every feature, from the rows with the smallest hashes
-    (each task sends ``SAMPLE_ROWS`` at most)."""
-    few = rows.select("_hash", *features).orderBy(F.xxhash64("_hash"), "_hash", *features).limit(SAMPLE_ROWS).collect()
+    (each task sends ``SAMPLE_ROWS`` at most), and how many rows with different
+    bins or label are among those."""
+    few = rows.select("_hash", *features, label).orderBy(F.xxhash64("_hash"), "_hash", *features).limit(SAMPLE_ROWS).collect()
     if not few:
         raise ValueError("no usable rows to fit on")
-    out = []
+    out, bin_of = [], []
     for c in features:
-        inner = cuts(np.array([float(r[c]) for r in few]), bins)
+        values = np.array([float(r[c]) for r in few])
+        inner = cuts(values, bins)
         out.append([float("-inf"), *(inner or [float(few[0][c])]), float("inf")])
-    return out
+        bin_of.append(np.searchsorted(out[-1][1:-1], values, "right"))
+    return out, len(set(zip(*bin_of, (r[label] for r in few))))
+
+
+def _sums(rows: DataFrame, by: Sequence[str], trees: int, seed: int) -> DataFrame | None:
+    """The different rows with their draws for every tree added up, or None if
+    they are more than ``GROUPED_ROWS``. They go through the driver, so that no
+    fit shuffles."""
+    summed = rows.groupBy(*by).agg(*[F.sum(draws(F.col("_hash"), t, seed)).alias(f"_draws{t}") for t in range(trees)])
+    held = summed.limit(GROUPED_ROWS + 1).collect()
+    return rows.sparkSession.createDataFrame(sorted(held), summed.schema) if len(held) <= GROUPED_ROWS else None
 
 
 def _combined(family: str, name: str, trees: int) -> SQLTransformer:
@@ -99,9 +120,15 @@ def fit_bagged(df: DataFrame, features: Sequence[str], label: str, family: str,
     rows = df.where(usable(df, features, label)).select(
         *features, F.col(label).cast("double").alias(label), F.xxhash64(*df.columns).alias("_hash"))
     inner = [f"{name}_bin{i}" for i in range(len(features))]
-    binned = Bucketizer(splitsArray=_borders(rows, features, bins), inputCols=features, outputCols=inner, handleInvalid="keep")
+    borders, different = _borders(rows, features, label, bins)
+    binned = Bucketizer(splitsArray=borders, inputCols=features, outputCols=inner, handleInvalid="keep")
     vector = VectorAssembler(inputCols=inner, outputCol=f"{name}_bins", handleInvalid="keep")
-    training = vector.transform(binned.transform(rows)).select(f"{name}_bins", label, "_hash").persist(StorageLevel.MEMORY_AND_DISK)
+    slim = binned.transform(rows).select(*inner, label, "_hash")
+    sums = _sums(slim, [*inner, label], trees, seed) if different <= GROUPED_ROWS // 4 else None
+    if sums is None:
+        training = vector.transform(slim).select(f"{name}_bins", label, "_hash").persist(StorageLevel.MEMORY_AND_DISK)
+    else:
+        training = vector.transform(sums).drop(*inner)
 
     def fit(tree: int):
         common = dict(featuresCol=f"{name}_bins", labelCol=label, predictionCol=f"{name}_tree{tree}", weightCol="_draws",
@@ -113,7 +140,8 @@ def fit_bagged(df: DataFrame, features: Sequence[str], label: str, family: str,
                                             probabilityCol=f"{name}_tree{tree}_probability", **common)
         else:
             raise ValueError(f"unknown family {family!r}")
-        return forest.fit(training.withColumn("_draws", draws(F.col("_hash"), tree, seed)).where("_draws > 0"))
+        drawn = draws(F.col("_hash"), tree, seed) if sums is None else F.col(f"_draws{tree}")
+        return forest.fit(training.select(f"{name}_bins", label, drawn.alias("_draws")).where("_draws > 0"))
 
     try:
         with ThreadPoolExecutor(parallel) as pool:

@@ -119,3 +119,17 @@ def test_cuts_leave_no_rare_bin():
         sizes = np.bincount(np.searchsorted(inner, values), minlength=len(inner) + 1)
         assert len(inner) < 32 and (sizes >= len(values) / 64).all()
     assert cuts(np.arange(9.0)) == [i + 0.5 for i in range(8)]
+
+
+def test_rows_with_equal_bins_are_added_up_to_the_same_trees(spark, monkeypatch):
+    from lotcast.ml import bagging as B
+    df = spark.range(3_000).select("id", (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 7 * 10 + F.col("id") % 2)
+                                   .cast("double").alias("y"))
+    rows = []
+    fit = B.RandomForestRegressor.fit
+    monkeypatch.setattr(B.RandomForestRegressor, "fit", lambda self, data: rows.append(data.count()) or fit(self, data))
+    few = fit_bagged(df, ["x"], "y", REGRESSION, "m", trees=2)
+    assert max(rows) == 14
+    monkeypatch.setattr(B, "GROUPED_ROWS", 3)
+    many = fit_bagged(df, ["x"], "y", REGRESSION, "m", trees=2)
+    assert max(rows) > 1_000 and _trees(few) == _trees(many)
