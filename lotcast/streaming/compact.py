@@ -9,6 +9,10 @@ and the files they stand for. Readers take the newest document and the sink's
 committed files, read the generations and whatever is not covered, and so meet
 every row once before, during and after a compaction.
 
+Files are rewritten partition by partition, each without its partition columns,
+so rows stream from reader to writer: a write by partition values would sort
+all rows of a task first.
+
 Generations are merged when ``FAN_IN`` of one level have come together, so a row
 is rewritten once a level: as often as the logarithm of the history.
 """
@@ -19,6 +23,7 @@ import math
 import uuid
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -64,10 +69,17 @@ class CompactedFolder:
         parts = [self._folder(f["name"]) for f in state["folders"]] + ([self._files(small)] if small else [])
         return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], self.schema)
 
-    def _write(self, rows: DataFrame, bytes_in: int, target_bytes: int, level: int) -> dict:
+    def _write(self, files: Sequence[str], target_bytes: int, level: int) -> dict:
         name = uuid.uuid4().hex
-        few = rows.coalesce(max(1, math.ceil(bytes_in / target_bytes)))  # no shuffle
-        few.write.partitionBy(*self.partition_by).parquet(f"{self.root}/data/{name}")
+        folders: dict[str, list[str]] = {}
+        for file in files:
+            parts = file.split("/")
+            folders.setdefault(unquote("/".join(parts[len(parts) - 1 - len(self.partition_by): -1])), []).append(file)
+        inside = StructType([f for f in self.schema if f.name not in self.partition_by])
+        for folder, own in sorted(folders.items()):
+            tasks = max(1, math.ceil(sum(size(self.spark, f) for f in own) / target_bytes))
+            few = self.spark.read.schema(inside).parquet(*own).coalesce(tasks)  # no shuffle
+            few.write.parquet(f"{self.root}/data/{name}/{folder}".rstrip("/"))
         return {"name": name, "level": level, "bytes": size(self.spark, f"{self.root}/data/{name}")}
 
     def compact(self, target_bytes: int = TARGET_BYTES, fan_in: int = FAN_IN, least_files: int = 2) -> int | None:
@@ -81,12 +93,11 @@ class CompactedFolder:
         if len(small) < least_files:
             return None
         folders = list(state["folders"])
-        new = [self._write(self._files(small), sum(size(self.spark, f) for f in small), target_bytes, 0)]
+        new = [self._write(small, target_bytes, 0)]
         folders += new
         level = 0
         while len(same := [f for f in folders if f["level"] == level]) >= fan_in:
-            rows = reduce(DataFrame.unionByName, [self._folder(f["name"]) for f in same])
-            merged = self._write(rows, sum(f["bytes"] for f in same), target_bytes, level + 1)
+            merged = self._write([x for f in same for x in self._folder(f["name"]).inputFiles()], target_bytes, level + 1)
             new.append(merged)
             folders = [f for f in folders if f["level"] != level] + [merged]
             level += 1

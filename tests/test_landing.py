@@ -151,3 +151,20 @@ def test_two_writers_lose_no_key(spark, monkeypatch):
     monkeypatch.setattr(ReportTable, "_rows", meanwhile)
     table.merge(spark.createDataFrame([("r", "mine", 1)], schema))
     assert _counts(table.read()) == {("r", "mine"): 1, ("r", "other"): 2}
+
+
+def test_compaction_sorts_no_rows(spark, monkeypatch):
+    """Rows go from reader to writer partition by partition; a write by
+    partition values would sort a task's rows first."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    root = scratch_path(spark, "t_unsorted")
+    schema = _land(spark, root, 0, 60)
+    folder = CompactedFolder(spark, f"{root}/landed", f"{root}/gen", schema, ["p"])
+
+    def partition_by(self, *columns):
+        raise AssertionError("sorts")
+
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", partition_by)
+    assert folder.compact() == 1
+    assert sorted(f.split("/")[-2] for f in folder.read().inputFiles()) == ["p=false", "p=true"]
+    assert _xs(folder.read()) == list(range(60))
