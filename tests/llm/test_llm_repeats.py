@@ -6,6 +6,7 @@ import pytest
 from brute import removed_bytes
 
 from lotcast.llm import repeats
+from lotcast.session import drop_scratch
 
 COLUMNS = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
@@ -167,3 +168,28 @@ def test_root_places_grow_with_the_repeats_not_with_their_bytes(spark):
     rows = spark.createDataFrame([(b"1", 0, line * 9)], "rkey binary, scope long, units binary")
     got = repeats.grouped_repeats(rows, 100).collect()
     assert sorted((r["length"], r["starts"]) for r in got) == [(100 * n, list(range(0, 1000 - 100 * n, 100))) for n in range(1, 9)]
+
+
+@pytest.mark.parametrize("across_rows", [False, True])
+def test_grams_that_occur_once_go_no_further_and_scratch_goes(spark, monkeypatch, tmp_path, across_rows):
+    """Only anchors of repeated grams reach the buckets, and once the spans
+    are known nothing else stays on the disk."""
+    monkeypatch.setattr("lotcast.session.scratch_root", lambda _: f"file:{tmp_path}")
+    rng = random.Random(9)
+    passage, inner = ["".join(rng.choice("abcdefgh ") for _ in range(700)) for _ in range(2)]
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(9000)) for _ in range(6)]
+    texts[1] += passage
+    texts[4] = passage + texts[4]
+    texts[5] = inner + texts[5] + inner  # repeats in one row only
+    rows = spark.createDataFrame([(bytes([i]), 0, t.encode()) for i, t in enumerate(texts)],
+                                 "rkey binary, scope long, units binary")
+    anchors = repeats._buckets(rows, 400, 1, across_rows)[0].collect()
+    assert {r["rkey"][0] for r in anchors} == ({1, 4} if across_rows else {1, 4, 5})
+    assert 0 < len(anchors) < 30 < repeats._anchors(rows, 400, 1).count()
+    for folder in list((tmp_path / "lotcast").iterdir()):
+        drop_scratch(spark, f"file:{folder}")
+    spans = repeats.find_repeats(rows, 400, across_rows=across_rows)
+    assert [p.name.rsplit("-", 1)[0] for p in (tmp_path / "lotcast").iterdir()] == ["repeat-spans"]
+    covered = {r["rkey"][0]: sorted(repeats.stretches(r["spans"])) for r in spans.collect()}
+    assert {d: (s[0][0], max(e for _, e in s)) for d, s in covered.items()} == {
+        1: (9000, 9700), 4: (0, 700), **({} if across_rows else {5: (0, 10400)})}
