@@ -125,6 +125,29 @@ def test_query_equals_brute_force(spark):
     assert [tuple(r) for r in got] == removed_bytes([d["text"] for d in docs], 400)
 
 
+def test_query_takes_planted_passages_of_400_bytes_and_leaves_shorter_ones(spark, tmp_path):
+    """Bytes decide, not words: passages of 55 words that two documents hold
+    go from 400 bytes on, and ``text`` is what is left. ``n_bytes`` is the
+    input's size whatever goes."""
+    import hashlib
+
+    from lotcast.llm.queries import op10_repeats
+    rng = random.Random(11)
+    words = lambda n, size: " ".join("".join(rng.choices("abcdefgh", k=size)) for _ in range(n))
+    short, long = words(55, 5), words(55, 7)
+    assert len(short) < 400 <= len(long)
+    texts = [words(300, 6) for _ in range(8)]
+    for i, passage in ((0, short), (1, short), (2, long), (3, long), (4, long)):
+        texts[i] = f"{texts[i][:600]}{i}{passage}{i}{texts[i][600:]}"
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in op10_repeats(spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        kept = text.replace(long, "")
+        assert got[i]["text"] == kept and got[i]["n_bytes"] == len(text)
+        assert got[i]["n_removed"] == len(text) - len(kept) == (len(long) if i in (2, 3, 4) else 0)
+        assert got[i]["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
+
+
 def test_repeat_passages_are_whole_maximal_and_cover_what_is_removed(spark):
     """The query over whole documents: each group holds every occurrence of
     its string, no group could be longer on a side, and together they cover
