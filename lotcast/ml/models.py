@@ -13,7 +13,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +30,10 @@ SEED = S.SEED
 FIT_ROWS = 1_000_000
 #: Output column of the number of equal rows that a training row stands for.
 COPIES = "_copies"
+#: Bins of a feature that a boosted tree chooses its splits from (``spark.ml``'s
+#: own bound), and error of their shares.
+BINS = 32
+BIN_ERROR = 0.001
 
 REGRESSION = "regression"
 CLASSIFICATION = "classification"
@@ -92,7 +96,7 @@ def usable(df: DataFrame, features: Sequence[str], label: str) -> Column:
 def fit_all(df: DataFrame, features: Sequence[str], label: str, family: str,
             prefix: str | None = None, seed: int = SEED,
             only: Sequence[str] | None = None, fit_partitions: int | None = None,
-            group_equal: bool = False) -> dict[str, PipelineModel]:
+            group_equal: bool = False, group_bins: bool = False) -> dict[str, PipelineModel]:
     """Fit the family's three models; return name -> PipelineModel.
 
     Rows that are not :func:`usable` are left out by an explicit filter; call
@@ -113,6 +117,10 @@ def fit_all(df: DataFrame, features: Sequence[str], label: str, family: str,
     rows are fitted on the different rows, weighted by how often each is there,
     which is the same fit but for the order in which sums are added up. Forests
     draw from all rows.
+
+    ``group_bins`` is for many rows with few features: boosted trees are fitted
+    on the cells that the bins of the features make (see :func:`_cells`), so all
+    rows are read to make the cells and not again for each level of each tree.
     """
     prefix = prefix or family
     features_col = f"{prefix}_features"
@@ -120,25 +128,74 @@ def fit_all(df: DataFrame, features: Sequence[str], label: str, family: str,
     asm = assembler(features, features_col, "error")
     rows = df.select(*features, F.col(label).cast("double").alias(label))
     rows = rows.where(usable(rows, features, label))
-    if fit_partitions is not None:
-        rows = _dealt(rows, fit_partitions)
-    drawing = [n for n, e in named if not group_equal or isinstance(e, (RandomForestRegressor, RandomForestClassifier))]
-    training = asm.transform(rows).select(features_col, label)
+    boosted = [n for n, e in named if group_bins and isinstance(e, GBTRegressor)]
+    drawing = [n for n, e in named if n not in boosted
+               and (not group_equal or isinstance(e, (RandomForestRegressor, RandomForestClassifier)))]
+    dealt = rows if fit_partitions is None or not drawing else _dealt(rows, fit_partitions)
+    training = asm.transform(dealt).select(features_col, label)
     if len(drawing) > 1:
         training = training.persist(StorageLevel.MEMORY_AND_DISK)
     weighted = asm.transform(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).cast("double").alias(COPIES))) \
         .select(features_col, label, COPIES)
-    if len(named) > len(drawing):
+    if len(named) > len(drawing) + len(boosted):
         weighted = weighted.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return {name: PipelineModel(stages=[asm, est.fit(training) if name in drawing
-                                            else est.setWeightCol(COPIES).fit(weighted)])
+        return {name: _fit_boosted(est, name, rows, asm, label) if name in boosted
+                else PipelineModel(stages=[asm, est.fit(training) if name in drawing
+                                           else est.setWeightCol(COPIES).fit(weighted)])
                 for name, est in named}
     finally:
         training.unpersist()
         weighted.unpersist()
 
 
+def _fit_boosted(est: GBTRegressor, name: str, rows: DataFrame, asm: VectorAssembler, label: str) -> PipelineModel:
+    """Boosted trees of squared error, fitted on the cells of the rows."""
+    stages, cells = _cells(rows, asm, label, name)
+    cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return PipelineModel(stages=[*stages, est.setFeaturesCol(stages[-1].getOutputCol()).setWeightCol(COPIES).fit(cells)])
+    finally:
+        cells.unpersist()
+
+
+def _cells(rows: DataFrame, asm: VectorAssembler, label: str, name: str) -> tuple[list, DataFrame]:
+    """The stages that lead from a row to the vector the trees look at, and the
+    different vectors with the mean label and the number of their rows.
+
+    A tree sees of a feature only its bin, ``BINS`` at most. A feature of up to
+    twice as many values is left as it is (the fit bins it itself), any other is
+    replaced by its bin of about equal shares, so there are at most ``2 * BINS``
+    to the power of the features' number of vectors, whatever the rows. Rows of
+    one vector always go the same way, and where squared error splits and what a
+    leaf says depend on the sums of their labels alone: the trees are those of
+    all rows, but for the order in which sums are added up (and for features of
+    more values, whose bins the fit would take from a sample)."""
+    features = asm.getInputCols()
+    slim = rows.select(*[F.col(c).cast("double").alias(c) for c in features], label)
+    held = slim.agg(*[F.approx_count_distinct(c, 0.02) for c in features]).first()
+    many = [c for c, n in zip(features, held) if n > 2 * BINS]
+    stages = [asm]
+    if many:
+        shares = slim.approxQuantile(many, [i / BINS for i in range(1, BINS)], BIN_ERROR)
+        inner = {c: f"{name}_bin{i}" for i, c in enumerate(features) if c in many}
+        stages.append(Bucketizer(splitsArray=[_borders(s) for s in shares], inputCols=many,
+                                 outputCols=list(inner.values()), handleInvalid="keep"))
+        stages.append(VectorAssembler(inputCols=[inner.get(c, c) for c in features], outputCol=f"{name}_bins",
+                                      handleInvalid="keep"))
+        slim = stages[1].transform(slim)
+    seen = stages[-1].getInputCols()
+    cells = slim.groupBy(*seen).agg(F.avg(label).alias(label), F.count(F.lit(1)).cast("double").alias(COPIES))
+    return stages, stages[-1].transform(cells).select(stages[-1].getOutputCol(), label, COPIES)
+
+
+def _borders(shares: Sequence[float]) -> list[float]:
+    """Borders of bins that end with the given values; a value that is given
+    twice or more is a bin of its own."""
+    inner = {math.nextafter(q, math.inf) for q in shares} | {q for q, after in zip(shares, shares[1:]) if q == after}
+    return [-math.inf, *sorted(inner - {math.inf}), math.inf]
+
+
 def _dealt(rows: DataFrame, least: int) -> DataFrame:
     """Rows in ``least`` partitions or more by a hash of their values."""
     columns = rows.columns

@@ -320,7 +320,8 @@ def score_all(spark: SparkSession, d: str) -> DataFrame:
     """Fit, save, load and score all of lineitem with the three price
     models in one scan; one prediction column per model."""
     lineitem = read_table(spark, d, "lineitem")
-    models = fit_all(lineitem, PRICE_INPUTS, PRICE_LABEL, REGRESSION, prefix="price", fit_partitions=FIT_PARTITIONS)
+    models = fit_all(lineitem, PRICE_INPUTS, PRICE_LABEL, REGRESSION, prefix="price", fit_partitions=FIT_PARTITIONS,
+                     group_bins=True)
     loaded = load_all(save_all(models, scratch_path(spark, "models")))
     return score(lineitem.select("l_orderkey", "l_linenumber", *PRICE_INPUTS, PRICE_LABEL), loaded)
 

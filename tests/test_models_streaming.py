@@ -196,3 +196,33 @@ def test_dealt_partitions_grow_in_number_not_in_rows(spark, monkeypatch):
     dealt = parts(M._dealt(df, 3))
     assert len(dealt) == 20 and max(map(len, dealt)) < 150
     assert sorted(r for p in dealt for r in p) == sorted(map(tuple, df.collect()))
+
+
+def test_boosted_trees_are_fitted_on_cells_of_bins(spark, monkeypatch):
+    """The number of cells is bounded by the features' bins, whatever the
+    rows, and the trees are those of all rows; a rare value keeps its bin."""
+    from lotcast.ml import models as M
+    few = spark.createDataFrame([(float(i % 40 == 0), float(i % 50), float((i % 50) ** 2 + i % 7)) for i in range(3000)]
+                                + [(9.0, 1.0, -5000.0)] * 3, "a double, b double, y double")
+    wide = spark.createDataFrame([(i * 0.37 % 11, i * i * 0.011 % 5, float(i % 3), 10 * (i * 0.37 % 11) - (i * i * 0.011 % 5) ** 2)
+                                  for i in range(6000)], "a double, b double, c double, y double")
+    rows = []
+    fit = M.GBTRegressor.fit
+    monkeypatch.setattr(M.GBTRegressor, "fit", lambda self, data: rows.append(data.count()) or fit(self, data))
+    for df, features, most in ((few, ["a", "b"], 150), (wide, ["a", "b", "c"], 3200)):
+        plain, binned = (fit_all(df, features, "y", REGRESSION, prefix="t", only=["t_gbt"], fit_partitions=2, group_bins=g)
+                         for g in (False, True))
+        whole, cells = rows[-2:]
+        assert cells <= most < whole == df.count()
+        loaded = load_all(save_all(binned, scratch_path(spark, "test_models")))
+        both = score(score(df, plain).withColumnRenamed("t_gbt_prediction", "p").withColumn("i", F.monotonically_increasing_id()),
+                     loaded).orderBy("i").collect()
+        if df is few:
+            assert all(abs(r["p"] - r["t_gbt_prediction"]) < 1e-6 for r in both)
+        else:
+            error = [sum((r[c] - r["y"]) ** 2 for r in both) / len(both) for c in ("p", "t_gbt_prediction")]
+            assert error[1] < 1.1 * error[0]
+            holes = spark.createDataFrame([(None, 1.0, 2.0), (float("nan"), 1.0, 2.0), (1e9, -1e9, 2.0)], "a double, b double, c double")
+            got = [r["t_gbt_prediction"] for r in score(holes, loaded).collect()]
+            assert got[:2] == [None, None] and got[2] is not None
+    assert M._borders([1.0, 1.0, 2.0]) == [-float("inf"), 1.0, pytest.approx(1.0), pytest.approx(2.0), float("inf")]
