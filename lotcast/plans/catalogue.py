@@ -365,7 +365,7 @@ def price_gbt_scores(spark: SparkSession, d: str) -> DataFrame:
     mean price of each combination."""
     lines = _coded(spark, d)
     models = fit_all(lines, ["flag_code", "status_code"], PRICE_LABEL, REGRESSION, prefix="flags", only=["flags_gbt"],
-                     fit_partitions=FIT_PARTITIONS)
+                     fit_partitions=FIT_PARTITIONS, group_bins=True)
     scored = score(lines.select("l_orderkey", "l_linenumber", "flag_code", "status_code"), _stored(spark, models))
     return scored.select("l_orderkey", "l_linenumber", F.round(prediction_col("flags_gbt"), 4).alias("prediction"))
 
