@@ -251,7 +251,8 @@ def price_leaderboard(spark: SparkSession, d: str) -> DataFrame:
     """Three price regressors, trained on 80% of lineitem, ranked on 20%."""
     lineitem = read_table(spark, d, "lineitem").select(*PRICE_INPUTS, PRICE_LABEL)
     train, test = hash_split(lineitem, SPLIT, seed=10)
-    models = fit_all(train, PRICE_INPUTS, PRICE_LABEL, REGRESSION, prefix="price", fit_partitions=FIT_PARTITIONS)
+    models = fit_all(train, PRICE_INPUTS, PRICE_LABEL, REGRESSION, prefix="price", fit_partitions=FIT_PARTITIONS,
+                     group_bins=True)
     return evaluate(models, test, PRICE_LABEL, REGRESSION)
 
 
