@@ -216,3 +216,21 @@ def test_grams_that_occur_once_go_no_further_and_scratch_goes(spark, monkeypatch
     covered = {r["rkey"][0]: sorted(repeats.stretches(r["spans"])) for r in spans.collect()}
     assert {d: (s[0][0], max(e for _, e in s)) for d, s in covered.items()} == {
         1: (9000, 9700), 4: (0, 700), **({} if across_rows else {5: (0, 10400)})}
+
+
+def test_equal_texts_are_read_once_and_levels_read_what_goes_on(spark, monkeypatch, tmp_path):
+    """Documents of one text are listed each but compared as one, and a level
+    reads no text whose repeats have ended."""
+    from lotcast.llm.queries import repeat_passages
+    rng = random.Random(31)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    copied, passage = word(9000), word(500)
+    copied = f"{copied[:4000]}({passage}){copied[4000:]}"
+    texts = [(k, copied) for k in range(4)] + [(4, copied), (4, copied), (5, f"{word(700)}[{passage}]{word(300)}"), (6, None)]
+    spark.createDataFrame(texts + [(10 + k, word(900)) for k in range(9)], "doc_id long, text string") \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    read, pieces = [], repeats._pieces
+    monkeypatch.setattr(repeats, "_pieces", lambda state, texts, unit: read.append(texts.count()) or pieces(state, texts, unit))
+    got = sorted((r["length"], r["doc_id"], r["starts"]) for r in repeat_passages(spark, str(tmp_path)).collect())
+    assert got == [*[(500, k, [4001]) for k in range(5)], (500, 5, [701]), *[(9502, k, [0]) for k in range(5)]]
+    assert read[0] == 2 and read[-1] == 1
